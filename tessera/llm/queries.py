@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from .exact_dedup import exact_duplicates
+from .jaccard import jaccard_components
 from .packing import pack
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -26,6 +27,10 @@ def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op4_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_components(table(spark, sf_dir, "documents"), words=3, percent=90).drop("first")
+
+
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), tokenizer_path()).drop("ids")
 
@@ -39,7 +44,7 @@ FROM d JOIN g ON d.norm = g.norm
 
 
 def queries() -> dict[str, Query]:
-    return {"op1_exact_dedup": op1_exact_dedup, "op6_packing": op6_packing}
+    return {"op1_exact_dedup": op1_exact_dedup, "op4_ngram_jaccard": op4_ngram_jaccard, "op6_packing": op6_packing}
 
 
 def oracle_sql() -> dict[str, str]:
