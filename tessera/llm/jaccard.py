@@ -55,7 +55,7 @@ def allocate(band: int, percent: int, sets: float, deletions: str = "cost") -> t
     """
     most = int(BOUNDS[band + 1] - 1) if band + 1 < len(BOUNDS) else int(BOUNDS[band])
     differ = most * (100 - percent) // percent
-    with_d = np.arange((differ + 1) // 2 + 1)
+    with_d = np.unique(np.concatenate([[0], np.geomspace(1, max(1, (differ + 1) // 2), 200).astype(np.int64)]))[: (differ + 1) // 2 + 1]
     segments = differ + 1 - with_d
     if deletions == "none" or not differ:
         return differ + 1, 0
