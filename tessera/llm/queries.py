@@ -5,10 +5,15 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .exact_dedup import exact_duplicates
 from .jaccard import jaccard_components
+from .mixing import mix, mix_sql, rule_topic
 from .packing import pack
+from .quality import quality
+from .toxicity import toxicity
+from .urls import judge_urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -27,14 +32,48 @@ def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_duplicates(table(spark, sf_dir, "documents"))
 
 
+def fold(modulus: int):
+    """crc32 of doc_id as text, modulo ``modulus``."""
+    return F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(modulus))
+
+
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), fold(4) != 2)
+    return scored.select("doc_id", F.coalesce(fold(4) == 2, F.lit(False)).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
 def op4_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(table(spark, sf_dir, "documents"), words=3, percent=90).drop("first")
 
 
+#: Verdict, host and path prefix of each URL rule.
+URL_RULES = [
+    ("block", "com", "/en/"),
+    ("allow", "example.com", "/en/7"),
+    ("allow", "net", "/de/"),
+    ("block", "example.net", "/de/8"),
+    ("block", "org", "/es/"),
+]
+
+
+def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judge_urls(table(spark, sf_dir, "pages"), URL_RULES).drop("score")
+
+
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), tokenizer_path()).drop("ids")
 
 
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), fold(5) != 0)
+    return scored.select("doc_id", F.coalesce(fold(5) == 0, F.lit(False)).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mix(table(spark, sf_dir, "documents"), rule_topic(F.col("text")))
+    return mixed.select("row.doc_id", "tokens", F.round("probability", 6).alias("probability"), "sampled")
+
+
 OP1_SQL = r"""
 WITH d AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS norm FROM documents),
 g AS (SELECT norm, min(doc_id) AS keep_id, count(*) AS group_size FROM d GROUP BY norm)
@@ -43,9 +82,12 @@ FROM d JOIN g ON d.norm = g.norm
 """
 
 
+_QUERIES = [op1_exact_dedup, op3_quality, op4_ngram_jaccard, op5_url_filter, op6_packing, op8_toxicity, op9_mixing]
+
+
 def queries() -> dict[str, Query]:
-    return {"op1_exact_dedup": op1_exact_dedup, "op4_ngram_jaccard": op4_ngram_jaccard, "op6_packing": op6_packing}
+    return {f.__name__: f for f in _QUERIES}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_exact_dedup": OP1_SQL}
+    return {"op1_exact_dedup": OP1_SQL, "op9_mixing": mix_sql()}
