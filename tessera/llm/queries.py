@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .exact_dedup import exact_duplicates
+from .fingerprints import fingerprints
 from .jaccard import jaccard_components
 from .mixing import mix, mix_sql, rule_topic
 from .packing import pack
@@ -32,6 +33,10 @@ def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op2_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints(table(spark, sf_dir, "documents"))
+
+
 def fold(modulus: int):
     """crc32 of doc_id as text, modulo ``modulus``."""
     return F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(modulus))
@@ -82,7 +87,7 @@ FROM d JOIN g ON d.norm = g.norm
 """
 
 
-_QUERIES = [op1_exact_dedup, op3_quality, op4_ngram_jaccard, op5_url_filter, op6_packing, op8_toxicity, op9_mixing]
+_QUERIES = [op1_exact_dedup, op2_fingerprints, op3_quality, op4_ngram_jaccard, op5_url_filter, op6_packing, op8_toxicity, op9_mixing]
 
 
 def queries() -> dict[str, Query]:
