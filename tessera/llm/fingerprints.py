@@ -60,6 +60,11 @@ def _in_lexicon(bits: bytes, slots: int):
     return inside
 
 
+def _in_subset(k: int):
+    """Whether the k-th random lexicon, two thirds of the whole, keeps a term."""
+    return lambda t: F.pmod(F.xxhash64(t, F.lit(k)), F.lit(3)) != 0
+
+
 def with_fingerprint(df: DataFrame, text: str, out: str, bits: bytes, slots: int, lexicons: int) -> DataFrame:
     """``df`` with ``out``, an array of hashes. Without a term of a lexicon, all terms count; without terms, the text."""
     every = f"{out}_every"
@@ -67,7 +72,7 @@ def with_fingerprint(df: DataFrame, text: str, out: str, bits: bytes, slots: int
     df = df.withColumn(every, F.array_sort(terms(F.col(text))))
     df = df.withColumn(known, F.filter(every, _in_lexicon(bits, slots)))
     rest = F.when(F.size(every) > 0, F.xxhash64(F.lit("terms"), F.col(every))).otherwise(F.xxhash64(F.lit("text"), F.col(text)))
-    kept = [F.col(known), *(F.filter(known, lambda t, k=k: F.pmod(F.xxhash64(t, F.lit(k)), F.lit(3)) != 0) for k in range(1, lexicons))]
+    kept = [F.col(known), *(F.filter(known, _in_subset(k)) for k in range(1, lexicons))]
     return df.withColumn(out, F.array(*(F.when(F.size(x) > 0, F.xxhash64(x)).otherwise(rest) for x in kept))).drop(every, known)
 
 

@@ -12,6 +12,7 @@ from .fingerprints import fingerprints
 from .jaccard import jaccard_components
 from .mixing import mix, mix_sql, rule_topic
 from .packing import pack
+from .pii import KINDS, kind_count, personal_data, span_text
 from .quality import quality
 from .toxicity import toxicity
 from .urls import judge_urls
@@ -79,6 +80,11 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("row.doc_id", "tokens", F.round("probability", 6).alias("probability"), "sampled")
 
 
+def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = personal_data(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", *(kind_count("base", k).alias(f"n_{k}") for k in KINDS), F.sha2(span_text("base"), 256).alias("base_sha256"), span_text("spans").alias("spans"))
+
+
 OP1_SQL = r"""
 WITH d AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS norm FROM documents),
 g AS (SELECT norm, min(doc_id) AS keep_id, count(*) AS group_size FROM d GROUP BY norm)
@@ -87,7 +93,7 @@ FROM d JOIN g ON d.norm = g.norm
 """
 
 
-_QUERIES = [op1_exact_dedup, op2_fingerprints, op3_quality, op4_ngram_jaccard, op5_url_filter, op6_packing, op8_toxicity, op9_mixing]
+_QUERIES = [op1_exact_dedup, op2_fingerprints, op3_quality, op4_ngram_jaccard, op5_url_filter, op6_packing, op8_toxicity, op9_mixing, op10_pii]
 
 
 def queries() -> dict[str, Query]:

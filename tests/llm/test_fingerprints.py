@@ -62,6 +62,10 @@ def test_near_copies_and_odd_rows(spark):
     assert by[102][0].fingerprint == by[103][0].fingerprint != by[100][0].fingerprint == by[101][0].fingerprint
     assert by[5][0].near_next == 1.0
     assert by[106][0].n_chars == 18
+    # One word of sixty more or fewer: lexicons without it agree.
+    pair = spark.createDataFrame([(1, " ".join(base)), (2, " ".join(base[1:])), (3, " ".join(base))], "doc_id long, text string")
+    near = {r.doc_id: r.near_next for r in fingerprints(pair, high=1.0, low=0.5).collect()}
+    assert 0 < near[2] < 1
     single = fingerprints(spark.createDataFrame([(1, "ab c")], "doc_id long, text string")).first()
     assert single.near_next == 1.0 and single.edited_sha256 == hashlib.sha256(b"abab").hexdigest()
     assert fingerprints(df.filter("half = 0")).count() == 0
