@@ -14,6 +14,7 @@ from .mixing import mix, mix_sql, rule_topic
 from .packing import pack
 from .pii import KINDS, kind_count, personal_data, span_text
 from .quality import quality
+from .quotes import link_quotes
 from .toxicity import toxicity
 from .urls import judge_urls
 
@@ -70,6 +71,11 @@ def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), tokenizer_path()).drop("ids")
 
 
+def op7_quote_linking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    linked = link_quotes(table(spark, sf_dir, "conversations"))
+    return linked.withColumn("clean_sha256", F.sha2("clean", 256)).drop("clean")
+
+
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), fold(5) != 0)
     return scored.select("doc_id", F.coalesce(fold(5) == 0, F.lit(False)).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
@@ -93,7 +99,7 @@ FROM d JOIN g ON d.norm = g.norm
 """
 
 
-_QUERIES = [op1_exact_dedup, op2_fingerprints, op3_quality, op4_ngram_jaccard, op5_url_filter, op6_packing, op8_toxicity, op9_mixing, op10_pii]
+_QUERIES = [op1_exact_dedup, op2_fingerprints, op3_quality, op4_ngram_jaccard, op5_url_filter, op6_packing, op7_quote_linking, op8_toxicity, op9_mixing, op10_pii]
 
 
 def queries() -> dict[str, Query]:
