@@ -1,0 +1,219 @@
+"""Graph schemas: subjects with predicates, cardinalities and objects, read from an outline of nested lists."""
+
+from __future__ import annotations
+
+import re
+from collections import deque
+from dataclasses import dataclass, field
+
+_CARDINALITY = re.compile(r"^(.*?)(\?|\*|\+|\{\d+(?:,\d*)?\})?$")
+
+
+def parse_outline(text: str) -> object:
+    """The subset of YAML that schemas use: nested lists and maps by indentation, inline lists, quoted scalars, comments.
+
+    Tabs count as two blanks, CRLF as LF, and ``[]`` may be a key.
+    """
+    lines = []
+    for raw in text.replace("\r\n", "\n").replace("\r", "\n").replace("\t", "  ").split("\n"):
+        bare = re.sub(r"(^|\s)#(?=\s|$).*$", "", raw).rstrip()
+        if bare.strip():
+            lines.append((len(bare) - len(bare.lstrip()), bare.strip()))
+    at = 0
+
+    def scalar(s: str) -> object:
+        s = s.strip()
+        if s.startswith("[") and s.endswith("]"):
+            return [scalar(x) for x in s[1:-1].split(",") if x.strip()]
+        if s[:1] in "\"'" and s[-1:] == s[:1] and len(s) > 1:
+            return s[1:-1]
+        return int(s) if re.fullmatch(r"-?\d+", s) else s
+
+    def key_value(s: str) -> tuple[str, str] | None:
+        m = re.match(r"""^("[^"]*"|'[^']*'|\[\]|.+?):(?:\s+(.*))?$""", s) if s.endswith(":") or ": " in s else None
+        if not m:
+            return None
+        if s.endswith(":") and not re.search(r":\s", s[:-1]):
+            return s[:-1].strip("\"'"), ""
+        cut = s.index(": ") if ": " in s else len(s) - 1
+        return s[:cut].strip("\"'"), s[cut + 1 :].strip()
+
+    def block(indent: int) -> object:
+        nonlocal at
+        if lines[at][1].startswith("- ") or lines[at][1] == "-":
+            out: list = []
+            while at < len(lines) and lines[at][0] == indent and lines[at][1].startswith("-"):
+                rest = lines[at][1][1:].strip()
+                inner = indent + len(lines[at][1]) - len(rest)
+                kv = key_value(rest)
+                if kv is None:
+                    at += 1
+                    out.append(scalar(rest))
+                else:
+                    lines[at] = (inner, rest)
+                    out.append(mapping(inner))
+            return out
+        return mapping(indent)
+
+    def mapping(indent: int) -> dict:
+        nonlocal at
+        out: dict = {}
+        while at < len(lines) and lines[at][0] == indent and not lines[at][1].startswith("- "):
+            kv = key_value(lines[at][1])
+            if kv is None:
+                raise ValueError(f"not a key: {lines[at][1]!r}")
+            at += 1
+            if kv[1]:
+                out[kv[0]] = scalar(kv[1])
+            elif at < len(lines) and (lines[at][0] > indent or lines[at][0] == indent and lines[at][1].startswith("- ")):
+                out[kv[0]] = block(lines[at][0])
+            else:
+                out[kv[0]] = None
+        return out
+
+    return block(lines[0][0]) if lines else None
+
+
+@dataclass
+class Object:
+    name: str
+    example: object = None
+    subjects: list[str] = field(default_factory=list)
+    inline: Subject | None = None
+
+
+@dataclass
+class Predicate:
+    curie: str
+    cardinality: str = ""
+    objects: list[Object] = field(default_factory=list)
+
+    @property
+    def multi(self) -> bool:
+        low, _, high = self.cardinality.strip("{}").partition(",")
+        return self.cardinality in ("*", "+") or self.cardinality.startswith("{") and (high or low) not in ("0", "1")
+
+    @property
+    def optional(self) -> bool:
+        return self.cardinality in ("*", "?") or self.cardinality.startswith("{0")
+
+
+@dataclass
+class Subject:
+    name: str
+    example: str = ""
+    types: list[str] = field(default_factory=list)
+    predicates: list[Predicate] = field(default_factory=list)
+
+
+def _subject(head: str, body: list | None) -> Subject:
+    name, _, example = head.partition(" ")
+    out = Subject(name, example.strip())
+    for entry in body or []:
+        for key, value in entry.items():
+            if key == "a":
+                out.types += value if isinstance(value, list) else [value]
+                continue
+            m = _CARDINALITY.match(str(key))
+            out.predicates.append(Predicate(m[1], m[2] or "", _objects(value, m[1])))
+    return out
+
+
+def _objects(value: object, curie: str) -> list[Object]:
+    if isinstance(value, list) and value and all(isinstance(x, dict) for x in value):
+        out = []
+        for entry in value:
+            for name, v in entry.items():
+                if name == "[]":
+                    out.append(Object("bnode", None, [], _subject("[]", v)))
+                else:
+                    out.append(_object(name, v))
+        return out
+    return [_object(re.sub(r"\W", "_", curie), value)]
+
+
+def _object(name: str, v: object) -> Object:
+    """Capitalised bare words name other subjects; anything else is an example."""
+    names = v if isinstance(v, list) else [v]
+    refs = [x for x in names if isinstance(x, str) and re.fullmatch(r"[A-Z]\w*", x)]
+    return Object(name, v, refs if refs and len(refs) == len(names) else [])
+
+
+def parse_schema(text: str) -> list[Subject]:
+    """Subjects of a schema; references to subjects that it doesn't have become plain examples."""
+    subjects = [_subject(k, v) for entry in parse_outline(text) or [] for k, v in entry.items()]
+    known = {s.name for s in subjects}
+
+    def check(s: Subject) -> None:
+        for p in s.predicates:
+            for o in p.objects:
+                o.subjects = [x for x in o.subjects if x in known]
+                if o.inline:
+                    check(o.inline)
+
+    for s in subjects:
+        check(s)
+    return subjects
+
+
+def parse_prefixes(text: str) -> dict[str, str]:
+    return {str(k): str(v).strip("<>") for k, v in (parse_outline(text) or {}).items()}
+
+
+def parse_endpoint(text: str) -> tuple[str, list[str]]:
+    """(first endpoint, graphs)."""
+    got = (parse_outline(text) or {}).get("endpoint") or []
+    got = got if isinstance(got, list) else [got]
+    graphs = [g for x in got if isinstance(x, dict) for g in (x.get("graph") or [])]
+    return next((x for x in got if isinstance(x, str)), ""), graphs
+
+
+def expand(curie: str, prefixes: dict[str, str]) -> str:
+    """A CURIE as an IRI where its prefix is known; <iri> is unwrapped."""
+    if curie.startswith("<") and curie.endswith(">"):
+        return curie[1:-1]
+    head, sep, local = curie.partition(":")
+    return prefixes[head] + local if sep and head in prefixes and not local.startswith("//") else curie
+
+
+@dataclass
+class TreeNode:
+    """A subject as reached from a root by its shortest path."""
+
+    subject: Subject
+    root: str
+    parent: TreeNode | None = None
+    via: Predicate | None = None
+    im_class: str = ""
+    role: str = "node"
+
+    @property
+    def multi_path(self) -> bool:
+        n, many = self, False
+        while n.parent:
+            many |= n.via.multi
+            n = n.parent
+        return many
+
+    @property
+    def path(self) -> str:
+        return self.subject.name if not self.parent else f"{self.parent.path}/{self.via.curie}/{self.subject.name}"
+
+
+def walk(subjects: list[Subject], roots: list[str]) -> tuple[list[TreeNode], list[str]]:
+    """(nodes reached from the roots, breadth first, each subject once; names of the others)."""
+    by = {s.name: s for s in subjects}
+    queue = deque(TreeNode(by[r], r, role="root") for r in roots if r in by)
+    seen, out = {n.subject.name for n in queue}, []
+    while queue:
+        n = queue.popleft()
+        out.append(n)
+        for p in n.subject.predicates:
+            for o in p.objects:
+                for name in o.subjects:
+                    if name not in seen:
+                        seen.add(name)
+                        queue.append(TreeNode(by[name], n.root, n, p))
+                if o.inline:
+                    queue.append(TreeNode(o.inline, n.root, n, p))
+    return out, [s.name for s in subjects if s.name not in seen]
