@@ -99,6 +99,18 @@ FROM d JOIN g ON d.norm = g.norm
 """
 
 
+OP4_SQL = r"""
+WITH RECURSIVE w AS (SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
+s AS MATERIALIZED (SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')] ELSE list_distinct(list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) END AS s FROM w),
+x AS MATERIALIZED (SELECT doc_id, len(s) AS n, unnest(s) AS sh FROM s),
+c AS (SELECT a.doc_id AS a, b.doc_id AS b, any_value(a.n) AS na, any_value(b.n) AS nb, count(*) AS c FROM x a JOIN x b ON a.sh = b.sh AND a.doc_id < b.doc_id AND 100 * least(a.n, b.n) >= 90 * greatest(a.n, b.n) GROUP BY 1, 2),
+l AS MATERIALIZED (SELECT a, b FROM c WHERE 100 * c >= 90 * (na + nb - c)),
+e AS MATERIALIZED (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+r AS (SELECT DISTINCT a AS doc_id, a AS other FROM e UNION SELECT r.doc_id, e.b FROM r JOIN e ON r.other = e.a),
+m AS (SELECT doc_id, min(other) AS least FROM r GROUP BY 1)
+SELECT s.doc_id, len(s.s)::BIGINT AS n_shingles, coalesce(least, s.doc_id) AS component_id FROM s LEFT JOIN m ON s.doc_id = m.doc_id
+"""
+
 _QUERIES = [op1_exact_dedup, op2_fingerprints, op3_quality, op4_ngram_jaccard, op5_url_filter, op6_packing, op7_quote_linking, op8_toxicity, op9_mixing, op10_pii]
 
 
@@ -107,4 +119,4 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_exact_dedup": OP1_SQL, "op9_mixing": mix_sql()}
+    return {"op1_exact_dedup": OP1_SQL, "op4_ngram_jaccard": OP4_SQL, "op9_mixing": mix_sql()}

@@ -2,10 +2,12 @@ import random
 import re
 
 import pytest
+from oracle import assert_same
 
 from tessera.llm.components import connected_components
 from tessera.llm.common import Scratch
 from tessera.llm.jaccard import allocate, jaccard_components
+from tessera.llm.queries import OP4_SQL, op4_ngram_jaccard
 
 
 def sets_of(text, k):
@@ -92,3 +94,7 @@ def test_components(spark):
     edges = [(i, i + 1) for i in range(1, 60)] + [(100, 99), (99, 101), (7, 7), (200, 201), (201, 200)]
     got = dict(connected_components(spark.createDataFrame(edges, "a long, b long"), Scratch(spark)).collect())
     assert got == {**{i: 1 for i in range(1, 61)}, 99: 99, 100: 99, 101: 99, 200: 200, 201: 200}
+
+
+def test_query(spark):
+    assert_same(spark, op4_ngram_jaccard, OP4_SQL, "/root/testdata/sf0.001")
