@@ -21,7 +21,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import Scratch, ascii_lower, text_of, words_of
@@ -29,8 +29,10 @@ from .components import connected_components
 
 #: A list of documents to compare is broadcast up to this many ids (8 bytes each).
 BROADCAST_IDS = 500_000
-#: Cost of comparing a pair of sets, in signatures.
-PAIR_COST = 8.0
+#: Cost of ruling out a pair of sets by size and parity map, in signatures sent.
+PAIR_COST = 0.1
+#: Keys that a task combines at a time.
+COMBINE_KEYS = 2_000_000
 BAND_RATIO = 1.25
 #: Items that a worker signs at a time.
 SIGN_ITEMS = 600_000
@@ -161,6 +163,51 @@ def _signer(percent: int, segments: np.ndarray, with_d: np.ndarray):
     return run
 
 
+def _postings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """mapInArrow body: (node, keys, gone) -> deal, node, whole, key, center.
+
+    A key that one node of this task has goes out as it is: dealt by the key, without key and center. Of a key that
+    several nodes here have, only the smallest node, its local center, goes out that way; all of them
+    stay beside it as (key, center), dealt by key and node. However many nodes share a key, other tasks get one row of each task.
+    """
+
+    def emit(node: np.ndarray, key: np.ndarray, whole: np.ndarray) -> pa.RecordBatch:
+        order = np.lexsort((node, key))
+        node, key, whole = node[order], key[order], whole[order]
+        new = np.ones(len(key), bool)
+        new[1:] = key[1:] != key[:-1]
+        start = np.flatnonzero(new)
+        group = np.cumsum(new) - 1
+        many = np.diff(np.append(start, len(key)))[group] > 1
+        center = node[start][group]
+        deal = np.concatenate([key[new], _mix(key[many].view(np.uint64) ^ _mix(node[many].view(np.uint64))).view(np.int64)])
+        none = int(new.sum())
+        mask = np.concatenate([np.ones(none, bool), np.zeros(int(many.sum()), bool)])
+        pad = np.zeros(none, np.int64)
+        return pa.RecordBatch.from_arrays(
+            [pa.array(deal), pa.array(np.concatenate([node[new], node[many]])), pa.array(np.concatenate([whole[new], whole[many]])), pa.array(np.concatenate([pad, key[many]]), mask=mask), pa.array(np.concatenate([pad, center[many]]), mask=mask)],
+            names=["deal", "node", "whole", "key", "center"],
+        )
+
+    held, n = [], 0
+    for b in batches:
+        for column, whole in ((1, True), (2, False)):
+            lists = b.column(column)
+            keys = lists.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
+            held.append((np.repeat(b.column(0).to_numpy(), np.diff(lists.offsets.to_numpy())), keys, np.full(len(keys), whole)))
+            n += len(keys)
+        if n >= COMBINE_KEYS:
+            yield from _chunks(emit(*map(np.concatenate, zip(*held, strict=True))))
+            held, n = [], 0
+    if n:
+        yield from _chunks(emit(*map(np.concatenate, zip(*held, strict=True))))
+
+
+def _chunks(b: pa.RecordBatch, rows: int = 100_000) -> Iterator[pa.RecordBatch]:
+    for at in range(0, b.num_rows, rows):
+        yield b.slice(at, rows)
+
+
 def _identify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """mapInArrow body: items -> n, h1, h2, items."""
     for whole in batches:
@@ -197,9 +244,10 @@ def jaccard_components(df: DataFrame, words: int = 5, percent: int = 80, id_col:
     classes = scratch.save(sets.filter("n > 0").groupBy("n", "h1", "h2").agg(F.min("row_id").alias("node"), F.min("doc_id").alias("min_doc")), "classes")
     nodes = sets.join(classes.select(F.col("node").alias("row_id")), "row_id", "left_semi")
     meta = scratch.save(nodes.select(F.col("row_id").alias("node"), "n", "h1", "h2", F.coalesce("doc_id", F.lit(NULL_ID)).alias("doc_id"), "b0", "b1", "b2", "b3"), "meta")
-    postings = nodes.select("row_id", F.explode(F.concat(F.transform("keys", lambda k: F.struct(k.alias("key"), F.lit(True).alias("whole"))), F.transform("gone", lambda k: F.struct(k.alias("key"), F.lit(False).alias("whole"))))).alias("p")).select("p.key", "p.whole", F.col("row_id").alias("node"))
-    centers = postings.groupBy("key").agg(F.min("node").alias("center"), F.max("node").alias("last"), F.max("whole").alias("whole")).filter("center < last AND whole").select("key", "center")
-    shared = scratch.save(postings.join(centers, "key"), "shared")
+    dealt = nodes.select("row_id", "keys", "gone").mapInArrow(_postings, "deal long, node long, whole boolean, key long, center long")
+    same = Window.partitionBy("deal")
+    met = dealt.select("*", F.min("node").over(same).alias("low"), F.max("node").over(same).alias("high")).filter("key IS NOT NULL OR low < high")
+    shared = scratch.save(met.select(F.coalesce("key", "deal").alias("key"), "whole", "node", F.coalesce("center", "low").alias("center")), "shared")
 
     def compared(pairs: DataFrame, name: str) -> DataFrame:
         """The pairs (a, b) of nodes that link."""
@@ -238,9 +286,9 @@ def jaccard_components(df: DataFrame, words: int = 5, percent: int = 80, id_col:
     placed = comp_of(shared, "node", "comp")
     mixed = placed.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo < hi").select("key")
     left = scratch.save(placed.join(mixed, "key").join(meta.drop("h1", "h2", "doc_id"), "node"), "left")
-    a = left.select("key", *(F.col(c).alias(f"{c}_a") for c in ("node", "whole", "comp", "n", "b0", "b1", "b2", "b3")), "center")
+    a = left.select("key", *(F.col(c).alias(f"{c}_a") for c in ("node", "whole", "comp", "n", "b0", "b1", "b2", "b3")))
     b = left.select("key", *(F.col(c).alias(f"{c}_b") for c in ("node", "whole", "comp", "n", "b0", "b1", "b2", "b3")))
-    rest = plausible(a.join(b, "key").filter("node_a < node_b AND comp_a <> comp_b AND (whole_a OR whole_b) AND node_a <> center"), percent)
+    rest = plausible(a.join(b, "key").filter("node_a < node_b AND comp_a <> comp_b AND (whole_a OR whole_b)"), percent)
     comps = merge(compared(rest.select(F.col("node_a").alias("a"), F.col("node_b").alias("b")).distinct(), "rest"), "rest")
 
     of_row = sets.select("row_id", "doc_id", "n", "h1", "h2").join(classes.select("n", "h1", "h2", "node"), ["n", "h1", "h2"], "left")
