@@ -61,8 +61,8 @@ def both_ways(edges: DataFrame, src: str, dst: str, field: str, reverse: str) ->
     return e.select("src", F.lit(field).alias("field"), "dst").union(e.select(F.col("dst").alias("src"), F.lit(reverse).alias("field"), F.col("src").alias("dst")))
 
 
-def resolve_ambiguity(objects: DataFrame, value: str, within: list[str], preferred: Column, item: str) -> DataFrame:
-    """Blank ``value`` where several objects (``item``: their id) hold it, except on the only preferred holder.
+def resolve_ambiguity(objects: DataFrame, value: str, within: list[str], preferred: Column) -> DataFrame:
+    """Blank ``value`` where several objects hold it, except on the only preferred holder.
 
     Holders are counted by an aggregate and joined back, so a value that very many objects hold is never gathered in one task.
     """

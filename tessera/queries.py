@@ -302,7 +302,7 @@ def key_fallback(spark, d):
 @query("SELECT p_partkey, CASE WHEN n = 1 OR (promo = 1 AND p_type = 'PROMO') THEN p_name ELSE '' END AS p_name FROM (SELECT *, count(*) OVER w AS n, count(*) FILTER (p_type = 'PROMO') OVER w AS promo FROM part WINDOW w AS (PARTITION BY p_name, p_brand))")
 def key_ambiguity(spark, d):
     parts = table(spark, d, "part").select("p_partkey", "p_name", "p_brand", "p_type")
-    return I.resolve_ambiguity(parts, "p_name", ["p_brand"], F.col("p_type") == "PROMO", "p_partkey").select("p_partkey", "p_name")
+    return I.resolve_ambiguity(parts, "p_name", ["p_brand"], F.col("p_type") == "PROMO").select("p_partkey", "p_name")
 
 
 @query("SELECT o_orderkey, row_number() OVER (ORDER BY o_orderdate, o_orderkey) AS item_no FROM orders")

@@ -42,7 +42,7 @@ def test_identity(spark):
 def test_ambiguity(spark):
     data = [(1, "E1", "protein-coding"), (2, "E1", "ncRNA"), (3, "E2", "ncRNA"), (4, "E2", "ncRNA"), (5, "E3", "x"), (6, "", "x"), (7, None, "x")]
     df = spark.createDataFrame([(*d, "9606") for d in data], "id int, ens string, kind string, org string")
-    got = {r.id: r.ens for r in I.resolve_ambiguity(df, "ens", ["org"], F.col("kind") == "protein-coding", "id").collect()}
+    got = {r.id: r.ens for r in I.resolve_ambiguity(df, "ens", ["org"], F.col("kind") == "protein-coding").collect()}
     assert got == {1: "E1", 2: "", 3: "", 4: "", 5: "E3", 6: "", 7: None}
 
 
