@@ -104,12 +104,13 @@ def fingerprints(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     The edited text is the text with its last floor(n / 2) code points replaced by the first as
     many (or all) of the next document's, by descending id; after the last comes the first. A
-    null id counts as the smallest, null text as empty. Rows that repeat an id share their next
+    null id counts as the smallest (-2^63, which is read as null), null text as empty. Rows that repeat an id share their next
     document; where that id repeats, it is the row whose text has the smallest SHA-256. Equal texts have
     equal fingerprints. Other columns are ignored. An empty table gives an empty result.
     """
     scratch = Scratch(df.sparkSession)
-    docs = df.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(id_col).cast("long"), F.lit(NULL_ID)).alias("key"), text_of(text_col).alias("text"))
+    # The text is shuffled once: both joins below read one exchange of (key, text), so no other column may be in it.
+    docs = df.select(F.coalesce(F.col(id_col).cast("long"), F.lit(NULL_ID)).alias("key"), text_of(text_col).alias("text"))
     bits = bit_map(band_counts(docs, low, high), slots)
     keys = scratch.save(docs.groupBy("key").agg(F.max(F.floor(F.length("text") / 2)).cast("int").alias("half"), F.count("*").alias("n")), "keys")
     chain = scratch.save(ring(keys.select("key", "half"), scratch), "chain")
@@ -120,12 +121,13 @@ def fingerprints(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     heads = single.select(F.col("key").alias("next_key"), "text").join(chain, "next_key").select("key", F.expr("left(text, half)").alias("head"))
     n = F.length("text")
     half = F.floor(n / 2).cast("int")
-    edited = docs.join(heads, "key").select("doc_id", "key", "text", n.cast("long").alias("n_chars"), F.concat(F.substr("text", F.lit(1), n - half), F.substr("head", F.lit(1), half)).alias("edited"))
+    edited = docs.join(heads, "key").select("key", "text", n.cast("long").alias("n_chars"), F.concat(F.substr("text", F.lit(1), n - half), F.substr("head", F.lit(1), half)).alias("edited"))
     marked = with_fingerprint(with_fingerprint(edited, "text", "own", bits, slots, lexicons), "edited", "other", bits, slots, lexicons)
-    marked = scratch.save(marked.select("doc_id", "key", "n_chars", F.sha2("text", 256).alias("sha"), F.sha2("edited", 256).alias("edited_sha256"), "own", "other"), "marked")
+    marked = scratch.save(marked.select("key", "n_chars", F.sha2("text", 256).alias("sha"), F.sha2("edited", 256).alias("edited_sha256"), "own", "other"), "marked")
     nexts = marked.select(F.col("key").alias("next_key"), "own", "sha")
     if repeated and repeated > 1:
         nexts = nexts.groupBy("next_key").agg(F.min_by("own", "sha").alias("own"))
     nexts = nexts.join(chain, "next_key").select("key", F.col("own").alias("next_own"))
     out = marked.join(nexts, "key")
-    return out.select("doc_id", "n_chars", "edited_sha256", as_text(F.col("own")).alias("fingerprint"), as_text(F.col("other")).alias("edited_fingerprint"), likeness(F.col("own"), F.col("other")).alias("near_edited"), likeness(F.col("own"), F.col("next_own")).alias("near_next"))
+    doc_id = F.when(F.col("key") != NULL_ID, F.col("key")).alias("doc_id")
+    return out.select(doc_id, "n_chars", "edited_sha256", as_text(F.col("own")).alias("fingerprint"), as_text(F.col("other")).alias("edited_fingerprint"), likeness(F.col("own"), F.col("other")).alias("near_edited"), likeness(F.col("own"), F.col("next_own")).alias("near_next"))
