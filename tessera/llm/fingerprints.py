@@ -2,8 +2,9 @@
 
 The lexicon is the terms whose document frequency lies in a band, so whose inverse document
 frequency does. A text's distinct terms in the lexicon are sorted and hashed, once with
-the whole lexicon and once with each of several random two thirds of it. Two fingerprints are
-alike by the share of their hashes that agree. DataFrame functions only.
+the whole lexicon and once with each of several random parts of it. Large parts agree only for
+near copies, thin parts also where much of a text was edited. Two fingerprints are alike by
+the share of agreeing hashes among the parts that have a term of either text. DataFrame functions only.
 
 As a term of the band occurs in at least LOW of the documents, the lexicon has at most
 (distinct terms of a mean document) / LOW terms, however many documents there are. It goes to the
@@ -22,8 +23,8 @@ from .common import Scratch, text_of
 #: Band of document frequencies, as shares of the documents; terms of a single document never count.
 LOW, HIGH = 0.001, 0.1
 SLOTS = 1 << 21
-#: Hashes of a fingerprint; the first is of the whole lexicon.
-LEXICONS = 8
+#: Shares of the lexicon that the hashes of a fingerprint keep; the first is of the whole lexicon.
+SHARES = ((1, 1), *((2, 3),) * 5, *((1, 8),) * 6, *((1, 32),) * 8)
 NULL_ID = -(2**63)
 
 
@@ -60,30 +61,34 @@ def _in_lexicon(bits: bytes, slots: int):
     return inside
 
 
-def _in_subset(k: int):
-    """Whether the k-th random lexicon, two thirds of the whole, keeps a term."""
-    return lambda t: F.pmod(F.xxhash64(t, F.lit(k)), F.lit(3)) != 0
+def _in_part(number: int, share: tuple[int, int]):
+    """Whether a random part of the lexicon keeps a term."""
+    return lambda t: F.pmod(F.xxhash64(t, F.lit(number)), F.lit(share[1])) < share[0]
 
 
-def with_fingerprint(df: DataFrame, text: str, out: str, bits: bytes, slots: int, lexicons: int) -> DataFrame:
-    """``df`` with ``out``, an array of hashes. Without a term of a lexicon, all terms count; without terms, the text."""
+def with_fingerprint(df: DataFrame, text: str, out: str, bits: bytes, slots: int, shares: tuple[tuple[int, int], ...]) -> DataFrame:
+    """``df`` with ``out``, an array of hashes, null for a part without a term of the text.
+
+    The first is never null: without a term of the lexicon it is of all terms, without terms of the text.
+    """
     every = f"{out}_every"
     known = f"{out}_known"
     df = df.withColumn(every, F.array_sort(terms(F.col(text))))
     df = df.withColumn(known, F.filter(every, _in_lexicon(bits, slots)))
     rest = F.when(F.size(every) > 0, F.xxhash64(F.lit("terms"), F.col(every))).otherwise(F.xxhash64(F.lit("text"), F.col(text)))
-    kept = [F.col(known), *(F.filter(known, _in_subset(k)) for k in range(1, lexicons))]
-    return df.withColumn(out, F.array(*(F.when(F.size(x) > 0, F.xxhash64(x)).otherwise(rest) for x in kept))).drop(every, known)
+    parts = [F.filter(known, _in_part(k, share)) for k, share in enumerate(shares) if k]
+    return df.withColumn(out, F.array(F.when(F.size(known) > 0, F.xxhash64(known)).otherwise(rest), *(F.when(F.size(x) > 0, F.xxhash64(x)) for x in parts))).drop(every, known)
 
 
 def likeness(a: Column, b: Column) -> Column:
-    """Share of the hashes of two fingerprints that agree."""
-    same = F.aggregate(F.zip_with(a, b, lambda x, y: F.when(x == y, 1).otherwise(0)), F.lit(0), lambda s, x: s + x)
-    return same / F.size(a)
+    """Share of hashes that agree, among those that either fingerprint has."""
+    points = F.zip_with(a, b, lambda x, y: F.when(x == y, 1).when(x.isNotNull() | y.isNotNull(), 0))
+    return F.size(F.filter(points, lambda p: p == 1)) / F.size(F.filter(points, lambda p: p.isNotNull()))
 
 
 def as_text(a: Column) -> Column:
-    return F.array_join(F.transform(a, lambda x: F.lpad(F.lower(F.hex(x)), 16, "0")), "-")
+    """Hashes in hexadecimal, 0 for null, joined by hyphens."""
+    return F.array_join(F.transform(a, lambda x: F.coalesce(F.lpad(F.lower(F.hex(x)), 16, "0"), F.lit("0"))), "-")
 
 
 def ring(keys: DataFrame, scratch: Scratch) -> DataFrame:
@@ -99,7 +104,7 @@ def ring(keys: DataFrame, scratch: Scratch) -> DataFrame:
     return linked.join(F.broadcast(after), "part").select("key", "half", F.coalesce("lead", "after").alias("next_key"))
 
 
-def fingerprints(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", low: float = LOW, high: float = HIGH, slots: int = SLOTS, lexicons: int = LEXICONS) -> DataFrame:
+def fingerprints(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", low: float = LOW, high: float = HIGH, slots: int = SLOTS, shares: tuple[tuple[int, int], ...] = SHARES) -> DataFrame:
     """One row for each row: doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next.
 
     The edited text is the text with its last floor(n / 2) code points replaced by the first as
@@ -122,7 +127,7 @@ def fingerprints(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     n = F.length("text")
     half = F.floor(n / 2).cast("int")
     edited = docs.join(heads, "key").select("key", "text", n.cast("long").alias("n_chars"), F.concat(F.substr("text", F.lit(1), n - half), F.substr("head", F.lit(1), half)).alias("edited"))
-    marked = with_fingerprint(with_fingerprint(edited, "text", "own", bits, slots, lexicons), "edited", "other", bits, slots, lexicons)
+    marked = with_fingerprint(with_fingerprint(edited, "text", "own", bits, slots, shares), "edited", "other", bits, slots, shares)
     marked = scratch.save(marked.select("key", "n_chars", F.sha2("text", 256).alias("sha"), F.sha2("edited", 256).alias("edited_sha256"), "own", "other"), "marked")
     nexts = marked.select(F.col("key").alias("next_key"), "own", "sha")
     if repeated and repeated > 1:
