@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 
@@ -41,6 +42,11 @@ class Scratch:
         (writer.partitionBy(partition_by) if partition_by else writer).parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
+    def release(self) -> None:
+        """Have shuffle files of finished rounds deleted, which Spark does once the driver has collected their plans."""
+        gc.collect()
+        self.spark.sparkContext._jvm.System.gc()
+
     def drop(self, *names: str) -> None:
         """Delete tables that nothing reads any more."""
         jvm = self.spark._jvm

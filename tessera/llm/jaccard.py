@@ -27,8 +27,10 @@ from pyspark.sql import functions as F
 from .common import Scratch, ascii_lower, text_of, words_of
 from .components import connected_components
 
-#: A list of documents to compare is broadcast up to this many ids (8 bytes each).
-BROADCAST_IDS = 500_000
+#: Lists of documents and pairs to compare are broadcast up to this many rows (some 16 to 40 bytes each).
+BROADCAST_ROWS = 200_000
+#: Words of 64 bits of a set's parity map. It rules out pairs of sets up to about 2,000 items.
+MAP_WORDS = 16
 #: Cost of ruling out a pair of sets by size and parity map, in signatures sent.
 PAIR_COST = 0.1
 #: Keys that a task combines at a time.
@@ -37,6 +39,7 @@ BAND_RATIO = 1.25
 #: Items that a worker signs at a time.
 SIGN_ITEMS = 600_000
 NULL_ID = -(2**63)
+MAP = tuple(f"b{k}" for k in range(MAP_WORDS))
 
 
 def _bounds() -> np.ndarray:
@@ -120,7 +123,7 @@ def _as_lists(doc: np.ndarray, values: np.ndarray, docs: int) -> pa.ListArray:
 
 
 def _signer(percent: int, segments: np.ndarray, with_d: np.ndarray):
-    """mapInArrow body: (doc_id, items) -> doc_id, n, set identity, 256-bit parity map, keys, keys of deletions."""
+    """mapInArrow body: (doc_id, items) -> doc_id, n, set identity, parity map, keys, keys of deletions."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -129,12 +132,9 @@ def _signer(percent: int, segments: np.ndarray, with_d: np.ndarray):
                 doc = np.repeat(np.arange(docs), n)
                 t, h1, h2 = _identity(items, at)
                 place = _mix(items ^ np.uint64(0xD6E8FEB86659FD93))
-                bits = []
-                which = (place >> np.uint64(56)).astype(np.int64)
-                for k in range(4):
-                    one = np.where(which >> 6 == k, np.uint64(1) << (which & 63).astype(np.uint64), np.uint64(0))
-                    total = np.concatenate([np.zeros(1, np.uint64), np.bitwise_xor.accumulate(one)])
-                    bits.append(total[at[1:]] ^ total[at[:-1]])
+                bits = np.zeros(docs * MAP_WORDS, np.uint64)
+                np.bitwise_xor.at(bits, doc * MAP_WORDS + (place >> np.uint64(60)).astype(np.int64), np.uint64(1) << ((place >> np.uint64(54)) & np.uint64(63)))
+                bits = bits.reshape(docs, MAP_WORDS).T
                 high = np.searchsorted(BOUNDS, n, "right") - 1
                 low = np.searchsorted(BOUNDS, -(-n * percent // 100), "right") - 1
                 keys, key_doc, gone, gone_doc = [], [], [], []
@@ -156,8 +156,8 @@ def _signer(percent: int, segments: np.ndarray, with_d: np.ndarray):
                     gone.append(_mix((sums[cell[drop]] - x[drop]) ^ salt[cell[drop]]))
                     gone_doc.append(d[drop])
                 yield pa.RecordBatch.from_arrays(
-                    [b.column(0), pa.array(n), pa.array(h1.view(np.int64)), pa.array(h2.view(np.int64)), *(pa.array(x.view(np.int64)) for x in bits), _as_lists(np.concatenate(key_doc), np.concatenate(keys), docs), _as_lists(np.concatenate(gone_doc), np.concatenate(gone), docs)],
-                    names=["doc_id", "n", "h1", "h2", "b0", "b1", "b2", "b3", "keys", "gone"],
+                    [b.column(0), pa.array(n), pa.array(h1.view(np.int64)), pa.array(h2.view(np.int64)), *(pa.array(np.ascontiguousarray(x).view(np.int64)) for x in bits), _as_lists(np.concatenate(key_doc), np.concatenate(keys), docs), _as_lists(np.concatenate(gone_doc), np.concatenate(gone), docs)],
+                    names=["doc_id", "n", "h1", "h2", *MAP, "keys", "gone"],
                 )
 
     return run
@@ -238,31 +238,39 @@ def jaccard_components(df: DataFrame, words: int = 5, percent: int = 80, id_col:
     used = sizes + np.append(sizes[1:], 0) / 2
     schemes = [allocate(b, percent, used[b], deletions) for b in range(len(BOUNDS) - 1)]
     segments, with_d = (np.array(x, np.int64) for x in zip(*schemes, strict=True))
-    signed = with_shingles(docs, "text", words, [F.col("doc_id")]).mapInArrow(_signer(percent, segments, with_d), "doc_id long, n long, h1 long, h2 long, b0 long, b1 long, b2 long, b3 long, keys array<long>, gone array<long>")
+    signed = with_shingles(docs, "text", words, [F.col("doc_id")]).mapInArrow(_signer(percent, segments, with_d), "doc_id long, n long, h1 long, h2 long, " + ", ".join(f"{c} long" for c in MAP) + ", keys array<long>, gone array<long>")
     sets = scratch.save(signed.withColumn("row_id", F.monotonically_increasing_id()), "sets")
 
     classes = scratch.save(sets.filter("n > 0").groupBy("n", "h1", "h2").agg(F.min("row_id").alias("node"), F.min("doc_id").alias("min_doc")), "classes")
     nodes = sets.join(classes.select(F.col("node").alias("row_id")), "row_id", "left_semi")
-    meta = scratch.save(nodes.select(F.col("row_id").alias("node"), "n", "h1", "h2", F.coalesce("doc_id", F.lit(NULL_ID)).alias("doc_id"), "b0", "b1", "b2", "b3"), "meta")
+    meta = scratch.save(nodes.select(F.col("row_id").alias("node"), "n", "h1", "h2", F.coalesce("doc_id", F.lit(NULL_ID)).alias("doc_id"), *MAP), "meta")
     dealt = nodes.select("row_id", "keys", "gone").mapInArrow(_postings, "deal long, node long, whole boolean, key long, center long")
     same = Window.partitionBy("deal")
     met = dealt.select("*", F.min("node").over(same).alias("low"), F.max("node").over(same).alias("high")).filter("key IS NOT NULL OR low < high")
     shared = scratch.save(met.select(F.coalesce("key", "deal").alias("key"), "whole", "node", F.coalesce("center", "low").alias("center")), "shared")
+    rows = scratch.save(sets.select("row_id", "doc_id", "n", "h1", "h2"), "rows")
+    scratch.drop("sets")
+    scratch.release()
 
     def compared(pairs: DataFrame, name: str) -> DataFrame:
         """The pairs (a, b) of nodes that link."""
         pairs = scratch.save(plausible(with_meta(pairs, meta), percent).select("a", "b").distinct(), f"{name}pairs")
-        members = scratch.save(pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct(), f"{name}members")
-        known = meta.join(members, "node").select("node", "n", "h1", "h2", "doc_id")
+        short = pairs.count() <= BROADCAST_ROWS
+        side = F.broadcast if short else lambda df: df  # else the same joins shuffle
+        members = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
+        known = scratch.save(meta.join(members, "node").select("node", "n", "h1", "h2", "doc_id"), f"{name}known")
         ids = known.select(F.col("doc_id").alias("id_key")).distinct()
-        ids = F.broadcast(ids) if members.count() <= BROADCAST_IDS else ids
-        texts = docs.withColumn("id_key", F.coalesce("doc_id", F.lit(NULL_ID))).join(ids, "id_key", "left_semi")
+        texts = docs.withColumn("id_key", F.coalesce("doc_id", F.lit(NULL_ID))).join(side(ids), "id_key", "left_semi")
         found = with_shingles(texts, "text", words, []).mapInArrow(_identify, "n long, h1 long, h2 long, items array<long>")
-        items = scratch.save(found.join(known, ["n", "h1", "h2"]).groupBy("node").agg(F.first("items").alias("items")), f"{name}items")
-        both = pairs.join(items.select(F.col("node").alias("a"), F.col("items").alias("of_a")), "a").join(items.select(F.col("node").alias("b"), F.col("items").alias("of_b")), "b")
+        # A repeated id may bring a node's items twice, and so a link twice, which changes nothing.
+        items = scratch.save(found.join(side(known), ["n", "h1", "h2"]).select("node", "items"), f"{name}items")
+        of_a = items.select(F.col("node").alias("a"), F.col("items").alias("of_a")).join(side(pairs), "a")
+        of_b = items.select(F.col("node").alias("b"), F.col("items").alias("of_b")).join(side(pairs.select("b").distinct()), "b", "left_semi")
+        both = of_a.join(of_b, "b")
         common = both.select("a", "b", (F.size("of_a") + F.size("of_b")).alias("total"), F.size(F.array_intersect("of_a", "of_b")).alias("common"))
         links = scratch.save(common.filter(F.col("common") * (100 + percent) >= F.col("total") * percent).select("a", "b"), f"{name}links")
-        scratch.drop(f"{name}pairs", f"{name}members", f"{name}items")
+        scratch.drop(f"{name}pairs", f"{name}known", f"{name}items")
+        scratch.release()
         return links
 
     # First each node with the center that it shares most keys with, then with its other centers.
@@ -286,30 +294,30 @@ def jaccard_components(df: DataFrame, words: int = 5, percent: int = 80, id_col:
     placed = comp_of(shared, "node", "comp")
     mixed = placed.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo < hi").select("key")
     left = scratch.save(placed.join(mixed, "key").join(meta.drop("h1", "h2", "doc_id"), "node"), "left")
-    a = left.select("key", *(F.col(c).alias(f"{c}_a") for c in ("node", "whole", "comp", "n", "b0", "b1", "b2", "b3")))
-    b = left.select("key", *(F.col(c).alias(f"{c}_b") for c in ("node", "whole", "comp", "n", "b0", "b1", "b2", "b3")))
+    a = left.select("key", *(F.col(c).alias(f"{c}_a") for c in ("node", "whole", "comp", "n", *MAP)))
+    b = left.select("key", *(F.col(c).alias(f"{c}_b") for c in ("node", "whole", "comp", "n", *MAP)))
     rest = plausible(a.join(b, "key").filter("node_a < node_b AND comp_a <> comp_b AND (whole_a OR whole_b)"), percent)
     comps = merge(compared(rest.select(F.col("node_a").alias("a"), F.col("node_b").alias("b")).distinct(), "rest"), "rest")
 
-    of_row = sets.select("row_id", "doc_id", "n", "h1", "h2").join(classes.select("n", "h1", "h2", "node"), ["n", "h1", "h2"], "left")
+    of_row = rows.join(classes.select("n", "h1", "h2", "node"), ["n", "h1", "h2"], "left")
     of_row = comp_of(of_row, "node", "comp").select("row_id", "doc_id", "n", F.coalesce("comp", "row_id").alias("comp"))
     least = classes.select("node", "min_doc").join(comps, "node").groupBy("comp").agg(F.min("min_doc").alias("least"))
     alone = classes.select(F.col("node").alias("comp"), "min_doc")
     out = of_row.join(least, "comp", "left").join(alone, "comp", "left").select("row_id", "doc_id", "n", "comp", F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.coalesce("least", "min_doc")).alias("component_id"))
     out = scratch.save(out, "out")
     first = out.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("comp").agg(F.min("row_id").alias("first_row"))
-    scratch.drop("sets", "shared", "left", "stars")
+    scratch.drop("shared", "left", "stars")
     return out.join(first, "comp", "left").select("doc_id", F.col("n").alias("n_shingles"), "component_id", (F.col("row_id") == F.col("first_row")).alias("first"))
 
 
 def with_meta(pairs: DataFrame, meta: DataFrame) -> DataFrame:
     for side in ("a", "b"):
-        pairs = pairs.join(meta.select(F.col("node").alias(side), *(F.col(c).alias(f"{c}_{side}") for c in ("n", "b0", "b1", "b2", "b3"))), side)
+        pairs = pairs.join(meta.select(F.col("node").alias(side), *(F.col(c).alias(f"{c}_{side}") for c in ("n", *MAP))), side)
     return pairs
 
 
 def plausible(pairs: DataFrame, percent: int) -> DataFrame:
     """Pairs whose sizes and parity maps allow a link: each bit that differs is an item of one set only."""
     size = F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * percent
-    bits = sum((F.bit_count(F.col(f"b{k}_a").bitwiseXOR(F.col(f"b{k}_b"))) for k in range(4)), F.lit(0))
+    bits = sum((F.bit_count(F.col(f"b{k}_a").bitwiseXOR(F.col(f"b{k}_b"))) for k in range(MAP_WORDS)), F.lit(0))
     return pairs.filter(size & (bits * (100 + percent) <= (F.col("n_a") + F.col("n_b")) * (100 - percent)))
