@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import gc
 import tempfile
+import time
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -43,9 +44,14 @@ class Scratch:
         return self.spark.read.schema(df.schema).parquet(path)
 
     def release(self) -> None:
-        """Have shuffle files of finished rounds deleted, which Spark does once the driver has collected their plans."""
-        gc.collect()
-        self.spark.sparkContext._jvm.System.gc()
+        """Have shuffle files of finished rounds deleted, which Spark does once the driver has collected their plans.
+
+        Python's references to plans go first, then the plans, then what only they refer to: so more than one pass.
+        """
+        for _ in range(3):
+            gc.collect()
+            self.spark.sparkContext._jvm.System.gc()
+            time.sleep(0.3)
 
     def drop(self, *names: str) -> None:
         """Delete tables that nothing reads any more."""
