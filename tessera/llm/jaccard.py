@@ -31,6 +31,8 @@ from .components import connected_components
 BROADCAST_ROWS = 200_000
 #: Words of 64 bits of a set's parity map. It rules out pairs of sets up to about 2,000 items.
 MAP_WORDS = 16
+#: Sets with more items than LARGE have a second, wider map, used for pairs of such sets only.
+LARGE, WIDE_WORDS = 1_500, 128
 #: Cost of ruling out a pair of sets by size and parity map, in signatures sent.
 PAIR_COST = 0.1
 #: Keys that a task combines at a time.
@@ -135,6 +137,11 @@ def _signer(percent: int, segments: np.ndarray, with_d: np.ndarray):
                 bits = np.zeros(docs * MAP_WORDS, np.uint64)
                 np.bitwise_xor.at(bits, doc * MAP_WORDS + (place >> np.uint64(60)).astype(np.int64), np.uint64(1) << ((place >> np.uint64(54)) & np.uint64(63)))
                 bits = bits.reshape(docs, MAP_WORDS).T
+                rank = np.cumsum(n > LARGE) - 1
+                big = n[doc] > LARGE
+                wide = np.zeros(int((n > LARGE).sum()) * WIDE_WORDS, np.uint64)
+                np.bitwise_xor.at(wide, rank[doc[big]] * WIDE_WORDS + (place[big] >> np.uint64(57)).astype(np.int64), np.uint64(1) << ((place[big] >> np.uint64(51)) & np.uint64(63)))
+                wide_at = np.concatenate([[0], np.cumsum(np.where(n > LARGE, WIDE_WORDS, 0))]).astype(np.int32)
                 high = np.searchsorted(BOUNDS, n, "right") - 1
                 low = np.searchsorted(BOUNDS, -(-n * percent // 100), "right") - 1
                 keys, key_doc, gone, gone_doc = [], [], [], []
@@ -156,8 +163,8 @@ def _signer(percent: int, segments: np.ndarray, with_d: np.ndarray):
                     gone.append(_mix((sums[cell[drop]] - x[drop]) ^ salt[cell[drop]]))
                     gone_doc.append(d[drop])
                 yield pa.RecordBatch.from_arrays(
-                    [b.column(0), pa.array(n), pa.array(h1.view(np.int64)), pa.array(h2.view(np.int64)), *(pa.array(np.ascontiguousarray(x).view(np.int64)) for x in bits), _as_lists(np.concatenate(key_doc), np.concatenate(keys), docs), _as_lists(np.concatenate(gone_doc), np.concatenate(gone), docs)],
-                    names=["doc_id", "n", "h1", "h2", *MAP, "keys", "gone"],
+                    [b.column(0), pa.array(n), pa.array(h1.view(np.int64)), pa.array(h2.view(np.int64)), *(pa.array(np.ascontiguousarray(x).view(np.int64)) for x in bits), pa.ListArray.from_arrays(pa.array(wide_at), pa.array(wide.view(np.int64))), _as_lists(np.concatenate(key_doc), np.concatenate(keys), docs), _as_lists(np.concatenate(gone_doc), np.concatenate(gone), docs)],
+                    names=["doc_id", "n", "h1", "h2", *MAP, "wide", "keys", "gone"],
                 )
 
     return run
@@ -238,12 +245,12 @@ def jaccard_components(df: DataFrame, words: int = 5, percent: int = 80, id_col:
     used = sizes + np.append(sizes[1:], 0) / 2
     schemes = [allocate(b, percent, used[b], deletions) for b in range(len(BOUNDS) - 1)]
     segments, with_d = (np.array(x, np.int64) for x in zip(*schemes, strict=True))
-    signed = with_shingles(docs, "text", words, [F.col("doc_id")]).mapInArrow(_signer(percent, segments, with_d), "doc_id long, n long, h1 long, h2 long, " + ", ".join(f"{c} long" for c in MAP) + ", keys array<long>, gone array<long>")
+    signed = with_shingles(docs, "text", words, [F.col("doc_id")]).mapInArrow(_signer(percent, segments, with_d), "doc_id long, n long, h1 long, h2 long, " + ", ".join(f"{c} long" for c in MAP) + ", wide array<long>, keys array<long>, gone array<long>")
     sets = scratch.save(signed.withColumn("row_id", F.monotonically_increasing_id()), "sets")
 
     classes = scratch.save(sets.filter("n > 0").groupBy("n", "h1", "h2").agg(F.min("row_id").alias("node"), F.min("doc_id").alias("min_doc")), "classes")
     nodes = sets.join(classes.select(F.col("node").alias("row_id")), "row_id", "left_semi")
-    meta = scratch.save(nodes.select(F.col("row_id").alias("node"), "n", "h1", "h2", F.coalesce("doc_id", F.lit(NULL_ID)).alias("doc_id"), *MAP), "meta")
+    meta = scratch.save(nodes.select(F.col("row_id").alias("node"), "n", "h1", "h2", F.coalesce("doc_id", F.lit(NULL_ID)).alias("doc_id"), *MAP, "wide"), "meta")
     dealt = nodes.select("row_id", "keys", "gone").mapInArrow(_postings, "deal long, node long, whole boolean, key long, center long")
     same = Window.partitionBy("deal")
     met = dealt.select("*", F.min("node").over(same).alias("low"), F.max("node").over(same).alias("high")).filter("key IS NOT NULL OR low < high")
@@ -254,7 +261,14 @@ def jaccard_components(df: DataFrame, words: int = 5, percent: int = 80, id_col:
 
     def compared(pairs: DataFrame, name: str) -> DataFrame:
         """The pairs (a, b) of nodes that link."""
-        pairs = scratch.save(plausible(with_meta(pairs, meta), percent).select("a", "b").distinct(), f"{name}pairs")
+        first = scratch.save(plausible(with_meta(pairs, meta), percent).select("a", "b", "n_a", "n_b").distinct(), f"{name}first")
+        both_large = (F.col("n_a") > LARGE) & (F.col("n_b") > LARGE)
+        wide = first.filter(both_large)
+        for side in ("a", "b"):
+            wide = wide.join(meta.filter(F.col("n") > LARGE).select(F.col("node").alias(side), F.col("wide").alias(f"wide_{side}")), side)
+        differ = F.aggregate(F.zip_with("wide_a", "wide_b", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda t, x: t + x)
+        wide = wide.filter(differ * (100 + percent) <= (F.col("n_a") + F.col("n_b")) * (100 - percent))
+        pairs = scratch.save(first.filter(~both_large).select("a", "b").union(wide.select("a", "b")), f"{name}pairs")
         short = pairs.count() <= BROADCAST_ROWS
         side = F.broadcast if short else lambda df: df  # else the same joins shuffle
         members = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
@@ -269,7 +283,7 @@ def jaccard_components(df: DataFrame, words: int = 5, percent: int = 80, id_col:
         both = of_a.join(of_b, "b")
         common = both.select("a", "b", (F.size("of_a") + F.size("of_b")).alias("total"), F.size(F.array_intersect("of_a", "of_b")).alias("common"))
         links = scratch.save(common.filter(F.col("common") * (100 + percent) >= F.col("total") * percent).select("a", "b"), f"{name}links")
-        scratch.drop(f"{name}pairs", f"{name}known", f"{name}items")
+        scratch.drop(f"{name}first", f"{name}pairs", f"{name}known", f"{name}items")
         scratch.release()
         return links
 
@@ -293,7 +307,7 @@ def jaccard_components(df: DataFrame, words: int = 5, percent: int = 80, id_col:
     # Then, within keys that still hold several components, each pair of which the components differ.
     placed = comp_of(shared, "node", "comp")
     mixed = placed.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo < hi").select("key")
-    left = scratch.save(placed.join(mixed, "key").join(meta.drop("h1", "h2", "doc_id"), "node"), "left")
+    left = scratch.save(placed.join(mixed, "key").join(meta.drop("h1", "h2", "doc_id", "wide"), "node"), "left")
     a = left.select("key", *(F.col(c).alias(f"{c}_a") for c in ("node", "whole", "comp", "n", *MAP)))
     b = left.select("key", *(F.col(c).alias(f"{c}_b") for c in ("node", "whole", "comp", "n", *MAP)))
     rest = plausible(a.join(b, "key").filter("node_a < node_b AND comp_a <> comp_b AND (whole_a OR whole_b)"), percent)

@@ -75,6 +75,16 @@ def test_hot_group_and_first(spark):
     assert sorted(x.doc_id for x in got if x.first) == sorted({x.component_id for x in got})
 
 
+def test_large_sets(spark):
+    r = random.Random(6)
+    base = [f"u{i}" for i in range(3000)]
+    rows = [(i, " ".join(w if r.random() > 0.01 else f"z{r.random()}" for w in base)) for i in range(12)]
+    rows += [(100 + i, " ".join(f"v{i}_{j}" for j in range(2500))) for i in range(8)]
+    rows += [(200, " ".join(base[:1499])), (201, " ".join(base[:1580])), (202, " ".join(base[:1700]))]
+    got = jaccard_components(spark.createDataFrame(rows, "doc_id long, text string"), 3, 90).collect()
+    assert sorted((str(x.doc_id), x.n_shingles, str(x.component_id)) for x in got) == brute(rows, 3, 90)
+
+
 def test_empty(spark):
     assert jaccard_components(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 
