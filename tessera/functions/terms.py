@@ -186,7 +186,7 @@ PUNCTUATION = {"‐": "-", "‑": "-", "‒": "-", "–": "-", "—": "-", "‘"
 def _compatible() -> tuple[dict[str, str], dict[str, str]]:
     """Characters whose NFKD form, marks removed, is ASCII: of one character, and of several."""
     one, several = {}, {}
-    for point in range(0x80, 0x10000):
+    for point in range(0x80, 0x110000):
         ch = chr(point)
         if ch in GREEK or ch in PUNCTUATION or 0xD800 <= point < 0xE000:
             continue
