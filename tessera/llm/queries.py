@@ -72,7 +72,7 @@ def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_quote_linking(spark: SparkSession, sf_dir: str) -> DataFrame:
-    linked = link_quotes(table(spark, sf_dir, "conversations"))
+    linked = link_quotes(table(spark, sf_dir, "conversations"), every_holder=True)
     return linked.withColumn("clean_sha256", F.sha2("clean", 256)).drop("clean")
 
 

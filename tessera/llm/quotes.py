@@ -18,6 +18,8 @@ from .common import Scratch, text_of
 
 #: Words that a line needs for its hash to say where it is from.
 LEAST_WORDS = 3
+#: Holders of a key up to which each is a candidate by itself, and rows of a side that is broadcast.
+COMMON, BROADCAST_ROWS = 50, 200_000
 ORDER_COLUMNS = ("root", "depth", "conv_id", "turn", "row_id")
 
 
@@ -90,14 +92,76 @@ def positions(rows: DataFrame, scratch: Scratch) -> DataFrame:
     return counted.join(side, ["part", "root"], "left").select("row_id", (F.col("place") + F.coalesce("before", F.lit(0))).alias("position"))
 
 
-def link_quotes(df: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn", role_col: str = "role", text_col: str = "text") -> DataFrame:
+def _first_holders(lines: DataFrame, scratch: Scratch) -> DataFrame:
+    """(row_id, source) by one candidate for each quoted line: its first holder in the conversation, else the first of all."""
+    me = F.struct("conv_id", "turn", "row_id")
+    own = lines.filter("l.level = 0").select(F.col("l.key").alias("key"), "conv_id", me.alias("holder"))
+    in_conv = scratch.save(own.groupBy("key", "conv_id").agg(F.min("holder").alias("near")), "in_conv")
+    of_all = scratch.save(in_conv.groupBy("key").agg(F.min("near").alias("far")), "of_all")
+    quoted = lines.filter("l.level = 1").select(F.col("l.key").alias("key"), "conv_id", "row_id", me.alias("me")).distinct()
+    found = quoted.join(in_conv, ["key", "conv_id"], "left").join(of_all, "key", "left")
+    near = F.when(F.col("near") < F.col("me"), F.col("near"))
+    far = F.when(F.col("far.conv_id") < F.col("conv_id"), F.col("far"))
+    votes = found.select("row_id", F.coalesce(near, far).alias("source"), near.isNotNull().cast("int").alias("is_near")).filter("source IS NOT NULL").groupBy("row_id", "source").agg(F.count("*").alias("n"), F.max("is_near").alias("is_near"))
+    return votes.groupBy("row_id").agg(F.min(F.struct((-F.col("n")).alias("n"), (-F.col("is_near")).alias("k"), F.col("source"))).alias("x")).select("row_id", "x.source")
+
+
+def _short(df: DataFrame) -> DataFrame:
+    """``df``, broadcast where it has few rows."""
+    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
+
+
+def _most_lines(asked: DataFrame, own: DataFrame, scratch: Scratch, common: int = COMMON) -> DataFrame:
+    """(q, source, n) of each quote q with a holder: the earlier message that holds most of its lines, n of them.
+
+    ``asked``: q, me, line, key, distinct; a line of a quote is held where one of its keys is. ``own``: key, holder,
+    distinct. Of equal holders the first of the conversation of ``me`` comes first, then the first of all.
+    Exact: holders of a key that at most ``common`` messages have are scored by all lines. Other holders can only have
+    common keys; they are scored once for each distinct set of common (line, key) that quotes have, and of each number of
+    lines held only the first holder of all and of each conversation is kept, which is the one a quote would take.
+    """
+    asked = scratch.save(asked, "asked")
+    own = scratch.save(own.join(_short(asked.select("key").distinct()), "key", "left_semi"), "own")
+    held = scratch.save(own.groupBy("key").agg(F.count("*").alias("n_holders")), "held")
+    asked = scratch.save(asked.join(_short(held), "key").withColumn("rare", F.col("n_holders") <= common), "asked_held")
+    rare_own = own.join(_short(held.filter(F.col("n_holders") <= common).select("key")), "key", "left_semi")
+    by_rare = asked.filter("rare").join(rare_own, "key").filter("holder < me").select("q", "me", "line", "holder")
+    by_rare = scratch.save(by_rare.distinct(), "by_rare")
+    also = by_rare.select("q", "me", "holder").distinct().join(asked.filter("NOT rare").select("q", "line", "key"), "q")
+    also = also.join(own, ["key", "holder"], "left_semi").select("q", "me", "line", "holder")
+    votes = by_rare.union(also).distinct().groupBy("q", "me", "holder").agg(F.count("*").alias("n"))
+    # Sets of common keys. The line numbers of a set start anew, so that equal sets are one.
+    sets = asked.filter("NOT rare").groupBy("q", "me", "line").agg(F.sort_array(F.collect_set("key")).alias("keys"))
+    sets = sets.groupBy("q", "me").agg(F.sort_array(F.collect_list("keys")).alias("lines"))
+    sets = scratch.save(sets.select("q", "me", F.sha2(F.to_json("lines"), 256).alias("set"), "lines"), "sets")
+    lines = sets.groupBy("set").agg(F.first("lines").alias("lines")).select("set", F.posexplode("lines").alias("line", "keys")).select("set", "line", F.explode("keys").alias("key"))
+    lines = scratch.save(lines, "set_lines")
+    scored = own.join(_short(lines), "key").groupBy("set", "holder").agg(F.count_distinct("line").alias("n"))
+    near = scratch.save(scored.groupBy("set", "n", F.col("holder.conv_id").alias("conv_id")).agg(F.min("holder").alias("holder")), "set_near")
+    far = scratch.save(near.groupBy("set", "n").agg(F.min("holder").alias("holder")), "set_far")
+    quotes = sets.select("q", "me", "set", F.col("me.conv_id").alias("conv_id"))
+    by_set = quotes.join(_short(near), ["set", "conv_id"]).select("q", "me", "holder", "n").union(quotes.join(_short(far), "set").select("q", "me", "holder", "n")).filter("holder < me")
+    order = F.struct((-F.col("n")).alias("n"), (F.col("holder.conv_id") != F.col("me.conv_id")).alias("far"), F.col("holder"))
+    best = votes.select("q", "me", "holder", "n").union(by_set).groupBy("q").agg(F.min(order).alias("x"))
+    return scratch.save(best.select("q", F.col("x.holder").alias("source"), (-F.col("x.n")).alias("n")), "best")
+
+
+def _every_holder(lines: DataFrame, scratch: Scratch) -> DataFrame:
+    """(row_id, source) by all holders of the quoted lines."""
+    me = F.struct("conv_id", "turn", "row_id")
+    asked = lines.filter("l.level = 1").select(F.col("row_id").alias("q"), me.alias("me"), F.col("l.key").alias("line"), F.col("l.key").alias("key")).distinct()
+    own = lines.filter("l.level = 0").select(F.col("l.key").alias("key"), me.alias("holder")).distinct()
+    return _most_lines(asked, own, scratch).select(F.col("q").alias("row_id"), "source")
+
+
+def link_quotes(df: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn", role_col: str = "role", text_col: str = "text", every_holder: bool = False) -> DataFrame:
     """One row for each message: conv_id, turn, role, parent_conv, parent_turn, by_quote, thread_conv, thread_turn, depth, position, n_quoted, clean.
 
     The parent by quote is the message that holds most lines of the level-1 quotes, of equal ones the
     first in its own conversation, else the first by (conv_id, turn); only messages that come before by
     (conv_id, turn, first read) in the same conversation, or are of another, smaller conv_id, can be parents, so there
-    are no cycles. A line that several messages hold counts for the first holder in the own conversation and,
-    if there is none, for the first of all: a line that everybody writes costs one row of the index. Without such a parent a message
+    are no cycles. With ``every_holder`` all messages that hold a line count; without it a line that several hold counts
+    for the first holder in the own conversation and, if there is none, for the first of all. Without such a parent a message
     replies to the row before it in its conversation; the first has none. ``clean`` is the text without
     quoted lines. Null text is empty; null conv_id or turn counts as the smallest; repeated rows are
     messages of their own. Other columns are ignored. An empty table gives an empty result.
@@ -106,17 +170,8 @@ def link_quotes(df: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn"
     low = F.lit(-(2**63))
     base = df.select(F.coalesce(F.col(conv_col).cast("long"), low).alias("conv_id"), F.coalesce(F.col(turn_col).cast("long"), low).alias("turn"), F.col(role_col).alias("role"), parsed_lines(text_of(text_col)).alias("lines"))
     rows = scratch.save(base.withColumn("row_id", F.monotonically_increasing_id()), "rows")
-    me = F.struct("conv_id", "turn", "row_id")
     lines = rows.select("conv_id", "turn", "row_id", F.explode("lines").alias("l")).filter("l.key IS NOT NULL")
-    own = lines.filter("l.level = 0").select(F.col("l.key").alias("key"), "conv_id", me.alias("holder"))
-    in_conv = scratch.save(own.groupBy("key", "conv_id").agg(F.min("holder").alias("near")), "in_conv")
-    of_all = scratch.save(in_conv.groupBy("key").agg(F.min("near").alias("far")), "of_all")
-    quoted = lines.filter("l.level = 1").select(F.col("l.key").alias("key"), "conv_id", "row_id", me.alias("me")).distinct()
-    found = quoted.join(in_conv, ["key", "conv_id"], "left").join(of_all, "key", "left")
-    near = F.when(F.col("near") < F.col("me"), F.col("near"))
-    far = F.when(F.col("far.conv_id") < F.col("conv_id"), F.col("far"))
-    votes = found.select("row_id", F.coalesce(near, far).alias("source"), near.isNotNull().cast("int").alias("is_near")).filter("source IS NOT NULL").groupBy("row_id", "source").agg(F.count("*").alias("n"), F.max("is_near").alias("is_near"))
-    best = votes.groupBy("row_id").agg(F.min(F.struct((-F.col("n")).alias("n"), (-F.col("is_near")).alias("k"), F.col("source"))).alias("x")).select("row_id", "x.source")
+    best = _every_holder(lines, scratch) if every_holder else _first_holders(lines, scratch)
     # The row before in the conversation, by a rank join: no task needs a whole conversation.
     ranked = positions(rows.select(F.col("conv_id").alias("root"), F.lit(0).alias("depth"), "conv_id", "turn", "row_id"), scratch)
     ranked = scratch.save(ranked.join(rows.select("row_id", "conv_id", "turn"), "row_id").select("row_id", "conv_id", "turn", F.col("position").alias("rank")), "ranked")
