@@ -1,8 +1,8 @@
 """Quotation linking: reply trees from quoted passages, and messages without their quotes.
 
-A line that begins with quote marks (>) belongs to a quote of that level. Every quoted line
-is normalised and hashed, and looked up among the hashed own lines of all messages; the message
-that most lines of a message's outermost quote come from is its parent. Messages without
+A line that begins with quote marks (>) belongs to a quote of that level. Every quoted line and
+passage is normalised and hashed, and looked up among the hashed own lines and passages of all messages; the
+message that holds most lines of a message's outermost quote that any holds is its parent. Messages without
 such a parent reply to the turn before. Trees are ordered by depth, conversation and turn.
 """
 
@@ -11,7 +11,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import Scratch, text_of
@@ -146,12 +146,54 @@ def _most_lines(asked: DataFrame, own: DataFrame, scratch: Scratch, common: int
     return scratch.save(best.select("q", F.col("x.holder").alias("source"), (-F.col("x.n")).alias("n")), "best")
 
 
-def _every_holder(lines: DataFrame, scratch: Scratch) -> DataFrame:
-    """(row_id, source) by all holders of the quoted lines."""
+def passages(lines: Column, conv: Column) -> Column:
+    """Array of (level, keys, whole) of the passages of parsed lines: runs of lines of one level without blank lines.
+
+    ``keys`` are of its lines, ``whole`` of all its words over line breaks. Characters of scripts without spaces are
+    words. Keys of fewer than LEAST_WORDS words, and of lines of signs only, hold within the conversation.
+    """
+
+    def said(line: Column) -> Column:
+        spaced = F.regexp_replace(F.lower(line["body"]), r"([\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}])", " $1 ")
+        plain = F.trim(F.regexp_replace(spaced, r"[^\p{L}\p{M}\p{N}]++", " "))
+        return F.when(plain != "", plain).otherwise(F.trim(F.translate(line["body"], "\x01\x02\t", "   ")))
+
+    def key(words: Column) -> Column:
+        long = (F.size(F.split(words, " ")) >= LEAST_WORDS) & words.rlike(r"[\p{L}\p{N}]")
+        return F.when(long, F.xxhash64(words)).otherwise(F.xxhash64(words, conv))
+
+    def marked(line: Column) -> Column:
+        words, level = said(line), line["level"].cast("string")
+        return F.when(words != "", F.concat(level, F.lit("\x01"), words, F.lit("\x01"), level)).otherwise("")
+
+    def passage(text: Column) -> Column:
+        parts = F.split(text, "\x01")
+        words = F.get(parts, F.lit(1))
+        keys = F.transform(F.split(words, "\x02"), key)
+        return F.struct(F.get(parts, F.lit(0)).cast("int").alias("level"), keys.alias("keys"), key(F.replace(words, F.lit("\x02"), F.lit(" "))).alias("whole"))
+
+    text = F.regexp_replace(F.array_join(F.transform(lines, marked), "\n"), "\x01([0-9]+)\n\\1\x01", "\x02")
+    return F.transform(F.filter(F.split(text, "\n"), lambda x: x != ""), passage)
+
+
+def _every_holder(rows: DataFrame, scratch: Scratch) -> DataFrame:
+    """(row_id, source) by all holders of the quoted passages of every level.
+
+    A message's source is that of its outermost level that has one. Where a message names none itself, others
+    may name it: the source of a deeper level of their quotes is the parent of the source of the level around it.
+    """
     me = F.struct("conv_id", "turn", "row_id")
-    asked = lines.filter("l.level = 1").select(F.col("row_id").alias("q"), me.alias("me"), F.col("l.key").alias("line"), F.col("l.key").alias("key")).distinct()
-    own = lines.filter("l.level = 0").select(F.col("l.key").alias("key"), me.alias("holder")).distinct()
-    return _most_lines(asked, own, scratch).select(F.col("q").alias("row_id"), "source")
+    found = scratch.save(rows.select("row_id", "conv_id", me.alias("me"), F.explode(passages(F.col("lines"), F.col("conv_id"))).alias("p")), "passages")
+    quoted = found.filter("p.level > 0").select(F.struct("row_id", "p.level").alias("q"), "me", "p.whole", F.explode("p.keys").alias("line"))
+    asked = quoted.select("q", "me", "line", F.explode(F.array("line", "whole")).alias("key")).distinct()
+    own = found.filter("p.level = 0").select(F.explode(F.array_union("p.keys", F.array("p.whole"))).alias("key"), F.col("me").alias("holder")).distinct()
+    best = _most_lines(asked, own, scratch)
+    direct = scratch.save(best.groupBy("q.row_id").agg(F.min(F.struct("q.level", "source")).alias("x")).select("row_id", "x.source"), "direct")
+    inner = F.lead("source").over(Window.partitionBy("q.row_id").orderBy("q.level"))
+    named = best.select(F.col("source").alias("child"), inner.alias("source")).filter("source < child").groupBy("child", "source").agg(F.count("*").alias("n"))
+    order = F.struct((-F.col("n")).alias("n"), (F.col("source.conv_id") != F.col("child.conv_id")).alias("far"), F.col("source"))
+    named = named.groupBy(F.col("child.row_id").alias("row_id")).agg(F.min(order).alias("x")).select("row_id", "x.source")
+    return direct.union(named.join(direct, "row_id", "left_anti"))
 
 
 def link_quotes(df: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn", role_col: str = "role", text_col: str = "text", every_holder: bool = False) -> DataFrame:
@@ -160,7 +202,9 @@ def link_quotes(df: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn"
     The parent by quote is the message that holds most lines of the level-1 quotes, of equal ones the
     first in its own conversation, else the first by (conv_id, turn); only messages that come before by
     (conv_id, turn, first read) in the same conversation, or are of another, smaller conv_id, can be parents, so there
-    are no cycles. With ``every_holder`` all messages that hold a line count; without it a line that several hold counts
+    are no cycles. With ``every_holder`` all messages that hold a line count, a line is also held where its passage is,
+    whatever its line breaks, deeper levels count where outer ones have no holder, and short lines link within
+    their conversation; without it only level 1 and lines of LEAST_WORDS words count, and a line that several hold counts
     for the first holder in the own conversation and, if there is none, for the first of all. Without such a parent a message
     replies to the row before it in its conversation; the first has none. ``clean`` is the text without
     quoted lines. Null text is empty; null conv_id or turn counts as the smallest; repeated rows are
@@ -171,7 +215,7 @@ def link_quotes(df: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn"
     base = df.select(F.coalesce(F.col(conv_col).cast("long"), low).alias("conv_id"), F.coalesce(F.col(turn_col).cast("long"), low).alias("turn"), F.col(role_col).alias("role"), parsed_lines(text_of(text_col)).alias("lines"))
     rows = scratch.save(base.withColumn("row_id", F.monotonically_increasing_id()), "rows")
     lines = rows.select("conv_id", "turn", "row_id", F.explode("lines").alias("l")).filter("l.key IS NOT NULL")
-    best = _every_holder(lines, scratch) if every_holder else _first_holders(lines, scratch)
+    best = _every_holder(rows, scratch) if every_holder else _first_holders(lines, scratch)
     # The row before in the conversation, by a rank join: no task needs a whole conversation.
     ranked = positions(rows.select(F.col("conv_id").alias("root"), F.lit(0).alias("depth"), "conv_id", "turn", "row_id"), scratch)
     ranked = scratch.save(ranked.join(rows.select("row_id", "conv_id", "turn"), "row_id").select("row_id", "conv_id", "turn", F.col("position").alias("rank")), "ranked")

@@ -3,8 +3,7 @@ import random
 import pytest
 from test_quotes import parse
 
-from tessera.llm.quotes import _every_holder, _most_lines, link_quotes
-from tessera.llm.common import Scratch
+from tessera.llm.quotes import _most_lines, link_quotes
 
 COLUMNS = "conv_id long, turn long, role string, text string"
 
@@ -43,3 +42,29 @@ def test_every_holder_against_brute_force(spark, common, monkeypatch):
         quoted = [f"> {x}" for x in r.sample(stock, r.randrange(0, 5))]
         rows.append((i // 8, i, "\n".join(quoted + own)))
     assert parents(spark, rows) == brute(rows)
+
+
+def test_levels_short_lines_scripts_and_line_breaks(spark):
+    rows = [
+        (1, 0, "the first message of all"),
+        (1, 1, "no quote in this one"),
+        (1, 2, "something else in between"),
+        (1, 3, "> no quote in this one\n>> the first message of all\nboth named"),
+        (1, 4, ">> the first message of all\nonly deeper"),
+        (2, 0, "yes please"),
+        (2, 1, "👍"),
+        (2, 2, "other words here now"),
+        (2, 3, "> yes please\nfine"),
+        (2, 4, "> 👍\nfine"),
+        (3, 0, "yes please"),
+        (3, 1, "今天天气很好"),
+        (4, 0, "> 今天天气很好\n"),
+        (4, 1, "> yes please"),
+        (5, 0, "a long passage that one mailer keeps in a line\n\nand one more"),
+        (6, 0, "keeps in a line"),
+        (6, 1, "> a long passage that\n> one mailer\n> keeps in a line\nso it is"),
+    ]
+    got = parents(spark, rows)
+    assert {k: v for k, v in got.items() if v} == {
+        (1, 1): (1, 0), (1, 3): (1, 1), (1, 4): (1, 0), (2, 3): (2, 0), (2, 4): (2, 1), (4, 0): (3, 1), (6, 1): (5, 0),
+    }
