@@ -1,7 +1,7 @@
 """The corpus pipeline: toxicity, exact duplicates, near duplicates, mixing, packing.
 
-Each stage takes (spark, docs, sf_dir) and works on all that the one before it kept. All but the
-last return the columns of ``documents``.
+Each stage takes (spark, docs, sf_dir) and works on all that the one before it kept, row by
+row: ids may be null or repeat. All but the last return the columns of ``documents``.
 """
 
 from __future__ import annotations
@@ -10,67 +10,82 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.llm.common import Scratch, free_name
-from tessera.llm.exact_dedup import exact_duplicates, normalise
+from tessera.llm.exact_dedup import exact_duplicates
 from tessera.llm.jaccard import jaccard_components
 from tessera.llm.mixing import mix, rule_topic
 from tessera.llm.packing import pack
 from tessera.llm.queries import fold, table, tokenizer_path
 from tessera.llm.toxicity import toxicity
 
-#: A list of dropped ids is broadcast up to this many (8 bytes each); above it the join shuffles.
+#: A list of dropped rows or repeated ids is broadcast up to this many (8 bytes each); above it the join shuffles.
 BROADCAST_IDS = 500_000
-NULL_ID = -(2**63)
 
 
-def _key(name: str = "doc_id"):
-    """An id, with null as a value of its own."""
-    return F.coalesce(F.col(name).cast("long"), F.lit(NULL_ID))
+def _keyed(docs: DataFrame) -> tuple[DataFrame, str]:
+    """``docs`` with a number for each row, written once, and the name of that column."""
+    key = free_name(docs, "row_key")
+    return Scratch(docs.sparkSession).save(docs.withColumn(key, F.monotonically_increasing_id()), "keyed"), key
 
 
-def _without(docs: DataFrame, ids: DataFrame, name: str) -> DataFrame:
-    """The rows of ``docs`` whose id isn't in ``ids`` (doc_id)."""
-    ids = Scratch(docs.sparkSession).save(ids.select(_key().alias("id_key")).distinct(), name)
-    side = F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
-    return docs.join(side, _key() == F.col("id_key"), "left_anti")
+def _without(keyed: DataFrame, key: str, dropped: DataFrame) -> DataFrame:
+    """The rows of ``keyed`` whose key isn't in ``dropped`` (key), without the key."""
+    dropped = Scratch(keyed.sparkSession).save(dropped.select(key), "dropped")
+    side = F.broadcast(dropped) if dropped.count() <= BROADCAST_IDS else dropped
+    return keyed.join(side, key, "left_anti").drop(key)
 
 
-def _dropped(found: DataFrame, kept: str) -> DataFrame:
-    """Ids of ``found`` none of whose rows is kept."""
-    return found.groupBy("doc_id").agg(F.max(F.col(kept).cast("int")).alias("kept")).filter("kept = 0")
+def _losers(keyed: DataFrame, key: str, others: DataFrame) -> DataFrame:
+    """Keys of all rows of the groups but the one with the smallest doc_id (null last, then key).
 
+    ``others``: (key, head), each row but a group's head, which is a row of the group, with that head.
+    """
+    scratch = Scratch(keyed.sparkSession)
+    others = scratch.save(others, "others")
+    rows = others.union(others.select(F.col("head").alias(key), "head").distinct())
+    rows = scratch.save(keyed.select(key, "doc_id").join(rows, key), "rows")
+    order = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").cast("long").alias("id"), F.col(key).alias("key"))
+    best = rows.groupBy("head").agg(F.min(order).alias("x")).select(F.col("x.key").alias(key))
+    return rows.select(key).join(best, key, "left_anti")
 
-def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose toxicity score is under 0.5; labels of the fold that queries hold out are not learnt.
 
-    Where an id repeats, one toxic row rejects the id.
-    """
-    scored = toxicity(docs, table(spark, sf_dir, "labels"), fold(5) != 0)
-    return _without(docs, scored.filter("score >= 0.5"), "toxic")
+def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Rows whose toxicity score is under 0.5; labels of the fold that queries hold out are not learnt."""
+    keyed, key = _keyed(docs)
+    scored = toxicity(keyed, table(spark, sf_dir, "labels"), fold(5) != 0, key_col=key)
+    return _without(keyed, key, scored.filter("score >= 0.5"))
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of equal texts the row with the smallest doc_id; an id that repeats with one text stays once."""
-    found = Scratch(spark).save(exact_duplicates(docs).select("doc_id", "kept"), "found")
-    again = found.groupBy("doc_id").agg(F.max(F.col("kept").cast("int")).alias("hi"), F.min(F.col("kept").cast("int")).alias("lo")).filter("hi > lo").select(_key().alias("id_key"))
-    out = _without(docs, _dropped(found, "kept"), "copies")
-    if again.isEmpty():
-        return out
-    norm = free_name(docs, "norm")
-    twice = out.join(again, _key() == F.col("id_key"), "left_semi").withColumn(norm, normalise("text")).dropDuplicates(["doc_id", norm]).drop(norm)
-    return out.join(again, _key() == F.col("id_key"), "left_anti").unionByName(twice)
+    """Of equal texts one row with the smallest doc_id; null ids come last."""
+    keyed, key = _keyed(docs)
+    found = exact_duplicates(keyed, id_col=key).filter("NOT kept")
+    return _without(keyed, key, _losers(keyed, key, found.select(F.col("doc_id").alias(key), F.col("keep_id").alias("head"))))
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each component of near copies (five-word shingles, similarity 0.8 or more) the smallest doc_id.
+    """Of each component of near copies (five-word shingles, similarity 0.8 or more) one row with the smallest doc_id.
 
-    Where an id repeats, the id stays if one of its rows does. Texts without words are no copies.
+    Null ids come last. Texts without words are no copies.
     """
-    return _without(docs, _dropped(jaccard_components(docs, words=5, percent=80), "first"), "near")
+    keyed, key = _keyed(docs)
+    found = jaccard_components(keyed, words=5, percent=80, id_col=key).filter("doc_id <> component_id")
+    return _without(keyed, key, _losers(keyed, key, found.select(F.col("doc_id").alias(key), F.col("component_id").alias("head"))))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents that raking to the source, language and topic targets samples."""
-    return mix(docs, rule_topic(F.col("text"))).filter("sampled").select("row.*")
+    """The documents that raking to the source, language and topic targets samples.
+
+    Rows with a null or repeated id are drawn each for itself.
+    """
+    keyed, key = _keyed(docs)
+    draw, again = free_name(keyed, "draw"), free_name(keyed, "again")
+    repeated = keyed.filter("doc_id IS NOT NULL").groupBy("doc_id").count().filter("count > 1").select("doc_id", F.lit(True).alias(again))
+    repeated = Scratch(spark).save(repeated, "repeated")
+    side = F.broadcast(repeated) if repeated.count() <= BROADCAST_IDS else repeated
+    text = F.col("doc_id").cast("string")
+    own = F.concat_ws(" ", text, F.lit("row"), F.col(key).cast("string"))
+    drawn = keyed.join(side, "doc_id", "left").withColumn(draw, F.when(text.isNull() | F.col(again), own).otherwise(text))
+    return mix(drawn, rule_topic(F.col("text")), id_col=draw).filter("sampled").select(*(F.col("row")[c].alias(c) for c in docs.columns))
 
 
 def pack_windows(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

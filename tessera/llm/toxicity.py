@@ -90,16 +90,17 @@ class FactorisationMachine:
                 self.bias -= rate * float(g.sum()) / np.sqrt(seen_b)
 
 
-def toxicity(df: DataFrame, labels: DataFrame, train: Column, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", train_rows: int = TRAIN_ROWS, terms_kept: int = TERMS) -> DataFrame:
+def toxicity(df: DataFrame, labels: DataFrame, train: Column, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", train_rows: int = TRAIN_ROWS, terms_kept: int = TERMS, key_col: str | None = None) -> DataFrame:
     """doc_id and score (0 to 1, higher: toxic likelier) for each row of ``df``.
 
     Labels are learnt only from rows of ``labels`` (doc_id, label) for which ``train``, a
     condition over doc_id, holds: all, or a sample by hash of about ``train_rows``.
     Only the text is an input of a score, and all of it is. Null and empty texts
     get the score of a text without known terms. Without labelled rows every score is 0.5.
-    Repeated rows are scored each; null ids stay null. Other columns are ignored.
+    Repeated rows are scored each; null ids stay null. ``key_col``, a column of whole numbers, is passed on. Other columns are ignored.
     """
-    docs = df.select(F.col(id_col).cast("long").alias("doc_id"), text_of(text_col).alias("text"))
+    keys = [key_col] if key_col else []
+    docs = df.select(F.col(id_col).cast("long").alias("doc_id"), text_of(text_col).alias("text"), *(F.col(k).cast("long").alias(k) for k in keys))
     marks = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(label_col).cast("int").alias(label_col))
     sample = labelled_sample(docs, marks, label_col, train, train_rows)
     known, rows, positive = associated(sample, terms, terms_kept)
@@ -108,7 +109,7 @@ def toxicity(df: DataFrame, labels: DataFrame, train: Column, id_col: str = "doc
         model.fit(*fetch(sample, terms, known))
     elif rows:
         model.bias = 30.0 if positive else -30.0
-    schema = pa.schema([("doc_id", pa.int64()), ("score", pa.float64())])
+    schema = pa.schema([("doc_id", pa.int64()), ("score", pa.float64()), *((k, pa.int64()) for k in keys)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -116,6 +117,6 @@ def toxicity(df: DataFrame, labels: DataFrame, train: Column, id_col: str = "doc
                 doc, place = places(*terms(b.column(1)), known)
                 at = np.concatenate([[0], np.cumsum(np.bincount(doc, minlength=b.num_rows))]).astype(np.int64)
                 margin = np.clip(model.margins(at, place).astype(np.float64), -500, 500)
-                yield pa.RecordBatch.from_arrays([b.column(0), pa.array(1 / (1 + np.exp(-margin)))], schema=schema)
+                yield pa.RecordBatch.from_arrays([b.column(0), pa.array(1 / (1 + np.exp(-margin))), *b.columns[2:]], schema=schema)
 
-    return docs.mapInArrow(run, "doc_id long, score double")
+    return docs.mapInArrow(run, "doc_id long, score double" + "".join(f", `{k}` long" for k in keys))
