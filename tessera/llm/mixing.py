@@ -82,8 +82,8 @@ def _raked_on_driver(cells: DataFrame, targets: dict[str, dict[str, float]], pow
     return cells.sparkSession.createDataFrame(rows, "source string, lang string, topic string, weight double, probability double")
 
 
-def _raked_as_tables(cells: DataFrame, targets: dict[str, dict[str, float]], powers: dict[str, float], fraction: float, scratch: Scratch, rounds: int = 25) -> DataFrame:
-    """The same without collecting cells: joins on a dimension's totals, a table written each round."""
+def _raked_as_tables(cells: DataFrame, targets: dict[str, dict[str, float]], powers: dict[str, float], fraction: float, scratch: Scratch) -> DataFrame:
+    """The same without collecting cells: joins on a dimension's totals, a table and the worst marginal written each round."""
     spark = cells.sparkSession
     goals = {}
     for d in DIMS:
@@ -97,13 +97,17 @@ def _raked_as_tables(cells: DataFrame, targets: dict[str, dict[str, float]], pow
         goals[d] = scratch.save(own.select(d, (F.col("g") / total).alias("g")), f"goal_{d}")
     total = cells.agg(F.sum("mass")).first()[0] or 1
     w = cells.withColumn("weight", F.col("mass") / F.lit(float(total)))
-    for k in range(rounds):
+    for k in range(ROUNDS):
+        w = w.withColumn("gap", F.lit(0.0))
         for d in DIMS:
-            scale = w.groupBy(d).agg(F.sum("weight").alias("s")).join(goals[d], d).select(d, F.when(F.col("s") > 0, F.col("g") / F.col("s")).otherwise(0.0).alias("scale"))
-            w = w.join(scale, d, "left").withColumn("weight", F.col("weight") * F.coalesce("scale", F.lit(0.0))).drop("scale")
+            scale = w.groupBy(d).agg(F.sum("weight").alias("s")).join(goals[d], d).filter("s > 0").select(d, (F.col("g") / F.col("s")).alias("scale"), F.abs(F.col("s") - F.col("g")).alias("off"))
+            w = w.join(scale, d, "left").withColumn("weight", F.col("weight") * F.coalesce("scale", F.lit(0.0))).withColumn("gap", F.greatest("gap", "off")).drop("scale", "off")
         w = scratch.save(w, f"raked{k}")
         if k:
             scratch.drop(f"raked{k - 1}")
+        if (w.agg(F.max("gap")).first()[0] or 0.0) < TOLERANCE:
+            break
+    w = w.drop("gap")
     whole = w.agg(F.sum("weight")).first()[0] or 1.0
     w = w.withColumn("weight", F.col("weight") / whole)
     budget, c, capped = fraction * total, None, -1
