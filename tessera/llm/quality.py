@@ -33,7 +33,7 @@ def _run(m: re.Match) -> str:
 
 def shape(word: str) -> str:
     """Letters as x, Xx or X, digits as 9; runs of other characters as they are, 6 at most."""
-    s = _SHAPE.sub(_run, word[:80])
+    s = _SHAPE.sub(_run, word)
     return s if len(s) <= 8 else s[:4] + "~" + s[-4:]
 
 
