@@ -105,19 +105,17 @@ def judge_urls(df: DataFrame, rules: list[tuple[str, str, str]], id_col: str = "
 
     ``rules``: (allow or block, host, path prefix). A rule fits its host and all subdomains where
     the path starts with its path; the longest wins. Other URLs get the models' verdict: allow
-    where the score is at least the threshold. A URL without :// (or null) has an
-    empty host and path, and is judged like any other. Four fifths of the rule-decided URLs, by
+    where the score is at least the threshold; they learn and score the whole URL as it is written. A URL without :// (or null) has an
+    empty host and path, and is judged like any other, by all of its text. Four fifths of the rule-decided URLs, by
     hash, teach the models, the rest set the threshold; without both kinds it is 0, and without any
     every score is 0, so allow. Repeated rows are judged each. Other columns are ignored.
     """
     scratch = Scratch(df.sparkSession)
     host, path = host_and_path(text_of(url_col))
-    parts = df.select(F.col(id_col).alias("page_id"), host.alias("host"), path.alias("path"))
+    parts = df.select(F.col(id_col).alias("page_id"), host.alias("host"), path.alias("path"), text_of(url_col).alias("s"))
     rule, verdict = deciding_rule(F.col("host"), F.col("path"), rules)
-    parts = parts.select("*", rule.alias("rule"), verdict.alias("by_rule"), F.concat("host", ascii_lower(F.col("path"))).alias("s"))
-    # A string may come with two verdicts, as paths keep their case in rules: it then teaches nothing.
-    once = parts.groupBy("s").agg(F.min("by_rule").alias("lo"), F.max("by_rule").alias("hi"), F.count(F.when(F.col("by_rule").isNull(), 1)).alias("open"))
-    once = once.select("s", F.when((F.col("lo") == F.col("hi")) & (F.col("open") == 0), F.col("lo")).alias("verdict"))
+    parts = parts.select("*", rule.alias("rule"), verdict.alias("by_rule"), F.col("s"))
+    once = parts.groupBy("s").agg(F.min("by_rule").alias("verdict"))  # equal URLs have one verdict by rules
     learn = F.col("verdict").isNotNull() & (F.pmod(F.crc32(F.col("s").cast("binary")), F.lit(5)) != 0)
     strings = scratch.save(once.withColumn("learn", learn), "strings")
     scores = scratch.save(url_scores(strings, scratch, order), "scores")
