@@ -14,12 +14,12 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import Scratch, text_of
+from .common import BROADCAST_ROWS, Scratch, join_unique, text_of
 
 #: Words that a line needs for its hash to say where it is from.
 LEAST_WORDS = 3
-#: Holders of a key up to which each is a candidate by itself, and rows of a side that is broadcast.
-COMMON, BROADCAST_ROWS = 50, 200_000
+#: Holders of a key up to which each is a candidate by itself.
+COMMON = 50
 ORDER_COLUMNS = ("root", "depth", "conv_id", "turn", "row_id")
 
 
@@ -42,54 +42,71 @@ def parsed_lines(text: Column) -> Column:
 
 
 def _roots(parents: DataFrame, scratch: Scratch) -> DataFrame:
-    """(row_id, root, depth) of a forest (row_id, parent or null) by pointer doubling; log(depth) rounds."""
-    at = scratch.save(parents.select("row_id", F.coalesce("parent", "row_id").alias("up"), F.when(F.col("parent").isNull(), 0).otherwise(1).cast("long").alias("depth")), "up0")
+    """(head, root, depth) of a forest (head, parent or null, step: links from a head to its parent) by pointer doubling.
+
+    ``root`` is a struct and so is each of the others but step. In every round only heads that haven't reached a root are joined,
+    with what their pointers point at; log(depth) rounds.
+    """
+    at = scratch.save(parents.select("head", F.coalesce("parent", "head").alias("up"), F.when(F.col("parent").isNull(), 0).otherwise(F.col("step")).cast("long").alias("depth"), F.col("parent").isNull().alias("done")), "up0")
     step = 0
-    while True:
-        over = at.select(F.col("row_id").alias("up"), F.col("up").alias("next"), F.col("depth").alias("more"))
+    while not at.filter("NOT done").isEmpty():
+        over = at.select(F.col("head").alias("up"), F.col("up").alias("next"), F.col("depth").alias("more"), F.col("done").alias("over"))
         step += 1
-        new = scratch.save(at.join(over, "up").select("row_id", F.col("next").alias("up"), (F.col("depth") + F.col("more")).alias("depth"), (F.col("next") != F.col("up")).alias("moved")), f"up{step}")
+        moved = at.filter("NOT done").join(over, "up").select("head", F.col("next").alias("up"), (F.col("depth") + F.col("more")).alias("depth"), F.col("over").alias("done"))
+        new = scratch.save(at.filter("done").unionByName(moved), f"up{step}")
         scratch.drop(f"up{step - 1}")
-        if new.filter("moved").isEmpty():
-            return new.select("row_id", F.col("up").alias("root"), "depth")
-        at = new.drop("moved")
+        at = new
+    return at.select("head", F.col("up").alias("root"), "depth")
 
 
-def _local_position(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Running number of each row among its root's rows so far in this partition (rows come sorted)."""
-    last, seen = None, 0
+def _places(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Running number of each row among its root's rows so far in this partition (rows come sorted), and the place where its run begins.
+
+    ``starts`` marks the rows that begin a run; -1 stands for a run that began before this partition.
+    """
+    last, seen, run = None, 0, -1
     for b in batches:
         if not len(b):
             continue
         place = b.groupby("root", sort=False).cumcount()
-        if b["root"].iloc[0] == last:
-            place[b["root"] == last] += seen
-        n = int(place.iloc[-1]) + 1
-        last, seen = b["root"].iloc[-1], n
-        yield b.assign(place=place.astype("int64"))
+        first = b["root"] == last
+        if first.iloc[0]:
+            place[first] += seen
+        begun = place.where(b["starts"]).groupby(b["root"], sort=False).ffill()
+        if first.iloc[0]:
+            begun[first] = begun[first].fillna(run)
+        begun = begun.fillna(-1).astype("int64")
+        last, seen, run = b["root"].iloc[-1], int(place.iloc[-1]) + 1, int(begun.iloc[-1])
+        yield b.assign(place=place.astype("int64"), begun=begun)
 
 
-def positions(rows: DataFrame, scratch: Scratch) -> DataFrame:
-    """``rows`` with position, the rank within root by ORDER_COLUMNS, from 0.
+def positions(rows: DataFrame, scratch: Scratch, starts: Column | None = None, name: str = "counted") -> DataFrame:
+    """``rows`` with position, the rank within root by ORDER_COLUMNS, from 0, and run, the position of the last row before or at
+    it for which ``starts`` holds (null where there is none).
 
     Rows are range-partitioned, so one thread may span many tasks. Each counts its own rows; what precedes
-    a thread that goes on from earlier partitions is added from one count per partition.
+    a thread that goes on from earlier partitions is added from one row per partition.
     """
     names = [*ORDER_COLUMNS]
-    ranged = rows.select(*names).repartitionByRange(*names).sortWithinPartitions(*names)
-    types = dict(rows.dtypes)
-    counted = ranged.mapInPandas(_local_position, ", ".join([*(f"{c} {types[c]}" for c in names), "place long"])).withColumn("part", F.spark_partition_id())
-    counted = scratch.save(counted, "counted")
-    ends = counted.groupBy("part").agg(F.min("root").alias("first"), F.max("root").alias("last")).collect()  # a row for each partition
-    last_counts = {r.part: r.n for r in counted.join(F.broadcast(rows.sparkSession.createDataFrame([(r.part, r["last"]) for r in ends], "part int, root long")), ["part", "root"]).groupBy("part").agg(F.count("*").alias("n")).collect()} if ends else {}
-    before, carried, previous = [], 0, None
+    given = [c for c in rows.columns if c not in names]
+    ranged = rows.select(*names, *given, (F.lit(False) if starts is None else F.coalesce(starts, F.lit(False))).alias("starts")).repartitionByRange(*names).sortWithinPartitions(*names)
+    types = dict(ranged.dtypes)
+    counted = ranged.mapInPandas(_places, ", ".join([*(f"{c} {types[c]}" for c in ranged.columns), "place long", "begun long"])).withColumn("part", F.spark_partition_id())
+    counted = scratch.save(counted, name)
+    order = F.struct(*names)
+    ends = counted.groupBy("part").agg(F.min("root").alias("first"), F.max_by(F.struct("root", "place", "begun"), order).alias("last")).collect()  # a row for each partition
+    before, carried, begun, previous = [], 0, -1, None
     for r in sorted(ends, key=lambda r: r.part):
         goes_on = previous == r["first"]
-        before.append((r.part, r["first"], carried if goes_on else 0))
-        carried = (carried if goes_on and r["first"] == r["last"] else 0) + last_counts[r.part]
-        previous = r["last"]
-    side = F.broadcast(rows.sparkSession.createDataFrame(before, "part int, root long, before long"))
-    return counted.join(side, ["part", "root"], "left").select("row_id", (F.col("place") + F.coalesce("before", F.lit(0))).alias("position"))
+        before.append((r.part, r["first"], carried if goes_on else 0, begun if goes_on else -1))
+        same = goes_on and r["first"] == r["last"].root
+        begun = r["last"].begun + (carried if same else 0) if r["last"].begun >= 0 else begun if same else -1
+        carried = (carried if same else 0) + r["last"].place + 1
+        previous = r["last"].root
+    side = F.broadcast(rows.sparkSession.createDataFrame(before, "part int, root long, before long, run_before long"))
+    shift = F.coalesce("before", F.lit(0))
+    run = F.when(F.col("begun") >= 0, F.col("begun") + shift).when(F.col("run_before") >= 0, F.col("run_before"))
+    return counted.join(side, ["part", "root"], "left").select(*names, *given, (F.col("place") + shift).alias("position"), run.alias("run"))
 
 
 def _first_holders(lines: DataFrame, scratch: Scratch) -> DataFrame:
@@ -216,17 +233,25 @@ def link_quotes(df: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn"
     rows = scratch.save(base.withColumn("row_id", F.monotonically_increasing_id()), "rows")
     lines = rows.select("conv_id", "turn", "row_id", F.explode("lines").alias("l")).filter("l.key IS NOT NULL")
     best = _every_holder(rows, scratch) if every_holder else _first_holders(lines, scratch)
-    # The row before in the conversation, by a rank join: no task needs a whole conversation.
-    ranked = positions(rows.select(F.col("conv_id").alias("root"), F.lit(0).alias("depth"), "conv_id", "turn", "row_id"), scratch)
-    ranked = scratch.save(ranked.join(rows.select("row_id", "conv_id", "turn"), "row_id").select("row_id", "conv_id", "turn", F.col("position").alias("rank")), "ranked")
-    before = ranked.select("conv_id", (F.col("rank") + 1).alias("rank"), F.struct("conv_id", "turn", F.col("row_id")).alias("previous"))
-    linked = ranked.join(before, ["conv_id", "rank"], "left").join(best, "row_id", "left")
-    linked = scratch.save(linked.select("row_id", "conv_id", "turn", F.coalesce("source", "previous").alias("parent"), F.col("source").isNotNull().alias("by_quote")), "linked")
-    trees = scratch.save(_roots(linked.select("row_id", F.col("parent.row_id").alias("parent")), scratch), "trees")
-    placed = linked.join(trees, "row_id")
-    order = scratch.save(positions(placed.select("root", F.col("depth").cast("long").alias("depth"), "conv_id", "turn", "row_id"), Scratch(df.sparkSession)), "order")
-    roots = linked.select(F.col("row_id").alias("root"), F.col("conv_id").alias("thread_conv"), F.col("turn").alias("thread_turn"))
-    out = placed.join(order, "row_id").join(roots, "root").drop("conv_id", "turn").join(rows, "row_id")
+    # Messages that reply to the row before them form runs, found in the order of the rows: no task needs a whole conversation,
+    # and only the heads of runs, a quote each or the first of a conversation, are linked to one another.
+    said = join_unique(rows.select("row_id", "conv_id", "turn"), scratch.save(best.select("row_id", "source"), "best_of"), "row_id")
+    ranked = positions(said.select(F.col("conv_id").alias("root"), F.lit(0).alias("depth"), "conv_id", "turn", "row_id", "source"), scratch, F.col("source").isNotNull(), "ranked_rows")
+    message = F.struct("conv_id", "turn", "row_id")
+    ranked = scratch.save(ranked.select("row_id", "conv_id", "turn", "source", F.col("position").alias("rank"), F.coalesce("run", F.lit(0)).alias("run")), "ranked")
+    before = ranked.select("conv_id", (F.col("rank") + 1).alias("rank"), message.alias("previous"))
+    linked = ranked.join(before, ["conv_id", "rank"], "left")
+    place = F.struct("conv_id", F.col("run").alias("rank"))
+    heads = ranked.filter("rank = run").select(F.struct("conv_id", "rank").alias("head"), message.alias("message"), F.col("source.row_id").alias("up_row"))
+    above = ranked.select(F.col("row_id").alias("up_row"), place.alias("parent"), (F.col("rank") - F.col("run") + 1).alias("step"))
+    linked_heads = scratch.save(heads.filter("up_row IS NOT NULL").join(above, "up_row").select("head", "parent", "step").unionByName(heads.filter("up_row IS NULL").select("head", F.lit(None).cast("struct<conv_id:bigint,rank:bigint>").alias("parent"), F.lit(0).cast("long").alias("step"))), "heads")
+    named = heads.select(F.col("head").alias("root"), F.col("message").alias("thread"))
+    trees = scratch.save(_roots(linked_heads, scratch), "roots")
+    trees = scratch.save(join_unique(trees, scratch.save(named.join(trees.select("root").distinct(), "root"), "named"), "root").select(F.col("head").alias("run_head"), F.col("depth").alias("above"), "thread"), "trees")
+    placed = join_unique(linked.withColumn("run_head", place), trees, "run_head", scratch)
+    placed = scratch.save(placed.select("row_id", "conv_id", "turn", F.coalesce("source", "previous").alias("parent"), F.col("source").isNotNull().alias("by_quote"), F.col("thread.row_id").alias("root"), F.col("thread.conv_id").alias("thread_conv"), F.col("thread.turn").alias("thread_turn"), (F.col("above") + F.col("rank") - F.col("run")).alias("depth")), "placed")
+    order = positions(placed, scratch, name="order").drop("conv_id", "turn", "run", "root")
+    out = order.join(rows, "row_id")
     clean = F.array_join(F.transform(F.filter("lines", lambda x: x["level"] == 0), lambda x: x["body"]), "\n")
     given = lambda c: F.when(c != low, c)
     return out.select(
