@@ -23,7 +23,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import BLANK, Scratch, shuffle_partitions, text_of
+from .common import BLANK, Scratch, join_unique, lean, shuffle_partitions, text_of
 
 #: Rows a sender gathers before it sends a set of blocks.
 SENDER_ROWS = 200_000
@@ -136,7 +136,7 @@ def exact_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     owners = owners or max(16, 4 * shuffle_partitions(spark))
     texts = df.select(F.col(id_col).cast("long").alias("doc_id"), normalise(text_col).alias("norm"))
     hashed = texts.select("doc_id", F.sha2("norm", 256).alias("sha"), F.xxhash64("norm").alias("h"))
-    sent = scratch.save(hashed.mapInArrow(_sender(owners), "kind int, doc_id long, sha string, h long, sender long, owner int, slot int, twice boolean, payload binary"), "sent", "kind")
+    sent = scratch.save(hashed.mapInArrow(lean(_sender(owners)), "kind int, doc_id long, sha string, h long, sender long, owner int, slot int, twice boolean, payload binary"), "sent", "kind")
     rows = sent.filter("kind = 0").drop("kind", "payload").withColumn("row_id", F.monotonically_increasing_id())
     blocks = sent.filter("kind = 1").select("sender", "owner", "payload")
     answers = scratch.save(blocks.groupBy("owner").applyInPandas(_answer, "sender long, owner int, marks array<long>"), "answers")
@@ -148,7 +148,7 @@ def exact_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     checked = texts.withColumn("h", F.xxhash64("norm")).join(side, "h", "left_semi")
     groups = checked.groupBy("norm").agg(F.min("doc_id").alias("keep_id"), F.count("*").alias("group_size")).filter("group_size > 1")
     groups = scratch.save(groups.select(F.sha2("norm", 256).alias("sha"), "keep_id", "group_size"), "groups")
-    out = rows.select("doc_id", "sha", "row_id").join(groups, "sha", "left")
+    out = join_unique(rows.select("doc_id", "sha", "row_id"), groups, "sha", scratch)
     out = out.select(
         "doc_id",
         F.when(F.col("group_size").isNull(), F.col("doc_id")).otherwise(F.col("keep_id")).alias("keep_id"),
@@ -157,7 +157,7 @@ def exact_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         "row_id",
     )
     # Ids that repeat: of the rows with the group's id the first one written is kept.
-    first = out.filter(F.col("doc_id").eqNullSafe(F.col("keep_id")) & (F.col("group_size") > 1)).groupBy(F.col("sha").alias("first_sha")).agg(F.min("row_id").alias("first_row"))
-    out = out.join(first, out.sha == first.first_sha, "left")
+    first = out.filter(F.col("doc_id").eqNullSafe(F.col("keep_id")) & (F.col("group_size") > 1)).groupBy("sha").agg(F.min("row_id").alias("first_row"))
+    out = join_unique(out, scratch.save(first, "first"), "sha", scratch)
     kept = F.col("doc_id").eqNullSafe(F.col("keep_id")) & ((F.col("group_size") == 1) | (F.col("row_id") == F.col("first_row")))
     return out.select("doc_id", "keep_id", "group_size", kept.alias("kept"), F.col("sha").alias("text_sha256"))
