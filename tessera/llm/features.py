@@ -15,8 +15,10 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import lean
+
 #: Bytes of text whose features a worker holds at a time.
-BATCH_BYTES = 4_000_000
+BATCH_BYTES = 1_500_000
 
 #: texts -> (document of each feature, feature), each pair once, ordered by document.
 Extractor = Callable[[pa.Array], tuple[np.ndarray, np.ndarray]]
@@ -77,7 +79,7 @@ def gather(df: DataFrame, extract: Extractor, keep: list[str], known: np.ndarray
                 lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], ends]).astype(np.int32)), pa.array(feature.view(np.int64)))
                 yield pa.RecordBatch.from_arrays([*b.columns[: len(keep)], lists], schema=schema)
 
-    return df.select(*(F.col(c).cast("long").alias(c) for c in keep), "text").mapInArrow(run, ", ".join([*(f"{c} long" for c in keep), "features array<long>"]))
+    return df.select(*(F.col(c).cast("long").alias(c) for c in keep), "text").mapInArrow(lean(run), ", ".join([*(f"{c} long" for c in keep), "features array<long>"]))
 
 
 def places(doc: np.ndarray, feature: np.ndarray, known: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

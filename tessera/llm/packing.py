@@ -26,12 +26,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from .common import text_of
+from .common import lean, text_of
 
 #: Ids that a task holds before it packs them (4 bytes each).
 GROUP_IDS = 6_000_000
 #: Bytes of text that are encoded at a time.
-ENCODE_BYTES = 12_000_000
+ENCODE_BYTES = 4_000_000
 # Fixed value: the pre-tokeniser's pattern of byte-level BPE.
 BYTE_LEVEL_WORDS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
@@ -52,7 +52,6 @@ def tokeniser(path: str) -> Callable[[pa.Array], list[bytes]]:
     their end are encoded whole, and those with a special token's string by the file's own
     tokeniser, as are all texts where the file isn't a plain byte-level BPE whose ids follow its merges.
     """
-    tok = Tokenizer.from_file(path)
     with open(path, encoding="utf-8") as f:
         spec = json.load(f)
     special = [t["content"] for t in spec.get("added_tokens", [])]
@@ -61,8 +60,12 @@ def tokeniser(path: str) -> Callable[[pa.Array], list[bytes]]:
     merges = [vocab.get("".join(m if isinstance(m, list) else m.split(" ")), -1) for m in model.get("merges", [])]
     plain = spec.get("normalizer") is None and pre.get("type") == "ByteLevel" and not pre.get("add_prefix_space") and pre.get("use_regex", True) and len(merges) + 256 == len(vocab) and merges == sorted(merges) and not model.get("dropout") and not model.get("ignore_merges")
 
+    whole: list[Tokenizer] = []  # the file's own tokeniser, built for the first text that needs it
+
     def by_file(text: str) -> np.ndarray:
-        return np.asarray(tok.encode(text, add_special_tokens=False).ids, np.uint32)
+        if not whole:
+            whole.append(Tokenizer.from_file(path))
+        return np.asarray(whole[0].encode(text, add_special_tokens=False).ids, np.uint32)
 
     if not plain:
         return lambda texts: [by_file(t).tobytes() for t in texts.to_pylist()]
@@ -72,6 +75,7 @@ def tokeniser(path: str) -> Callable[[pa.Array], list[bytes]]:
     leads = np.zeros(max(ranks.values()) + 1, bool)
     leads[[v for k, v in ranks.items() if k[:1] == b" "]] = True
     odd = re.compile("|".join([r" \s", r" \Z", *map(re.escape, special)]))
+    del spec, model, vocab, merges, ranks
 
     def encode(texts: pa.Array) -> list[bytes]:
         out: list[bytes] = [b""] * len(texts)
@@ -245,4 +249,4 @@ def pack(df: DataFrame, tokenizer_path: str, window: int = 1024, end_id: int | N
         if docs:
             yield from packed()
 
-    return df.select(F.col(id_col).cast("long").alias("doc_id"), text_of(text_col).alias("text")).mapInArrow(run, "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, ids binary")
+    return df.select(F.col(id_col).cast("long").alias("doc_id"), text_of(text_col).alias("text")).mapInArrow(lean(run), "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, ids binary")

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import text_of
+from .common import lean, text_of
 from .features import associated, fetch, hashes, labelled_sample, once, places, slices, tokens
 
 #: Labelled rows that the model is fitted on, and n-grams that it keeps.
@@ -141,4 +141,4 @@ def quality(df: DataFrame, labels: DataFrame, train: Column, id_col: str = "doc_
                 margin = np.bincount(doc, w[place], part.num_rows) + w[-1]
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(1 / (1 + np.exp(-np.clip(a * margin + b, -500, 500))))], schema=schema)
 
-    return docs.mapInArrow(run, "doc_id long, score double")
+    return docs.mapInArrow(lean(run), "doc_id long, score double")

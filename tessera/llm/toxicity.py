@@ -16,7 +16,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import text_of
+from .common import lean, text_of
 from .features import associated, fetch, hashes, labelled_sample, once, places, slices, tokens
 
 #: Labelled rows that the model is fitted on, and terms that it keeps.
@@ -119,4 +119,4 @@ def toxicity(df: DataFrame, labels: DataFrame, train: Column, id_col: str = "doc
                 margin = np.clip(model.margins(at, place).astype(np.float64), -500, 500)
                 yield pa.RecordBatch.from_arrays([b.column(0), pa.array(1 / (1 + np.exp(-margin))), *b.columns[2:]], schema=schema)
 
-    return docs.mapInArrow(run, "doc_id long, score double" + "".join(f", `{k}` long" for k in keys))
+    return docs.mapInArrow(lean(run), "doc_id long, score double" + "".join(f", `{k}` long" for k in keys))
