@@ -11,7 +11,9 @@ A segment's key is the sum of its items' mixed hashes, so each deletion costs on
 subtraction. Sets are compared as classes of equal sets. Within a key, members are first
 compared with its smallest member, and components are formed; then only pairs whose
 components still differ. A group of thousands of near copies thus costs a few
-comparisons for each member, and no link between components is lost.
+comparisons for each member, and no link between components is lost. Where a key has many
+members of different components (texts that share one half), two that link also share one of their rarest
+items, as many as may be missing from the other and one more: only members that do are paired.
 """
 
 from __future__ import annotations
@@ -24,11 +26,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import Scratch, ascii_lower, text_of, words_of
+from .common import BROADCAST_ROWS, Scratch, ascii_lower, join_unique, lean, text_of, words_of
 from .components import connected_components
 
-#: Lists of documents and pairs to compare are broadcast up to this many rows (some 16 to 40 bytes each).
-BROADCAST_ROWS = 200_000
+#: Members up to which all pairs of a key are looked at; the members of larger keys are paired by their rarest items.
+HOT_MEMBERS = 2_000
+#: Counters of items, by hash, that say which items are rare (8 bytes each).
+COUNTERS = 1 << 20
 #: Words of 64 bits of a set's parity map. It rules out pairs of sets up to about 2,000 items.
 MAP_WORDS = 16
 #: Sets with more items than LARGE have a second, wider map, used for pairs of such sets only.
@@ -36,10 +40,10 @@ LARGE, WIDE_WORDS = 1_500, 128
 #: Cost of ruling out a pair of sets by size and parity map, in signatures sent.
 PAIR_COST = 0.1
 #: Keys that a task combines at a time.
-COMBINE_KEYS = 2_000_000
+COMBINE_KEYS = 500_000
 BAND_RATIO = 1.25
 #: Items that a worker signs at a time.
-SIGN_ITEMS = 600_000
+SIGN_ITEMS = 100_000
 NULL_ID = -(2**63)
 MAP = tuple(f"b{k}" for k in range(MAP_WORDS))
 
@@ -134,6 +138,7 @@ def _signer(percent: int, segments: np.ndarray, with_d: np.ndarray):
                 doc = np.repeat(np.arange(docs), n)
                 t, h1, h2 = _identity(items, at)
                 place = _mix(items ^ np.uint64(0xD6E8FEB86659FD93))
+                del items
                 bits = np.zeros(docs * MAP_WORDS, np.uint64)
                 np.bitwise_xor.at(bits, doc * MAP_WORDS + (place >> np.uint64(60)).astype(np.int64), np.uint64(1) << ((place >> np.uint64(54)) & np.uint64(63)))
                 bits = bits.reshape(docs, MAP_WORDS).T
@@ -245,13 +250,13 @@ def jaccard_components(df: DataFrame, words: int = 5, percent: int = 80, id_col:
     used = sizes + np.append(sizes[1:], 0) / 2
     schemes = [allocate(b, percent, used[b], deletions) for b in range(len(BOUNDS) - 1)]
     segments, with_d = (np.array(x, np.int64) for x in zip(*schemes, strict=True))
-    signed = with_shingles(docs, "text", words, [F.col("doc_id")]).mapInArrow(_signer(percent, segments, with_d), "doc_id long, n long, h1 long, h2 long, " + ", ".join(f"{c} long" for c in MAP) + ", wide array<long>, keys array<long>, gone array<long>")
+    signed = with_shingles(docs, "text", words, [F.col("doc_id")]).mapInArrow(lean(_signer(percent, segments, with_d)), "doc_id long, n long, h1 long, h2 long, " + ", ".join(f"{c} long" for c in MAP) + ", wide array<long>, keys array<long>, gone array<long>")
     sets = scratch.save(signed.withColumn("row_id", F.monotonically_increasing_id()), "sets")
 
     classes = scratch.save(sets.filter("n > 0").groupBy("n", "h1", "h2").agg(F.min("row_id").alias("node"), F.min("doc_id").alias("min_doc")), "classes")
     nodes = sets.join(classes.select(F.col("node").alias("row_id")), "row_id", "left_semi")
     meta = scratch.save(nodes.select(F.col("row_id").alias("node"), "n", "h1", "h2", F.coalesce("doc_id", F.lit(NULL_ID)).alias("doc_id"), *MAP, "wide"), "meta")
-    dealt = nodes.select("row_id", "keys", "gone").mapInArrow(_postings, "deal long, node long, whole boolean, key long, center long")
+    dealt = nodes.select("row_id", "keys", "gone").mapInArrow(lean(_postings), "deal long, node long, whole boolean, key long, center long")
     same = Window.partitionBy("deal")
     met = dealt.select("*", F.min("node").over(same).alias("low"), F.max("node").over(same).alias("high")).filter("key IS NOT NULL OR low < high")
     shared = scratch.save(met.select(F.coalesce("key", "deal").alias("key"), "whole", "node", F.coalesce("center", "low").alias("center")), "shared")
@@ -259,6 +264,18 @@ def jaccard_components(df: DataFrame, words: int = 5, percent: int = 80, id_col:
     scratch.drop("sets")
     scratch.release()
 
+    def items_of(members: DataFrame, name: str) -> DataFrame:
+        """(node, items) of ``members`` (node), from their texts."""
+        known = scratch.save(meta.join(members, "node").select("node", "n", "h1", "h2", "doc_id"), f"{name}known")
+        side = F.broadcast if known.count() <= BROADCAST_ROWS else lambda df: df  # else the same joins shuffle
+        ids = known.select(F.col("doc_id").alias("id_key")).distinct()
+        texts = docs.withColumn("id_key", F.coalesce("doc_id", F.lit(NULL_ID))).join(side(ids), "id_key", "left_semi")
+        found = with_shingles(texts, "text", words, []).mapInArrow(lean(_identify), "n long, h1 long, h2 long, items array<long>")
+        # A repeated id may bring a node's items twice, and so a link twice, which changes nothing.
+        items = scratch.save(found.join(side(known), ["n", "h1", "h2"]).select("node", "items"), f"{name}items")
+        scratch.drop(f"{name}known")
+        return items
+
     def compared(pairs: DataFrame, name: str) -> DataFrame:
         """The pairs (a, b) of nodes that link."""
         first = scratch.save(plausible(with_meta(pairs, meta), percent).select("a", "b", "n_a", "n_b").distinct(), f"{name}first")
@@ -270,20 +287,14 @@ def jaccard_components(df: DataFrame, words: int = 5, percent: int = 80, id_col:
         wide = wide.filter(differ * (100 + percent) <= (F.col("n_a") + F.col("n_b")) * (100 - percent))
         pairs = scratch.save(first.filter(~both_large).select("a", "b").union(wide.select("a", "b")), f"{name}pairs")
         short = pairs.count() <= BROADCAST_ROWS
-        side = F.broadcast if short else lambda df: df  # else the same joins shuffle
-        members = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
-        known = scratch.save(meta.join(members, "node").select("node", "n", "h1", "h2", "doc_id"), f"{name}known")
-        ids = known.select(F.col("doc_id").alias("id_key")).distinct()
-        texts = docs.withColumn("id_key", F.coalesce("doc_id", F.lit(NULL_ID))).join(side(ids), "id_key", "left_semi")
-        found = with_shingles(texts, "text", words, []).mapInArrow(_identify, "n long, h1 long, h2 long, items array<long>")
-        # A repeated id may bring a node's items twice, and so a link twice, which changes nothing.
-        items = scratch.save(found.join(side(known), ["n", "h1", "h2"]).select("node", "items"), f"{name}items")
+        side = F.broadcast if short else lambda df: df
+        items = items_of(pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct(), name)
         of_a = items.select(F.col("node").alias("a"), F.col("items").alias("of_a")).join(side(pairs), "a")
         of_b = items.select(F.col("node").alias("b"), F.col("items").alias("of_b")).join(side(pairs.select("b").distinct()), "b", "left_semi")
         both = of_a.join(of_b, "b")
         common = both.select("a", "b", (F.size("of_a") + F.size("of_b")).alias("total"), F.size(F.array_intersect("of_a", "of_b")).alias("common"))
         links = scratch.save(common.filter(F.col("common") * (100 + percent) >= F.col("total") * percent).select("a", "b"), f"{name}links")
-        scratch.drop(f"{name}first", f"{name}pairs", f"{name}known", f"{name}items")
+        scratch.drop(f"{name}first", f"{name}pairs", f"{name}items")
         scratch.release()
         return links
 
@@ -308,20 +319,68 @@ def jaccard_components(df: DataFrame, words: int = 5, percent: int = 80, id_col:
     placed = comp_of(shared, "node", "comp")
     mixed = placed.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo < hi").select("key")
     left = scratch.save(placed.join(mixed, "key").join(meta.drop("h1", "h2", "doc_id", "wide"), "node"), "left")
-    a = left.select("key", *(F.col(c).alias(f"{c}_a") for c in ("node", "whole", "comp", "n", *MAP)))
-    b = left.select("key", *(F.col(c).alias(f"{c}_b") for c in ("node", "whole", "comp", "n", *MAP)))
+    counted = left.groupBy("key").count()
+    hot_keys = scratch.save(counted.filter(F.col("count") > HOT_MEMBERS).select("key"), "hot_keys")
+    few = left.join(F.broadcast(hot_keys) if hot_keys.count() <= BROADCAST_ROWS else hot_keys, "key", "left_anti")
+    a = few.select("key", *(F.col(c).alias(f"{c}_a") for c in ("node", "whole", "comp", "n", *MAP)))
+    b = few.select("key", *(F.col(c).alias(f"{c}_b") for c in ("node", "whole", "comp", "n", *MAP)))
     rest = plausible(a.join(b, "key").filter("node_a < node_b AND comp_a <> comp_b AND (whole_a OR whole_b)"), percent)
-    comps = merge(compared(rest.select(F.col("node_a").alias("a"), F.col("node_b").alias("b")).distinct(), "rest"), "rest")
-
-    of_row = rows.join(classes.select("n", "h1", "h2", "node"), ["n", "h1", "h2"], "left")
-    of_row = comp_of(of_row, "node", "comp").select("row_id", "doc_id", "n", F.coalesce("comp", "row_id").alias("comp"))
-    least = classes.select("node", "min_doc").join(comps, "node").groupBy("comp").agg(F.min("min_doc").alias("least"))
-    alone = classes.select(F.col("node").alias("comp"), "min_doc")
-    out = of_row.join(least, "comp", "left").join(alone, "comp", "left").select("row_id", "doc_id", "n", "comp", F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.coalesce("least", "min_doc")).alias("component_id"))
-    out = scratch.save(out, "out")
-    first = out.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("comp").agg(F.min("row_id").alias("first_row"))
-    scratch.drop("shared", "left", "stars")
-    return out.join(first, "comp", "left").select("doc_id", F.col("n").alias("n_shingles"), "component_id", (F.col("row_id") == F.col("first_row")).alias("first"))
+    rest = rest.select(F.col("node_a").alias("a"), F.col("node_b").alias("b"))
+    if not hot_keys.isEmpty():
+        members = scratch.save(left.join(hot_keys, "key", "left_semi").select("node", "comp", "n").distinct(), "members")
+        rest = rest.union(by_rarest(members, items_of(members.select("node"), "hot"), percent, scratch))
+    comps = merge(compared(rest.distinct(), "rest"), "rest")
+
+    # The result of each class, then of each row of it.
+    of_class = scratch.save(comp_of(classes, "node", "comp"), "of_class")
+    least = scratch.save(of_class.groupBy("comp").agg(F.min("min_doc").alias("component_id")), "least")
+    of_class = scratch.save(join_unique(of_class, least, "comp", scratch).select("node", "comp", "component_id"), "of_node")
+    set_of = F.struct("n", "h1", "h2").alias("set")
+    by_set = scratch.save(classes.select("node", set_of).join(of_class, "node").drop("node"), "by_set")
+    out = join_unique(rows.select("row_id", "doc_id", "n", set_of), by_set, "set")
+    own = F.col("n") == 0
+    out = scratch.save(out.select("row_id", "doc_id", "n", F.when(own, F.col("row_id")).otherwise(F.col("comp")).alias("comp"), F.when(own, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id")), "out")
+    first = scratch.save(out.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("comp").agg(F.min("row_id").alias("first_row")), "first")
+    scratch.drop("shared", "left", "stars", "rare", "by_rarest", "classes", "meta", "rows", "members", "hotitems", "hot_keys", "of_class", "of_node", "by_set", "least")
+    return join_unique(out, first, "comp", scratch).select("doc_id", F.col("n").alias("n_shingles"), "component_id", (F.col("row_id") == F.col("first_row")).alias("first"))
+
+
+def _rarest(percent: int, holders: np.ndarray):
+    """mapInArrow body: (node, items) -> node, item: the first items of a set in the order of ``holders``, then of the hashes."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for b, items, at in _lists(whole, 1, SIGN_ITEMS):
+                n = np.diff(at)
+                row = np.repeat(np.arange(b.num_rows), n)
+                order = np.lexsort((items, holders[(items % np.uint64(len(holders))).astype(np.int64)], row))
+                place = np.arange(len(items)) - np.repeat(at[:-1], n)
+                take = place <= (n - (n * percent + 99) // 100)[row]
+                yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(row[take])), pa.array(items[order][take].view(np.int64))], names=["node", "item"])
+
+    return run
+
+
+def by_rarest(members: DataFrame, items: DataFrame, percent: int, scratch: Scratch) -> DataFrame:
+    """Pairs (a, b) of ``members`` (node, comp, n) of different components that share one of their rarest items.
+
+    ``items``: (node, items). Two sets that link miss at most n - ceil(n * percent / 100) of the n items of either. So of each,
+    in one order of all items, the first that many and one more hold a common item, whatever the order. It goes by how many
+    members have an item, counted in COUNTERS hashed counters: what all share comes last, and what few share forms few pairs.
+    """
+    counter = F.col("item").bitwiseAND(F.lit(COUNTERS - 1)).cast("int")  # COUNTERS is a power of two
+    counts = items.select(F.explode("items").alias("item")).groupBy(counter.alias("counter")).agg(F.count("*").alias("n")).toArrow()
+    holders = np.zeros(COUNTERS, np.int64)
+    holders[counts["counter"].to_numpy()] = counts["n"].to_numpy()
+    rare = items.mapInArrow(lean(_rarest(percent, holders)), "node long, item long").distinct()
+    rare = scratch.save(rare.join(members, "node"), "rare")
+    split = rare.groupBy("item").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo < hi").select("item")
+    rare = rare.join(split, "item")
+    a = rare.select("item", *(F.col(c).alias(f"{c}_a") for c in ("node", "comp", "n")))
+    b = rare.select("item", *(F.col(c).alias(f"{c}_b") for c in ("node", "comp", "n")))
+    near = F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * percent
+    met = a.join(b, "item").filter((F.col("node_a") < F.col("node_b")) & (F.col("comp_a") != F.col("comp_b")) & near)
+    return scratch.save(met.select(F.col("node_a").alias("a"), F.col("node_b").alias("b")).distinct(), "by_rarest")
 
 
 def with_meta(pairs: DataFrame, meta: DataFrame) -> DataFrame:
