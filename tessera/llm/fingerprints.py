@@ -8,8 +8,9 @@ the share of agreeing hashes among the parts that have a term of either text. Da
 
 As a term of the band occurs in at least LOW of the documents, the lexicon has at most
 (distinct terms of a mean document) / LOW terms, however many documents there are. It goes to the
-tasks as a bit map of SLOTS bits: a term outside the band that shares a slot with one inside
-counts as inside, the same way in every text.
+tasks as a Bloom filter of SLOTS bits and PROBES probes: of the terms outside the band a share of
+(1 - exp(-PROBES * terms / SLOTS)) ** PROBES counts as inside, the same ones in every text; with 150,000
+terms, those of a mean document of 150 distinct ones, 1 in 3,500, and with none lost that is inside.
 """
 
 from __future__ import annotations
@@ -22,7 +23,9 @@ from .common import Scratch, text_of
 
 #: Band of document frequencies, as shares of the documents; terms of a single document never count.
 LOW, HIGH = 0.001, 0.1
-SLOTS = 1 << 21
+SLOTS, PROBES = 1 << 22, 4
+#: Bits of a character of the filter, which is kept as ASCII.
+CHAR_BITS = 7
 #: Shares of the lexicon that the hashes of a fingerprint keep; the first is of the whole lexicon.
 SHARES = ((1, 1), *((2, 3),) * 5, *((1, 8),) * 6, *((1, 32),) * 8)
 NULL_ID = -(2**63)
@@ -41,29 +44,49 @@ def band_counts(docs: DataFrame, low: float, high: float) -> DataFrame:
     return counts.filter((F.col("df") >= max(2.0, low * n)) & (F.col("df") <= max(2.0, high * n))).select("term")
 
 
-def bit_map(lexicon: DataFrame, slots: int) -> bytes:
-    """slots / 8 bytes, bit i % 8 of byte i / 8 set if a term has slot i. Its size is fixed, so the driver can hold it."""
-    slot = F.pmod(F.col("term"), F.lit(slots))
-    words = lexicon.select(F.shiftright(slot, 6).cast("int").alias("w"), F.expr(f"shiftleft(1L, cast(pmod(term, {slots}) % 64 as int))").alias("bit")).groupBy("w").agg(F.bit_or("bit").alias("bits")).toArrow()
-    out = np.zeros(slots // 64, np.int64)
-    out[words["w"].to_numpy()] = words["bits"].to_numpy()
-    return out.astype("<i8").tobytes()
+def _slot(t: Column, probe: int, slots: int) -> Column:
+    """Slot of a term's hash: the probes step through the slots by an odd number that depends on the hash."""
+    step = F.shiftrightunsigned(t, 31).bitwiseOR(F.lit(1))
+    return F.pmod(t.bitwiseAND(F.lit(0x7FFFFFFF)) + step * probe if probe else t.bitwiseAND(F.lit(0x7FFFFFFF)), F.lit(slots))
 
 
-def _in_lexicon(bits: bytes, slots: int):
+def bit_map(lexicon: DataFrame, slots: int, probes: int = PROBES) -> bytes:
+    """slots / CHAR_BITS characters, bit i % CHAR_BITS of character i / CHAR_BITS set if a term has slot i.
+
+    Its size is fixed, so the driver can hold it.
+    """
+    slot = F.explode(F.array(*(_slot(F.col("term"), k, slots) for k in range(probes))))
+    chars = lexicon.select(slot.alias("slot")).groupBy(F.floor(F.col("slot") / CHAR_BITS).cast("int").alias("at")).agg(F.bit_or(F.expr(f"shiftleft(1, cast(slot % {CHAR_BITS} as int))")).alias("bits")).toArrow()
+    out = np.zeros(slots // CHAR_BITS + 1, np.uint8)
+    out[chars["at"].to_numpy()] = chars["bits"].to_numpy()
+    return out.tobytes()
+
+
+def _in_lexicon(bits: bytes, slots: int, probes: int = PROBES):
     every = F.lit(bits)
 
     def inside(t: Column) -> Column:
-        slot = F.pmod(t, F.lit(slots))
-        byte = F.conv(F.hex(F.substring(every, F.shiftright(slot, 3).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
-        return F.call_function("getbit", byte, slot.bitwiseAND(F.lit(7)).cast("int")) == 1
+        found = F.lit(True)
+        for k in range(probes):
+            slot = _slot(t, k, slots)
+            char = F.ascii(F.substring(every, F.floor(slot / CHAR_BITS).cast("int") + 1, F.lit(1)).cast("string"))
+            found = found & (F.call_function("getbit", char, (slot % CHAR_BITS).cast("int")) == 1)
+        return found
 
     return inside
 
 
-def _in_part(number: int, share: tuple[int, int]):
-    """Whether a random part of the lexicon keeps a term."""
-    return lambda t: F.pmod(F.xxhash64(t, F.lit(number)), F.lit(share[1])) < share[0]
+def _parts(shares: tuple[tuple[int, int], ...]) -> tuple[int, list[tuple[int, int, int, int]]]:
+    """How many 64-bit hashes of a term say which parts it is in, and of each part the hash, its bits there (shift, mask) and
+    the number that these stay below: a share of a power of two takes just its bits, any other ten."""
+    out, word, used = [], 0, 0
+    for share, of in shares:
+        bits = of.bit_length() - 1 if of & (of - 1) == 0 else 10
+        if used + bits > 64:
+            word, used = word + 1, 0
+        out.append((word, used, (1 << bits) - 1, share if of == 1 << bits else round(share * (1 << bits) / of)))
+        used += bits
+    return word + 1, out
 
 
 def with_fingerprint(df: DataFrame, text: str, out: str, bits: bytes, slots: int, shares: tuple[tuple[int, int], ...]) -> DataFrame:
@@ -73,11 +96,18 @@ def with_fingerprint(df: DataFrame, text: str, out: str, bits: bytes, slots: int
     """
     every = f"{out}_every"
     known = f"{out}_known"
+    words, parts = _parts(shares[1:])
     df = df.withColumn(every, F.array_sort(terms(F.col(text))))
-    df = df.withColumn(known, F.filter(every, _in_lexicon(bits, slots)))
+    marked = lambda t: F.struct(t.alias("t"), *(F.xxhash64(t, F.lit(k)).alias(f"h{k}") for k in range(words)))
+    df = df.withColumn(known, F.transform(F.filter(every, _in_lexicon(bits, slots)), marked))
     rest = F.when(F.size(every) > 0, F.xxhash64(F.lit("terms"), F.col(every))).otherwise(F.xxhash64(F.lit("text"), F.col(text)))
-    parts = [F.filter(known, _in_part(k, share)) for k, share in enumerate(shares) if k]
-    return df.withColumn(out, F.array(F.when(F.size(known) > 0, F.xxhash64(known)).otherwise(rest), *(F.when(F.size(x) > 0, F.xxhash64(x)) for x in parts))).drop(every, known)
+
+    def kept(word: int, shift: int, mask: int, below: int) -> Column:
+        return F.filter(known, lambda x: F.shiftrightunsigned(x[f"h{word}"], shift).bitwiseAND(F.lit(mask)) < below)
+
+    hashes = [F.xxhash64(kept(*p)) for p in parts]
+    none = F.xxhash64(F.expr(f"cast(array() AS array<struct<t:bigint,{','.join(f'h{k}:bigint' for k in range(words))}>>)"))
+    return df.withColumn(out, F.array(F.when(F.size(known) > 0, F.xxhash64(known)).otherwise(rest), *(F.nullif(h, none) for h in hashes))).drop(every, known)
 
 
 def likeness(a: Column, b: Column) -> Column:
