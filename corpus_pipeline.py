@@ -1,7 +1,8 @@
 """The corpus pipeline: toxicity, exact duplicates, near duplicates, mixing, packing.
 
 Each stage takes (spark, docs, sf_dir) and works on all that the one before it kept, row by
-row: ids may be null or repeat. All but the last return the columns of ``documents``.
+row: ids may be null or repeat. All but the last return the columns of ``documents``, whatever they are
+called beside doc_id, text, lang and source; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -9,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm.common import Scratch, free_name
+from tessera.llm.common import BROADCAST_ROWS, Scratch, free_name, scratch_scope
 from tessera.llm.exact_dedup import exact_duplicates
 from tessera.llm.jaccard import jaccard_components
 from tessera.llm.mixing import mix, rule_topic
@@ -17,20 +18,28 @@ from tessera.llm.packing import pack
 from tessera.llm.queries import fold, table, tokenizer_path
 from tessera.llm.toxicity import toxicity
 
-#: A list of dropped rows or repeated ids is broadcast up to this many (8 bytes each); above it the join shuffles.
-BROADCAST_IDS = 500_000
 
+def _by_id(docs: DataFrame) -> bool:
+    """Whether doc_id tells the rows apart: none is null and none repeats. Only ids are shuffled."""
+    odd = docs.select(F.col("doc_id").cast("long").alias("id")).groupBy("id").agg(F.count("*").alias("n")).filter("n > 1 OR id IS NULL")
+    return odd.isEmpty()
 
-def _keyed(docs: DataFrame) -> tuple[DataFrame, str]:
-    """``docs`` with a number for each row, written once, and the name of that column."""
+
+def _keyed(docs: DataFrame, scratch: Scratch) -> tuple[DataFrame, str]:
+    """``docs`` with a number for each row, and the name of that column.
+
+    It is the doc_id where that tells all rows apart. Where it doesn't, the rows are numbered and written once, so that every
+    reader sees the same numbers.
+    """
     key = free_name(docs, "row_key")
-    return Scratch(docs.sparkSession).save(docs.withColumn(key, F.monotonically_increasing_id()), "keyed"), key
+    if _by_id(docs):
+        return docs.withColumn(key, F.col("doc_id").cast("long")), key
+    return scratch.save(docs.withColumn(key, F.monotonically_increasing_id()), "keyed"), key
 
 
 def _without(keyed: DataFrame, key: str, dropped: DataFrame) -> DataFrame:
-    """The rows of ``keyed`` whose key isn't in ``dropped`` (key), without the key."""
-    dropped = Scratch(keyed.sparkSession).save(dropped.select(key), "dropped")
-    side = F.broadcast(dropped) if dropped.count() <= BROADCAST_IDS else dropped
+    """The rows of ``keyed`` whose key isn't in ``dropped`` (key), a written table, without the key."""
+    side = F.broadcast(dropped) if dropped.count() <= BROADCAST_ROWS else dropped
     return keyed.join(side, key, "left_anti").drop(key)
 
 
@@ -49,17 +58,26 @@ def _losers(keyed: DataFrame, key: str, others: DataFrame) -> DataFrame:
 
 
 def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rows whose toxicity score is under 0.5; labels of the fold that queries hold out are not learnt."""
-    keyed, key = _keyed(docs)
-    scored = toxicity(keyed, table(spark, sf_dir, "labels"), fold(5) != 0, key_col=key)
-    return _without(keyed, key, scored.filter("score >= 0.5"))
+    """Rows whose toxicity score is under 0.5; labels of the fold that queries hold out are not learnt.
+
+    Each row is scored by its own whole text, null as the empty one, so rows that repeat an id stay or go each for itself.
+    """
+    scratch = Scratch(spark)
+    keyed, key = _keyed(docs, scratch)
+    with scratch_scope():
+        scored = toxicity(keyed, table(spark, sf_dir, "labels"), fold(5) != 0, key_col=key)
+        dropped = scratch.save(scored.filter("score >= 0.5").select(key), "dropped")
+    return _without(keyed, key, dropped)
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of equal texts one row with the smallest doc_id; null ids come last."""
-    keyed, key = _keyed(docs)
-    found = exact_duplicates(keyed, id_col=key).filter("NOT kept")
-    return _without(keyed, key, _losers(keyed, key, found.select(F.col("doc_id").alias(key), F.col("keep_id").alias("head"))))
+    """Of equal texts one row with the smallest doc_id; null ids come last, null texts are empty ones."""
+    scratch = Scratch(spark)
+    keyed, key = _keyed(docs, scratch)
+    with scratch_scope():
+        found = exact_duplicates(keyed, id_col=key).filter("NOT kept")
+        dropped = scratch.save(_losers(keyed, key, found.select(F.col("doc_id").alias(key), F.col("keep_id").alias("head"))), "dropped")
+    return _without(keyed, key, dropped)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -67,29 +85,36 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
     Null ids come last. Texts without words are no copies.
     """
-    keyed, key = _keyed(docs)
-    found = jaccard_components(keyed, words=5, percent=80, id_col=key).filter("doc_id <> component_id")
-    return _without(keyed, key, _losers(keyed, key, found.select(F.col("doc_id").alias(key), F.col("component_id").alias("head"))))
+    scratch = Scratch(spark)
+    keyed, key = _keyed(docs, scratch)
+    with scratch_scope():
+        found = jaccard_components(keyed, words=5, percent=80, id_col=key).filter("doc_id <> component_id")
+        dropped = scratch.save(_losers(keyed, key, found.select(F.col("doc_id").alias(key), F.col("component_id").alias("head"))), "dropped")
+    return _without(keyed, key, dropped)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents that raking to the source, language and topic targets samples.
 
-    Rows with a null or repeated id are drawn each for itself.
+    Null sources and languages are values of their own. Texts without words weigh nothing, whether they are sampled depends on
+    their cell. Rows with a null or repeated id are drawn each for itself, so equal rows may differ.
     """
-    keyed, key = _keyed(docs)
-    draw, again = free_name(keyed, "draw"), free_name(keyed, "again")
-    repeated = keyed.filter("doc_id IS NOT NULL").groupBy("doc_id").count().filter("count > 1").select("doc_id", F.lit(True).alias(again))
-    repeated = Scratch(spark).save(repeated, "repeated")
-    side = F.broadcast(repeated) if repeated.count() <= BROADCAST_IDS else repeated
-    text = F.col("doc_id").cast("string")
-    own = F.concat_ws(" ", text, F.lit("row"), F.col(key).cast("string"))
-    drawn = keyed.join(side, "doc_id", "left").withColumn(draw, F.when(text.isNull() | F.col(again), own).otherwise(text))
+    scratch = Scratch(spark)
+    if _by_id(docs):
+        drawn, draw = docs, "doc_id"
+    else:
+        keyed, key = _keyed(docs, scratch)
+        draw, again = free_name(keyed, "draw"), free_name(keyed, "again")
+        repeated = scratch.save(keyed.filter("doc_id IS NOT NULL").groupBy("doc_id").count().filter("count > 1").select("doc_id", F.lit(True).alias(again)), "repeated")
+        side = F.broadcast(repeated) if repeated.count() <= BROADCAST_ROWS else repeated
+        text = F.col("doc_id").cast("string")
+        own = F.concat_ws(" ", text, F.lit("row"), F.col(key).cast("string"))
+        drawn = keyed.join(side, "doc_id", "left").withColumn(draw, F.when(text.isNull() | F.col(again), own).otherwise(text))
     return mix(drawn, rule_topic(F.col("text")), id_col=draw).filter("sampled").select(*(F.col("row")[c].alias(c) for c in docs.columns))
 
 
 def pack_windows(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of windows of 1024 ids."""
+    """Pieces of windows of 1024 ids, of every row: null texts are empty, ids null or repeated are passed on."""
     return pack(docs, tokenizer_path()).drop("ids")
 
 
@@ -107,7 +132,11 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``, each written to the shared folder and read again by the next."""
-    docs, scratch = table(spark, sf_dir, "documents"), Scratch(spark)
+    docs, scratch, before = table(spark, sf_dir, "documents"), Scratch(spark), None
     for name, stage in STAGES[:-1]:
-        docs = scratch.save(stage(spark, docs, sf_dir), name.replace(" ", "_"))
+        with scratch_scope():
+            docs = scratch.save(stage(spark, docs, sf_dir), name.replace(" ", "_"))
+        if before:
+            scratch.drop(before)
+        before = name.replace(" ", "_")
     return STAGES[-1][1](spark, docs, sf_dir)
