@@ -11,8 +11,10 @@ A segment's key is the sum of its items' mixed hashes, so each deletion costs on
 subtraction. Sets are compared as classes of equal sets. Within a key, members are first
 compared with its smallest member, and components are formed; then only pairs whose
 components still differ. A group of thousands of near copies thus costs a few
-comparisons for each member, and no link between components is lost. Where a key has many
-members of different components (texts that share one half), two that link also share one of their rarest
+comparisons for each member, and no link between components is lost. Segments that hold nothing are
+no keys, for some more segments (see allocate). Where a key has many
+members of different components (texts that share one half), and among LARGE sets, of which any two may
+share a segment of few items and whose parity maps rule out little, two that link also share one of their rarest
 items, as many as may be missing from the other and one more: only members that do are paired.
 """
 
@@ -59,25 +61,38 @@ def _bounds() -> np.ndarray:
 BOUNDS = _bounds()
 
 
+def differing(band: int, percent: int) -> int:
+    """Items that one of two similar sets of a band may have beyond the other, both counted together: D."""
+    most = int(BOUNDS[band + 1] - 1) if band + 1 < len(BOUNDS) else int(BOUNDS[band])
+    return most * (100 - percent) // percent
+
+
 def allocate(band: int, percent: int, sets: float, deletions: str = "cost") -> tuple[int, int]:
     """(segments, how many of them have neighbourhoods) of a band that ``sets`` sets use.
 
-    ``deletions``: "cost" for the cheapest, "none" or "all" to force one end.
+    The segments' values add up to D + 1 and a slack. A set whose segments without content are worth no more than the
+    slack needs no keys of such segments (see _signer). More slack costs more keys and saves the pairs that share only
+    emptiness. ``deletions``: "cost" for the cheapest, "none" or "all" to force one end.
     """
-    most = int(BOUNDS[band + 1] - 1) if band + 1 < len(BOUNDS) else int(BOUNDS[band])
-    differ = most * (100 - percent) // percent
+    differ = differing(band, percent)
+    slacks = np.unique(np.concatenate([np.arange(12), np.geomspace(12, 12 + differ / 4, 20).astype(np.int64)]))
     with_d = np.unique(np.concatenate([[0], np.geomspace(1, max(1, (differ + 1) // 2), 200).astype(np.int64)]))[: (differ + 1) // 2 + 1]
-    segments = differ + 1 - with_d
     if deletions == "none" or not differ:
-        return differ + 1, 0
-    if deletions == "all":
-        return int(segments[-1]), int(with_d[-1])
+        with_d = with_d[:1]
+    elif deletions == "all":
+        with_d = with_d[-1:]
+    slack, with_d = (x.ravel() for x in np.meshgrid(slacks, with_d))
+    segments = differ + 1 + slack - with_d
     size = float(BOUNDS[band]) * (1 + BAND_RATIO) / 2
     mean = size / segments
     lone = np.exp(-mean)
     rows = (segments - with_d) + with_d * (2 + mean)
     chance = (segments - with_d) * lone**2 + with_d * (lone * (1 + mean)) ** 2
-    best = int(np.argmin(sets * rows + PAIR_COST * sets**2 / 2 * chance))
+    # Share of sets with more worth of segments without content than the slack, by a normal tail.
+    hollow = (segments - with_d) * lone + 2 * with_d * lone * (1 + mean)
+    spread = np.sqrt(hollow + 2 * with_d * lone * (1 + mean)) + 1e-9
+    loud = np.array([math.erfc(z / math.sqrt(2)) / 2 for z in (slack + 0.5 - hollow) / spread])
+    best = int(np.argmin(sets * rows + PAIR_COST * sets**2 / 2 * chance * loud**2))
     return int(segments[best]), int(with_d[best])
 
 
@@ -128,8 +143,13 @@ def _as_lists(doc: np.ndarray, values: np.ndarray, docs: int) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], ends]).astype(np.int32)), pa.array(values[order].view(np.int64)))
 
 
-def _signer(percent: int, segments: np.ndarray, with_d: np.ndarray):
-    """mapInArrow body: (doc_id, items) -> doc_id, n, set identity, parity map, keys, keys of deletions."""
+def _signer(percent: int, segments: np.ndarray, with_d: np.ndarray, slack: np.ndarray):
+    """mapInArrow body: (doc_id, items) -> doc_id, n, set identity, parity map, keys, keys of deletions.
+
+    Two similar sets agree in segments worth D + 1 + slack - D at least. Segments without content, empty ones and ones of a
+    single item that a deletion empties, agree with all others of the kind. Where those of one of the two sets are worth no more than
+    the slack, they agree in another segment too. So only sets with more send keys without content, and two of them still meet.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -161,10 +181,17 @@ def _signer(percent: int, segments: np.ndarray, with_d: np.ndarray):
                     sums = np.zeros(base[-1], np.uint64)
                     np.add.at(sums, cell, x)
                     cell_doc = np.repeat(np.arange(docs), m)
-                    salt = _mix(((np.arange(base[-1]) - base[cell_doc]) + (band[cell_doc] << 40)).astype(np.uint64))
-                    keys.append(_mix(sums ^ salt))
-                    key_doc.append(cell_doc)
-                    drop = seg < with_d[band[d]]
+                    place_in = np.arange(base[-1]) - base[cell_doc]
+                    salt = _mix((place_in + (band[cell_doc] << 40)).astype(np.uint64))
+                    held = np.bincount(cell, minlength=base[-1])
+                    deep = place_in < with_d[band[cell_doc]]
+                    # A set is loud if its segments without content (that agree with any other such) may be all that agree with a similar one.
+                    hollow = np.bincount(cell_doc, np.where(deep, 2 * (held <= 1), held == 0), docs)
+                    loud = hollow >= np.where(band >= 0, slack[band] + 1, 0)
+                    take = (held > 0) | loud[cell_doc]
+                    keys.append(_mix(sums ^ salt)[take])
+                    key_doc.append(cell_doc[take])
+                    drop = (seg < with_d[band[d]]) & ((held[cell] > 1) | loud[d])
                     gone.append(_mix((sums[cell[drop]] - x[drop]) ^ salt[cell[drop]]))
                     gone_doc.append(d[drop])
                 yield pa.RecordBatch.from_arrays(
@@ -250,7 +277,8 @@ def jaccard_components(df: DataFrame, words: int = 5, percent: int = 80, id_col:
     used = sizes + np.append(sizes[1:], 0) / 2
     schemes = [allocate(b, percent, used[b], deletions) for b in range(len(BOUNDS) - 1)]
     segments, with_d = (np.array(x, np.int64) for x in zip(*schemes, strict=True))
-    signed = with_shingles(docs, "text", words, [F.col("doc_id")]).mapInArrow(lean(_signer(percent, segments, with_d)), "doc_id long, n long, h1 long, h2 long, " + ", ".join(f"{c} long" for c in MAP) + ", wide array<long>, keys array<long>, gone array<long>")
+    slack = segments + with_d - 1 - np.array([differing(b, percent) for b in range(len(BOUNDS) - 1)], np.int64)
+    signed = with_shingles(docs, "text", words, [F.col("doc_id")]).mapInArrow(lean(_signer(percent, segments, with_d, slack)), "doc_id long, n long, h1 long, h2 long, " + ", ".join(f"{c} long" for c in MAP) + ", wide array<long>, keys array<long>, gone array<long>")
     sets = scratch.save(signed.withColumn("row_id", F.monotonically_increasing_id()), "sets")
 
     classes = scratch.save(sets.filter("n > 0").groupBy("n", "h1", "h2").agg(F.min("row_id").alias("node"), F.min("doc_id").alias("min_doc")), "classes")
@@ -324,10 +352,11 @@ def jaccard_components(df: DataFrame, words: int = 5, percent: int = 80, id_col:
     few = left.join(F.broadcast(hot_keys) if hot_keys.count() <= BROADCAST_ROWS else hot_keys, "key", "left_anti")
     a = few.select("key", *(F.col(c).alias(f"{c}_a") for c in ("node", "whole", "comp", "n", *MAP)))
     b = few.select("key", *(F.col(c).alias(f"{c}_b") for c in ("node", "whole", "comp", "n", *MAP)))
-    rest = plausible(a.join(b, "key").filter("node_a < node_b AND comp_a <> comp_b AND (whole_a OR whole_b)"), percent)
+    rest = plausible(a.join(b, "key").filter(f"node_a < node_b AND comp_a <> comp_b AND (whole_a OR whole_b) AND NOT (n_a > {LARGE} AND n_b > {LARGE})"), percent)
     rest = rest.select(F.col("node_a").alias("a"), F.col("node_b").alias("b"))
-    if not hot_keys.isEmpty():
-        members = scratch.save(left.join(hot_keys, "key", "left_semi").select("node", "comp", "n").distinct(), "members")
+    members = left.join(hot_keys, "key", "left_semi").union(left.filter(F.col("n") > LARGE)).select("node", "comp", "n").distinct()
+    members = scratch.save(members, "members")
+    if not members.isEmpty():
         rest = rest.union(by_rarest(members, items_of(members.select("node"), "hot"), percent, scratch))
     comps = merge(compared(rest.distinct(), "rest"), "rest")
 
