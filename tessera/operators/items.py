@@ -12,6 +12,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..plans.written import written
+
 
 def identity(cls: str, keys: list[str], values: dict[str, Column]) -> Column:
     """(cls, key_field, key_value): the first key attribute with a value, else all values sorted by name; null without any."""
@@ -77,10 +79,10 @@ def resolve_ambiguity(objects: DataFrame, value: str, within: list[str], preferr
 def numbered(objects: DataFrame, order: list[Column], name: str = "item_no") -> DataFrame:
     """Dense numbers from 1 in ``order``, without sorting everything in one task.
 
-    Rows are range-partitioned and numbered within their partition; the sizes of the partitions before, one
-    number each, are added.
+    Rows are range-partitioned and numbered within their partition, and written so once: the ranges come from a sample, so a
+    second run may cut them elsewhere. The sizes of the partitions before, one number each, are added.
     """
-    placed = objects.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("part__", F.spark_partition_id()).withColumn("pos__", F.monotonically_increasing_id() - F.shiftleft(F.spark_partition_id().cast("long"), 33))
+    placed = written(objects.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("part__", F.spark_partition_id()).withColumn("pos__", F.monotonically_increasing_id() - F.shiftleft(F.spark_partition_id().cast("long"), 33)))
     sizes = {r.part__: r.n for r in placed.groupBy("part__").agg(F.count("*").alias("n")).collect()}
     starts, at = [], 0
     for p in sorted(sizes):

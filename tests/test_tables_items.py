@@ -57,3 +57,15 @@ def test_numbers_are_dense(spark):
     df = spark.range(1000).withColumn("k", F.xxhash64("id")).repartition(7)
     got = sorted((r.k, r.item_no) for r in I.numbered(df, [F.col("k")]).collect())
     assert [n for _, n in got] == list(range(1, 1001))
+
+
+def test_numbers_of_more_rows_than_the_sampler_takes(spark):
+    own = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "8")
+    try:
+        df = spark.range(400_000).withColumn("k", F.xxhash64("id"))
+        n = I.numbered(df, [F.col("k")])
+        assert tuple(n.agg(F.min("item_no"), F.max("item_no"), F.count_distinct("item_no")).first()) == (1, 400_000, 400_000)
+        assert n.join(n.select((F.col("item_no") + 1).alias("item_no"), F.col("k").alias("before")), "item_no").filter("before >= k").isEmpty()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", own)
