@@ -10,6 +10,10 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .written import written
+
+#: Rounds of a closure after which its pairs are written as one table.
+ROUNDS_APART = 12
 ATTRIBUTE, REFERENCE, COLLECTION = "attribute", "reference", "collection"
 #: Fields preferred as a class's key, in this order, where it has several keys.
 PREFERRED = ("primaryIdentifier", "identifier", "primaryAccession", "name", "symbol")
@@ -143,18 +147,25 @@ class Catalog:
 
 
 def closure(edges: DataFrame, child: str, parent: str) -> DataFrame:
-    """(child, ancestor, depth) with the shortest depth, each node its own ancestor at depth 0, by a recursive query."""
-    view = f"edges_{id(edges)}"
-    edges.select(F.col(child).alias("c"), F.col(parent).alias("p")).createOrReplaceTempView(view)
-    sql = f"""
-    WITH RECURSIVE walk(c, a, depth) AS (
-      SELECT c, c AS a, 0 AS depth FROM (SELECT c FROM {view} UNION SELECT p FROM {view})
-      UNION ALL
-      SELECT w.c, e.p, w.depth + 1 FROM walk w JOIN {view} e ON w.a = e.c WHERE w.depth < 50
-    )
-    SELECT c AS child, a AS ancestor, cast(min(depth) AS bigint) AS depth FROM walk GROUP BY c, a
+    """(child, ancestor, depth) with the shortest depth, each node its own ancestor at depth 0.
+
+    Each round follows one edge more from the pairs that the round before found, and keeps those that are new: a
+    pair is made once for each edge that reaches it, however many paths do, cycles end, and depth has no bound.
     """
-    return edges.sparkSession.sql(sql)
+    e = written(edges.select(F.col(child).alias("c"), F.col(parent).alias("p")).distinct())
+    nodes = e.select(F.col("c").alias("child")).union(e.select("p")).distinct()
+    known = found = written(nodes.select("child", F.col("child").alias("ancestor"), F.lit(0).cast("long").alias("depth")))
+    depth = 0
+    while not found.isEmpty():
+        depth += 1
+        step = found.select("child", F.col("ancestor").alias("c")).join(e, "c").select("child", F.col("p").alias("ancestor")).distinct()
+        old = known.select(F.col("child").alias("k"), F.col("ancestor").alias("a"))
+        new = step.join(old, F.col("child").eqNullSafe(F.col("k")) & F.col("ancestor").eqNullSafe(F.col("a")), "left_anti")
+        found = written(new.withColumn("depth", F.lit(depth).cast("long")))
+        known = known.union(found)
+        if depth % ROUNDS_APART == 0:
+            known = written(known)
+    return known
 
 
 def inherited_fields(tables: dict[str, DataFrame]) -> DataFrame:
