@@ -14,31 +14,31 @@ from functools import reduce
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-_BODY = r'"((?:[^"\\]|\\.)*+)"'
-LITERAL = rf"(?s)^{_BODY}(?:\^\^<[^>]*>|\^\^[A-Za-z][\w.-]*:[\w.-]+|@[A-Za-z0-9-]+)?$"
-_GUARD = "\x01"
+#: A quoted literal up to its last quote; quotes inside may stand without a backslash.
+LITERAL = r'(?s)^"(.*)"(?:\^\^<[^>]*>|\^\^[A-Za-z][\w.-]*:[\w.-]+|@[A-Za-z0-9-]+)?$'
+WHITE = " \t\n\r\f\x0b"
 
 
 def strip(c: Column) -> Column:
     """Without white space at both ends."""
-    return F.regexp_replace(c, r"^[ \t\n\r\f\x0B]+|[ \t\n\r\f\x0B]+$", "")
+    return F.btrim(c, F.lit(WHITE))
 
 
 def unescape(c: Column) -> Column:
     r"""Backslash escapes in one pass: \t \n \r become a space, any other escaped character itself."""
-    c = F.replace(c, F.lit("\\\\"), F.lit(_GUARD))
-    c = F.regexp_replace(c, r"\\[tnr]", " ")
-    c = F.regexp_replace(c, r"(?s)\\(.)", "$1")
-    return F.replace(c, F.lit(_GUARD), F.lit("\\"))
+    single = lambda part: F.regexp_replace(F.regexp_replace(part, r"\\[tnr]", " "), r"(?s)\\(.)", "$1")
+    return F.when(F.contains(c, F.lit("\\")), F.array_join(F.transform(F.split(c, r"\\\\"), single), "\\")).otherwise(c)
 
 
 def clean_term(c: Column) -> Column:
     """The value of a wire term; null is empty, blank nodes and bare values stay as they are."""
     t = strip(F.coalesce(c, F.lit("")))
-    quoted = F.startswith(t, F.lit('"')) & t.rlike(LITERAL)
-    body = F.regexp_replace(unescape(F.regexp_extract(t, LITERAL, 1)), r"[\t\r\n]", " ")
+    inside = F.substr(t, F.lit(2), F.length(t) - 2)
+    said = lambda body: strip(F.translate(unescape(body), "\t\r\n", "   "))
+    quoted = F.startswith(t, F.lit('"'))
+    plain = quoted & F.endswith(t, F.lit('"')) & (F.length(t) > 1)  # most literals: no pattern is needed
     iri = F.startswith(t, F.lit("<")) & F.endswith(t, F.lit(">"))
-    return F.when(iri, F.substr(t, F.lit(2), F.length(t) - 2)).when(quoted, strip(body)).otherwise(t)
+    return F.when(iri, inside).when(plain, said(inside)).when(quoted & t.rlike(LITERAL), said(F.regexp_extract(t, LITERAL, 1))).otherwise(t)
 
 
 def term_struct(c: Column) -> Column:
@@ -213,10 +213,11 @@ def to_ascii(c: Column) -> Column:
     return F.when(c.rlike(r"[^\x00-\x7F]"), F.regexp_replace(out, r"[^\x00-\x7F]", "?")).otherwise(c)
 
 
+# Names of the types that a value must parse as.
 INTEGER_TYPES = ("int", "java.lang.Integer", "long", "java.lang.Long", "short", "java.lang.Short")
 FLOAT_TYPES = ("double", "java.lang.Double", "float", "java.lang.Float")
 INTEGER = r"^\s*[+-]?[0-9]+\s*$"
-FLOAT = r"^\s*[+-]?(?:(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:[eE][+-]?[0-9]+)?|nan|inf|infinity|NaN|Infinity)\s*$"
+FLOAT = r"(?i)^\s*[+-]?(?:(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:e[+-]?[0-9]+)?|nan|inf|infinity)\s*$"
 
 
 def fits_type(c: Column, declared: str) -> Column:

@@ -38,16 +38,16 @@ def test_clean_term(spark):
 
 
 def plain_clean(v):
-    """The ledger's rules by a loop."""
+    """The ledger's rules by a loop; a literal ends at its last quote, whatever quotes are inside."""
     v = v.strip(" \t\n\r\f\x0b")
     if v.startswith("<") and v.endswith(">"):
         return v[1:-1]
-    m = re.fullmatch(r'(?s)"((?:[^"\\]|\\.)*)"(?:\^\^<[^>]*>|\^\^[A-Za-z][\w.-]*:[\w.-]+|@[A-Za-z0-9-]+)?', v, re.A)
+    m = re.fullmatch(r'(?s)"(.*)"(?:\^\^<[^>]*>|\^\^[A-Za-z][\w.-]*:[\w.-]+|@[A-Za-z0-9-]+)?', v, re.A)
     if not m:
         return v
     out, i, s = "", 0, m[1]
     while i < len(s):
-        if s[i] == "\\":
+        if s[i] == "\\" and i + 1 < len(s):
             i += 1
             out += " " if s[i] in "tnr" else s[i]
         else:
@@ -125,3 +125,13 @@ def test_names(spark):
 def test_split_steps_never_loses_plain_steps(parts):
     steps = T.split_steps(",".join(p.replace("\\", "").replace(",", "") for p in parts))
     assert steps == [p.replace("\\", "").replace(",", "").strip() for p in parts if p.replace("\\", "").replace(",", "").strip()]
+
+
+def test_literals_with_raw_quotes_and_controls(spark):
+    cases = {'"a "b" c"@en': 'a "b" c', '"x"y"^^<t>': 'x"y', '"a\\\\n\\n\\"b"': 'a\\n "b', '"p\x01q"': "p\x01q", '"': '"', '""': "", '"open': '"open', '"n"^^xsd:int': "n", " <i> ": "i"}
+    from tessera.functions.terms import clean_term, fits_type
+
+    df = spark.createDataFrame(list(cases.items()), "t string, want string")
+    assert [tuple(r) for r in df.filter(clean_term(F.col("t")) != F.col("want")).collect()] == []
+    numbers = spark.createDataFrame([("INF", True), ("-Infinity", True), ("NaN", True), ("1e5", True), ("nano", False)], "t string, want boolean")
+    assert numbers.filter(fits_type(F.col("t"), "java.lang.Double") != F.col("want")).count() == 0
