@@ -13,24 +13,32 @@ from ..functions.terms import clean_term
 
 
 def header_name(cell: str) -> str:
-    """A variable's name without ?, quotes or both."""
-    return cell.strip().strip('"').lstrip("?").strip()
+    """A variable's name without ?, quotes or both, whichever comes first."""
+    name = cell.strip().lstrip("?").strip()
+    if len(name) > 1 and name[0] == name[-1] and name[0] in "'\"":
+        name = name[1:-1].strip()
+    return name.lstrip("?")
+
+
+def _below_header(spark: SparkSession, path: str, columns: int) -> DataFrame:
+    """Cells c0, c1, ... of a tab-separated file: its first line is left out by place, quotes are data, missing cells are empty."""
+    schema = ", ".join(f"c{i} string" for i in range(columns))
+    cells = spark.read.schema(schema).option("sep", "\t").option("header", True).option("quote", "").option("mode", "PERMISSIVE").csv(path)
+    return cells.na.fill("")
 
 
 def read_wire_tsv(spark: SparkSession, path: str, clean: bool = True) -> DataFrame:
     """A result table: tab-separated wire terms below a header; CR, LF and CRLF end lines, blank lines are skipped.
 
-    Short rows are padded with empty values. Quotes are data, so this isn't the CSV reader.
+    Short rows are padded with empty values. Quotes are data. Only the first line of a file is a header, whatever
+    rows below it look like.
     """
-    lines = spark.read.text(path).filter(F.col("value") != "")
-    head = lines.first()
+    head = spark.read.text(path).filter(F.trim("value") != "").first()
     if head is None:
         return spark.createDataFrame([], T.StructType([]))
     names = [header_name(c) for c in head.value.split("\t")]
-    cells = F.split("value", "\t", -1)
-    body = lines.filter(F.col("value") != head.value).select(cells.alias("cells"))
-    cols = [F.coalesce(F.get("cells", F.lit(i)), F.lit("")) for i in range(len(names))]
-    return body.select(*((clean_term(c) if clean else c).alias(n) for n, c in zip(names, cols, strict=True)))
+    body = _below_header(spark, path, len(names))
+    return body.select(*((clean_term(F.col(f"c{i}")) if clean else F.col(f"c{i}")).alias(n) for i, n in enumerate(names)))
 
 
 RESULT_CELL = "struct<type:string,value:string,datatype:string,`xml:lang`:string>"
@@ -71,17 +79,26 @@ def sniff(body: str, asked: str = "") -> str:
 
 
 def read_exchange(spark: SparkSession, path: str) -> tuple[DataFrame, dict[str, str]]:
-    """A table below a block of # key: value lines, and the block."""
+    """A table below a block of # key: value lines at the top of a file, and the block. Below the header # is data."""
     lines = spark.read.text(path)
+    most, above, head = 64, [], None
+    while head is None:  # the block is as long as it is: look further until its end
+        top = [r.value for r in lines.limit(most).collect()]
+        at = next((i for i, x in enumerate(top) if x.strip() and not x.startswith("#")), None)
+        if at is not None:
+            above, head = top[:at], top[at]
+        elif len(top) < most:
+            above, head = top, ""
+        most *= 8
     meta = {}
-    for r in lines.filter(F.col("value").startswith("#")).limit(1000).collect():
-        k, _, v = r.value.lstrip("# ").partition(":")
-        meta[k.strip()] = v.strip().strip('"')
-    rows = lines.filter(~F.col("value").startswith("#") & (F.col("value") != ""))
-    head = rows.first()
-    names = head.value.split("\t") if head else []
+    for line in above:
+        if line.startswith("#"):
+            k, _, v = line.lstrip("# ").partition(":")
+            meta[k.strip()] = v.strip().strip('"')
+    names = head.split("\t") if head else []
     cells = F.split("value", "\t", -1)
-    body = rows.filter(F.col("value") != head.value) if head else rows
+    # The first partition has the top of the file, and its rows are numbered from 0.
+    body = lines.withColumn("at", F.monotonically_increasing_id()).filter((F.col("at") > len(above)) & (F.col("value") != ""))
     return body.select(*(F.coalesce(F.get(cells, F.lit(i)), F.lit("")).alias(n.removeprefix("ext_")) for i, n in enumerate(names))), meta
 
 

@@ -21,6 +21,16 @@ def test_wire_tsv(spark, tmp_path):
     assert df.columns == ["id", "name"] and sorted(map(tuple, df.collect())) == [("1", 'a "b"'), ("x", "")]
 
 
+def test_only_the_first_line_is_a_header(spark, tmp_path):
+    p = put(tmp_path, "h.tsv", '?"k"\t"?v"\n"k"\t"v"\n?"k"\t"?v"\n# x\ty "z" w\textra\n')
+    df = readers.read_wire_tsv(spark, p)
+    assert df.columns == ["k", "v"] and sorted(map(tuple, df.collect())) == [("# x", 'y "z" w'), ('?"k"', "?v"), ("k", "v")]
+    assert [readers.header_name(x) for x in ('?"x"', '"?x"', " ?x ", "'x'", "x")] == ["x"] * 5
+    block = "".join(f"# key{i}: {i}\n" for i in range(1500))
+    df, meta = readers.read_exchange(spark, put(tmp_path, "e.tsv", block + "a\text_b\n1\t2\na\text_b\n#3\t4\n"))
+    assert len(meta) == 1500 and meta["key1499"] == "1499" and sorted(map(tuple, df.collect())) == [("#3", "4"), ("1", "2"), ("a", "ext_b")]
+
+
 def test_result_json_and_csv(spark, tmp_path):
     body = {"head": {"vars": ["a", "b"]}, "results": {"bindings": [{"a": {"type": "uri", "value": "http://x"}, "b": {"type": "literal", "value": 'q"\n', "xml:lang": "en"}}, {"a": {"type": "bnode", "value": "n"}}]}}
     got = [tuple(r) for r in readers.read_result_json(spark, put(tmp_path, "r.json", json.dumps(body))).collect()]
@@ -120,6 +130,25 @@ def test_batches_over_the_cap():
     assert len(list(got)) == 23 and done.status == "partial"
 
 
+def test_a_range_is_whole_or_an_error():
+    rows = [(f"k{i:03d}", str(i)) for i in range(20)]
+    send, calls = server(rows, cut=4)
+    assert [r[1] for r in endpoint.read_range(send, QUERY, 5, 10)] == [str(i) for i in range(5, 15)] and len(calls) == 3
+    with pytest.raises(OSError):
+        list(endpoint.read_range(send, QUERY, 15, 10))
+
+
+def test_a_cut_list_of_keys_makes_a_partial_scan():
+    rows = [(f"k{i:03d}", str(i)) for i in range(30)]
+    send, _ = server(rows, cap=10)
+
+    def cutting(q):
+        return (500, "sorted cap") if "DISTINCT ?k" in q and "OFFSET 20" in q else send(q)
+
+    got, done = endpoint.scan(cutting, QUERY, 10, cap=10, batch=7)
+    assert len(list(got)) == 20 and done.status == "partial"
+
+
 def test_query_texts():
     assert endpoint.domain_query(QUERY, "k").startswith("SELECT DISTINCT ?k WHERE") and endpoint.domain_query(QUERY, "w") is None
     assert endpoint.with_limit("SELECT ?a WHERE {} LIMIT 5", None).endswith("LIMIT 5") and endpoint.with_limit("SELECT ?a WHERE {} LIMIT 5", 0).endswith("{}")
