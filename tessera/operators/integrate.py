@@ -2,19 +2,23 @@
 
 from __future__ import annotations
 
+import re
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 EDITABLE_STATUS = ("drop", "link")
+#: What the note of a kept row that the schema no longer has begins with.
+STALE = "STALE: no longer in the schema"
 
 
 def by_priority(rows: DataFrame, keys: list[str], fields: list[str], source: str, ranks: dict[str, dict[str, int]] | dict[str, int], order: Column) -> DataFrame:
     """One row per key: of each field the non-null value of the best-ranked source, ties by ``order``.
 
     ``ranks``: source -> rank for all fields, or field -> {source: rank}; sources without a rank share the last one.
-    Beside each field come <field>_source, and <field>_conflict: whether the winning rank held different values.
+    Beside each field come <field>_source, and <field>_conflict: whether the winning rank held different values (by the least
+    and the greatest of their hashes, so nothing is gathered by key).
     """
     aggs = []
     for f in fields:
@@ -23,20 +27,16 @@ def by_priority(rows: DataFrame, keys: list[str], fields: list[str], source: str
         rank = reduce(lambda c, kv: F.when(F.col(source) == kv[0], kv[1]).otherwise(c), table.items(), F.lit(last))
         has = F.col(f).isNotNull() & (F.col(f).cast("string") != "")
         aggs.append(F.min_by(F.when(has, F.struct(F.col(f).alias("v"), F.col(source).alias("s"))), F.when(has, F.struct(rank.alias("r"), order.alias("o")))).alias(f"{f}__"))
-        aggs.append(F.array_sort(F.collect_set(F.when(has, F.struct(rank.alias("r"), F.xxhash64(f).alias("h"))))).alias(f"{f}__seen"))
+        aggs.append(F.min(F.when(has, F.struct(rank.alias("r"), F.xxhash64(f).alias("h")))).alias(f"{f}__low"))
+        aggs.append(F.max(F.when(has, F.struct((-rank).alias("r"), F.xxhash64(f).alias("h")))).alias(f"{f}__high"))
     out = rows.groupBy(*keys).agg(*aggs)
     cols = []
     for f in fields:
-        seen = F.col(f"{f}__seen")
-        best = F.size(F.filter(seen, _same_rank(seen)))
-        cols += [F.col(f"{f}__.v").alias(f), F.col(f"{f}__.s").alias(f"{f}_source"), (best > 1).alias(f"{f}_conflict")]
+        differ = F.coalesce(F.col(f"{f}__low.h") != F.col(f"{f}__high.h"), F.lit(False))
+        cols += [F.col(f"{f}__.v").alias(f), F.col(f"{f}__.s").alias(f"{f}_source"), differ.alias(f"{f}_conflict")]
     return out.select(*keys, *cols)
 
 
-def _same_rank(seen: Column):
-    return lambda x: x["r"] == F.get(seen, F.lit(0))["r"]
-
-
 def derived_links(*hops: DataFrame) -> DataFrame:
     """(src, dst) of a chain of link tables (src, dst), each pair once."""
     out = hops[0].select("src", "dst")
@@ -49,8 +49,9 @@ def three_way_merge(fresh: DataFrame, disk: DataFrame, base: DataFrame | None, k
     """Fresh rows with the edits that ``disk`` has over ``base``, and edited rows that fresh no longer has.
 
     A cell that differs from the base was edited and is kept; a row with edits whose status wasn't
-    becomes human (unless drop or link). Without a base, fresh stands for it. Rows gone from fresh stay only if
-    edited or already STALE, as inert rows of status drop. Columns: keys, cells, origin (fresh, edited, stale).
+    becomes human (unless drop or link). Without a base, fresh stands for it. Rows gone from fresh stay if the base
+    doesn't have them, if they were edited or if they are marked STALE already, as inert rows of status drop; a note, where
+    there is one, gets that mark, so the next merge keeps them too. Columns: keys, cells, origin (fresh, edited, stale).
     """
     text = lambda c: F.coalesce(c.cast("string"), F.lit(""))
     side = lambda df, s: df.select(*keys, *(text(F.col(c)).alias(f"{s}_{c}") for c in cells), F.lit(True).alias(f"{s}__"))
@@ -59,15 +60,17 @@ def three_way_merge(fresh: DataFrame, disk: DataFrame, base: DataFrame | None, k
     before = {c: F.when(on("b"), F.col(f"b_{c}")).when(on("f"), F.col(f"f_{c}")).otherwise(F.lit("")) for c in cells}
     changed = {c: on("d") & (F.col(f"d_{c}") != before[c]) for c in cells}
     any_edit = reduce(lambda a, b: a | b, changed.values())
-    was_base = on("b")
     stale_mark = F.col("d_note").startswith("STALE") if "note" in cells else F.lit(False)
-    keep = on("f") | (on("d") & ((was_base & any_edit) | (F.lit(base is None) & ~on("f")) | F.coalesce(stale_mark, F.lit(False))))
+    keep = on("f") | (on("d") & (~on("b") | any_edit | F.coalesce(stale_mark, F.lit(False))))
     out = {}
     for c in cells:
         kept = F.when(on("f") & changed[c], F.col(f"d_{c}")).when(on("f"), F.col(f"f_{c}")).otherwise(F.col(f"d_{c}"))
         if c == status:
             human = on("f") & any_edit & ~changed[c] & ~kept.isin(*EDITABLE_STATUS)
             kept = F.when(~on("f"), "drop").when(human, "human").otherwise(kept)
+        elif c == "note":
+            marked = F.concat_ws("; ", F.lit(STALE), F.when(kept != "", kept))
+            kept = F.when(~on("f") & ~stale_mark, marked).otherwise(kept)
         out[c] = kept.alias(c)
     origin = F.when(~on("f"), "stale").when(any_edit, "edited").otherwise("fresh")
     return all3.filter(keep).select(*keys, *out.values(), origin.alias("origin"))
@@ -88,75 +91,91 @@ def in_scope(df: DataFrame, column: str, allowed: DataFrame) -> DataFrame:
     return df.join(allowed.select(F.col(allowed.columns[0]).alias(column)).distinct(), column, "left_semi")
 
 
-def restrict(rows: list[dict], cls: str, name: str, values: list[str]) -> tuple[list[dict], str]:
-    """Mapping rows with Class.field restricted to ``values``, and what was done; the input isn't changed.
+def restrict(rows: list[dict], cls: str, name: str, values: list[str], prefix: str = "", promote: bool = False) -> tuple[list[dict], str]:
+    """Mapping rows with the queried column Class.field restricted to ``values``, and what was done; the input isn't changed.
 
-    A constant column takes a single value's place, or goes where there are several; other columns get the
-    values as a constraint and become required.
+    Only required columns are restricted, with ``promote`` optional ones too, which become required. Values are
+    written as CURIEs where the column already holds some (or ``prefix`` is given), as endings of IRIs where it is cut to a
+    local name, else as quoted literals. Beside such a column a constant of the field takes a single value, and goes where
+    there are several. Without one nothing changes: "constant" if the field is only a constant, else "absent".
     """
-    out, done = [], "absent"
-    for r in rows:
-        r = dict(r)
-        if (r.get("im_class"), r.get("im_field")) == (cls, name):
-            if r.get("kind") == "const":
-                if len(values) > 1:
-                    done = "removed"
-                    continue
-                r["value"], done = values[0], "rewritten"
-            else:
-                r["value"], r["required"], done = " ".join(values), "yes", "constrained"
-        out.append(r)
-    return out, done
+    own = [i for i, r in enumerate(rows) if (r.get("im_class"), r.get("im_field")) == (cls, name)]
+    constants = {i for i in own if rows[i].get("kind") == "const"}
+    asked = {i for i in own if i not in constants and (promote or rows[i].get("required") == "yes")}
+    if not asked:
+        return [dict(r) for r in rows], "constant" if constants else "absent"
+
+    def written_values(r: dict) -> str:
+        curie = re.match(r"([A-Za-z][\w.-]*):[^/\s\"]", r.get("value") or "")
+        if head := curie[1] if curie else prefix:
+            return " ".join(f"{head}:{v}" for v in values)
+        if r.get("transform") == "iri_localname":
+            return " ".join(f'~"{v}"' for v in values)
+        return " ".join(v if v.startswith('"') else f'"{v}"' for v in values)
+
+    out = []
+    for i, r in enumerate(rows):
+        if i in asked:
+            out.append({**r, "value": written_values(r), **({"required": "yes"} if promote else {})})
+        elif i not in constants:
+            out.append(dict(r))
+        elif len(values) == 1:
+            out.append({**r, "value": values[0]})
+    return out, "restricted"
 
 
 def taxon_scope(rows: list[dict], values: list[str], default: list[str]) -> tuple[list[dict] | None, str]:
-    """``restrict`` on Organism.taxonId; unchanged for the default list, None (skip) where only a constant says otherwise."""
-    if values == default:
+    """``restrict`` on Organism.taxonId; unchanged for the default list and for sources without one.
+
+    None (skip) where the taxon is only a constant, which can't be restricted and would be false of other taxa.
+    """
+    if list(values) == list(default):
         return rows, "default"
-    own = [r for r in rows if (r.get("im_class"), r.get("im_field")) == ("Organism", "taxonId")]
-    if not own:
-        return rows, "absent"
-    if all(r.get("kind") == "const" for r in own) and not any(r.get("value") in values for r in own):
+    scoped, done = restrict(rows, "Organism", "taxonId", list(values), prefix="taxid")
+    if done == "constant":
         return None, "skipped"
-    return restrict(rows, "Organism", "taxonId", values)
+    return (scoped, done) if done == "restricted" else (rows, done)
 
 
 def gene_scope(rows: list[dict], cls: str, name: str, values: list[str]) -> tuple[list[dict] | None, str]:
-    """``restrict`` on a source's gene field; None (skip) for a source without one."""
-    scoped, done = restrict(rows, cls, name, values)
-    return (None, "skipped") if done == "absent" else (scoped, done)
+    """``restrict`` on a source's gene field, optional ones too; None (skip) for a source that doesn't query one."""
+    if not values:
+        return rows, "default"
+    scoped, done = restrict(rows, cls, name, list(values), promote=True)
+    return (scoped, done) if done == "restricted" else (None, "skipped")
 
 
 def merge_priorities(existing: dict[str, list[str]], writers: dict[str, list[str]], replaces: dict[str, str], supplements: dict[str, str]) -> dict[str, list[str]]:
-    """Priority lists by field. A replacement takes the slot of what it replaces; a supplement comes right after its
-    stock source, which goes before * if it isn't named; other writers go before *. Fields without a list get
-    one only if several sources write them or a supplement does."""
-    out = {f: list(p) for f, p in existing.items()}
-    stock_of = {new: old for new, old in replaces.items()}
-    for f, names in {**dict.fromkeys(out, []), **writers}.items():
-        names = writers.get(f, names)
-        if f not in out:
-            if len(names) < 2 and not any(n in supplements for n in names):
-                continue
-            out[f] = ["*"]
-        slots = out[f]
-
-        def before_rest(n: str, slots: list[str] = slots) -> None:
-            slots.insert(slots.index("*") if "*" in slots else len(slots), n)
-
-        for new, old in stock_of.items():
-            if old in slots:
-                slots[slots.index(old)] = new
-        for n in names:
-            if n in slots:
-                continue
-            if n in supplements:
-                if supplements[n] not in slots:
-                    before_rest(supplements[n])
-                slots.insert(slots.index(supplements[n]) + 1, n)
+    """Priority lists by field.
+
+    What replaces a stock source (``replaces``: new -> stock) stands in its slot, all that do one after the other. A supplement
+    (-> stock) comes after its stock source and the supplements that are there already; a stock source that isn't named
+    goes before * with it. Other writers go before *. Fields without a list get one only if several sources write them, or,
+    ending in *, if a supplement does.
+    """
+    heirs: dict[str, list[str]] = {}
+    for new, old in replaces.items():
+        heirs.setdefault(old, []).append(new)
+
+    def slots_of(field: str) -> list[str]:
+        names = list(dict.fromkeys(writers.get(field, [])))
+        start = existing.get(field, ["*"] if any(n in supplements for n in names) else [])
+        slots = list(dict.fromkeys(x for s in start for x in heirs.get(s, [s])))
+        for n in (n for n in names if n not in slots):
+            stock, rest = supplements.get(n), slots.index("*") if "*" in slots else len(slots)
+            if stock is None:
+                slots[rest:rest] = [n]
+            elif stock not in slots:
+                slots[rest:rest] = [stock, n]
             else:
-                before_rest(n)
-    return out
+                after = slots.index(stock) + 1
+                while after < len(slots) and slots[after] in supplements:
+                    after += 1
+                slots[after:after] = [n]
+        return slots
+
+    made = [f for f, names in writers.items() if f not in existing and (len(set(names)) > 1 or any(n in supplements for n in names))]
+    return {f: slots_of(f) for f in [*existing, *made]}
 
 
 def arranged(stock: list[str], replaces: dict[str, list[str]], alongside: dict[str, str]) -> list[str]:
@@ -182,8 +201,12 @@ def collisions(columns: DataFrame) -> DataFrame:
 
 
 def cross_products(columns: DataFrame) -> DataFrame:
-    """Groups of several columns of one predicate in one table, whose values multiply: (table, subject, predicate, n)."""
-    return columns.groupBy("table", "subject", "predicate").agg(F.count("*").alias("n")).filter("n > 1")
+    """Groups of several columns of one predicate in one table, whose values multiply: (table, subject, predicate, n).
+
+    Columns with a filter or a value are told apart by it and don't count.
+    """
+    plain = reduce(lambda a, b: a & b, (F.coalesce(F.col(c), F.lit("")) == "" for c in ("filter", "value") if c in columns.columns), F.lit(True))
+    return columns.filter(plain).groupBy("table", "subject", "predicate").agg(F.count("*").alias("n")).filter("n > 1")
 
 
 def coverage_gaps(declared: DataFrame, written: DataFrame, accepted: DataFrame) -> DataFrame:

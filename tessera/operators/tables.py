@@ -33,7 +33,7 @@ def clean_table(raw: DataFrame, columns: list[ColumnSpec], decode: bool = True,
     that fails drops the row, another is blanked and still transformed); transform; multiply
     rows over columns that split; drop rows without any value of their own, then rows without a
     required value; drop repeated rows. A variable that ``raw`` doesn't have is empty throughout. ``observation``
-    counts rows in, filtered, empty and without key.
+    counts rows in and rows that a required column's filter drops.
     """
     have = set(raw.columns)
     value = lambda c: F.coalesce(F.col(f"`{c.variable}`").cast("string"), F.lit("")) if c.variable in have else F.lit("")

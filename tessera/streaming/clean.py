@@ -13,7 +13,7 @@ from ..operators.tables import ColumnSpec, clean_table
 
 
 def raw_stream(spark: SparkSession, folder: str, names: list[str], per_trigger: int = 100) -> DataFrame:
-    """Lines of tab-separated pages (without header) as they arrive, with the time they were read."""
+    """Lines of tab-separated pages (without header) as they arrive."""
     cells = F.split("value", "\t", -1)
     lines = spark.readStream.option("maxFilesPerTrigger", per_trigger).text(folder).filter("value <> ''")
     return lines.select(*(F.coalesce(F.get(cells, F.lit(i)), F.lit("")).alias(n) for i, n in enumerate(names)))
@@ -27,7 +27,8 @@ def clean_stream(raw: DataFrame, columns: list[ColumnSpec]) -> DataFrame:
 def merge_into(store: str, keys: list[str], attributes: list[str]) -> Callable[[DataFrame, int], None]:
     """A foreachBatch function that keeps one row per object under ``store``: earlier values win.
 
-    Every batch writes a new version; the pointer file is what readers follow, so a batch that runs again gives the same version.
+    Every batch writes a whole new version from the one before, so a batch that runs again gives the same version. ``current``
+    reads the version of a batch.
     """
 
     def run(batch: DataFrame, number: int) -> None:

@@ -1,6 +1,6 @@
 import argparse
 
-from test_plans import SCHEMA, model
+from test_plans import PLANTS, model
 from test_sources import QUERY, server
 
 from tessera import cli
@@ -13,12 +13,12 @@ from tessera.plans.catalog import closure
 
 
 def test_from_raw_table_to_linked_items(spark):
-    rules = R.Rules(predicates=[R.PredicateRule("ex:alias", "Alias.value", "Named"), R.PredicateRule("ex:few", "Plant.height", "Plant")], prefixes={"dct": "http://purl.org/dc/terms/"})
-    rows, _ = R.Resolver(model(), rules, "src", {"ex": "http://ex.org/"}).build(Sc.parse_schema(SCHEMA), ["Plant"])
+    rules = R.Rules(predicates=[R.PredicateRule("ex:alias", "Alias.value", "Named"), R.PredicateRule("ex:spans", "Plant.height", "Plant")], prefixes={"dct": "http://purl.org/dc/terms/"})
+    rows, _ = R.Resolver(model(), rules, "src", {"ex": "http://ex.org/"}).build(Sc.parse_schema(PLANTS), ["Plant"])
     raw = {
         "main": spark.createDataFrame([('"1"', '"Lyon"'), ('"2"', '"Bonn"')], "id string, city string"),
         "alias": spark.createDataFrame([('"1"', '"rose"'), ('"1"', '"rosa"'), ('"2"', '""')], "id string, alias string"),
-        "ex_few": spark.createDataFrame([('"1"', '"NR"'), ('"2"', '"1.5"')], "id string, ex_few string"),
+        "ex_spans": spark.createDataFrame([('"1"', '"NR"'), ('"2"', '"1.5"')], "id string, ex_spans string"),
     }
     assert set(R.tables_of(rows)) == set(raw)
     clean = {t: clean_table(df, R.specs_of(rows, t)) for t, df in raw.items()}

@@ -41,70 +41,98 @@ def test_closure_with_a_cycle(spark):
     assert {(r.cls, r.field) for r in inherited_fields(model().tables(spark)).collect()} >= {("Garden", "label"), ("Alias", "value"), ("Plant", "identifier")}
 
 
-SCHEMA = """\
-- Plant ex:1:
-  - a: ex:Plant
-  - dct:identifier:
-    - id: "1"
-  - ex:alias*:
-    - alias: "x"   # many
-  - ex:garden?:
-    - garden: Garden
-  - ex:both+:
-    - u: [Garden, Third]
-  - ex:nested:
+FLEET = """\
+# ports, and the vessels that call there
+- Vessel sh:imo9300001:
+  - a: [sh:Vessel, sh:Asset]
+  - sh:imo:
+    - imo: "9300001"
+  - sh:callsign?:
+    - sign: 'D5XY2'   # as broadcast
+  - sh:homePort:
+    - port: Port
+  - sh:visited*:
+    - stop: [Port, Berth]
+  - sh:engine?:
     - []:
-      - ex:deep:
-        - deep: 5
-  - ex:few{0,2}: "z"
-
-- Garden ex:2:
-  - a: ex:Garden
-  - ex:city:
-    - city: "Lyon"
-- Third <http://x/3>:
-  - a: [ex:A, ex:B]
-- Lost ex:9:
-  - a: ex:Lost
+      - sh:kilowatts+:
+        - power: 1200
+- Port sh:NLRTM:
+  - a: sh:Port
+  - sh:portName{1,3}: "Rotterdam"
+
+- Berth <http://ships.example/berth/7>:
+  - sh:depth{0,1}:
+    - depth: 14
+- Beacon sh:b1:
+  - a: sh:Light
 """
 
 
-@pytest.mark.parametrize("text", [SCHEMA, SCHEMA.replace("\n", "\r\n"), SCHEMA.replace("  ", "\t")])
-def test_schema(text):
-    subjects = Sc.parse_schema(text)
-    assert [s.name for s in subjects] == ["Plant", "Garden", "Third", "Lost"]
-    p = {x.curie: x for x in subjects[0].predicates}
-    assert p["dct:identifier"].cardinality == "" and p["ex:alias"].multi and p["ex:garden"].optional and not p["ex:garden"].multi
-    assert p["ex:both"].objects[0].subjects == ["Garden", "Third"] and p["ex:few"].multi and p["ex:few"].optional
-    assert p["ex:nested"].objects[0].inline.predicates[0].curie == "ex:deep"
-    assert subjects[2].types == ["ex:A", "ex:B"] and subjects[2].example == "<http://x/3>"
-    nodes, lost = Sc.walk(subjects, ["Plant"])
-    assert [n.subject.name for n in nodes][:3] == ["Plant", "Garden", "Third"] and lost == ["Lost"]
-    assert nodes[2].multi_path and not nodes[1].multi_path and nodes[1].path == "Plant/ex:garden/Garden"
+@pytest.mark.parametrize("change", [("", ""), ("\n", "\r\n"), ("  ", "\t")])
+def test_schema(change):
+    subjects = Sc.parse_schema(FLEET.replace(*change) if change[0] else FLEET)
+    vessel, port, berth, beacon = subjects
+    assert (vessel.name, vessel.example, vessel.types) == ("Vessel", "sh:imo9300001", ["sh:Vessel", "sh:Asset"])
+    assert (berth.example, berth.types, beacon.predicates) == ("<http://ships.example/berth/7>", [], [])
+    kinds = {p.curie: (p.multi, p.optional) for s in (vessel, port, berth) for p in s.predicates}
+    assert kinds == {"sh:imo": (False, False), "sh:callsign": (False, True), "sh:homePort": (False, False), "sh:visited": (True, True), "sh:engine": (False, True), "sh:portName": (True, False), "sh:depth": (False, True)}
+    by = {p.curie: p.objects[0] for p in vessel.predicates}
+    assert (by["sh:callsign"].example, by["sh:homePort"].subjects, by["sh:visited"].subjects) == ("D5XY2", ["Port"], ["Port", "Berth"])
+    assert [(p.curie, p.cardinality) for p in by["sh:engine"].inline.predicates] == [("sh:kilowatts", "+")]
+    nodes, unreached = Sc.walk(subjects, ["Vessel"])
+    assert [(n.path, n.multi_path) for n in nodes] == [("Vessel", False), ("Vessel/sh:homePort/Port", False), ("Vessel/sh:visited/Berth", True), ("Vessel/sh:engine/[]", False)]
+    assert unreached == ["Beacon"]
+
+
+def test_a_subject_that_is_missing_is_an_example():
+    (only,) = Sc.parse_schema("- Crate sh:c1:\n  - sh:inside?:\n    - cargo: Grain\n")
+    assert (only.predicates[0].objects[0].subjects, only.predicates[0].objects[0].example) == ([], "Grain")
 
 
 def test_endpoint_and_prefixes():
-    assert Sc.parse_endpoint("endpoint:\n  - https://ep/sparql\n  - graph:\n    - http://g1\n") == ("https://ep/sparql", ["http://g1"])
-    assert Sc.parse_prefixes("ex: <http://ex.org/>\n") == {"ex": "http://ex.org/"}
-    assert Sc.expand("ex:S", {"ex": "http://ex.org/"}) == "http://ex.org/S" and Sc.expand("<http://a>", {}) == "http://a"
+    assert Sc.parse_endpoint("endpoint: https://ships.example/q") == ("https://ships.example/q", [])
+    assert Sc.parse_endpoint("endpoint:\n  - https://ships.example/q\n  - graph:\n    - http://ships.example/2024\n    - http://ships.example/2025\n")[1] == ["http://ships.example/2024", "http://ships.example/2025"]
+    known = Sc.parse_prefixes("sh: <http://ships.example/>\nun: http://un.example/locode/\n")
+    assert Sc.expand("un:NLRTM", known) == "http://un.example/locode/NLRTM" and Sc.expand("<urn:x>", known) == "urn:x" and Sc.expand("no:1", known) == "no:1"
+
+
+PLANTS = """\
+- Garden ex:jardin:
+  - ex:city:
+    - city: "Lyon"
+- Plant ex:rosa:
+  - a: ex:Plant
+  - ex:motto: "sub rosa"
+  - ex:nick: "queen"
+  - dct:identifier:
+    - id: "P-17"
+  - ex:alias*:
+    - alias: "dog rose"
+  - ex:garden?:
+    - garden: Garden
+  - ex:spans{1,2}: 3
+- Weed ex:couch:
+  - a: ex:Weed
+"""
 
 
 def resolved(roles=None, **rules):
     rules.setdefault("predicates", []).insert(0, R.PredicateRule("ex:alias", "Alias.value", "Named"))
     r = R.Resolver(model(), R.Rules(prefixes={"dct": "http://purl.org/dc/terms/"}, **rules), "src", {"ex": "http://ex.org/"})
-    return r.build(Sc.parse_schema(SCHEMA), ["Plant"], roles)
+    return r.build(Sc.parse_schema(PLANTS), ["Plant"], roles)
 
 
 def test_mapping():
     rows, nodes = resolved(constants=[("Garden.city", "Lyon")])
     by = {(r.subject, r.column): r for r in rows}
-    assert nodes[0].im_class == "Plant" and nodes[1].im_class == "Garden" and nodes[2].im_class == ""
+    assert nodes[0].im_class == "Plant" and nodes[1].im_class == "Garden" and len(nodes) == 2
     key = by["Plant", "id"]
     assert (key.im_class, key.im_field, key.status, key.required, key.table) == ("Plant", "identifier", "sure", "yes", "main")
     alias = by["Plant", "alias"]
     assert (alias.im_class, alias.im_field, alias.via, alias.table) == ("Alias", "value", "Plant.aliases", "alias")
     assert by["Plant", "garden"].status == "link" and by["Garden", "city"].basis == "name"
-    assert by["Lost", ""].note == "unreachable"
+    assert by["Weed", ""].note == "unreachable"
     assert R.tables_of(rows) == ["main", "alias"]
     assert [s.name for s in R.specs_of(rows, "alias")] == ["Plant.identifier", "Alias.value", "Garden.city"]
     skipped, _ = resolved({"Garden": "skip"})
@@ -112,25 +140,63 @@ def test_mapping():
 
 
 def test_collisions_get_their_own_table():
-    rows, _ = resolved(predicates=[R.PredicateRule("ex:city", "Garden.label"), R.PredicateRule("ex:few", "Plant.label"), R.PredicateRule("ex:deep", "Plant.label")])
+    rows, _ = resolved(predicates=[R.PredicateRule("ex:city", "Garden.label"), R.PredicateRule("ex:motto", "Plant.label"), R.PredicateRule("ex:nick", "Plant.label")])
     tables = [r.table for r in rows if (r.im_class, r.im_field) == ("Plant", "label")]
     assert len(tables) == len(set(tables)) == 2
     assert R.unique_variables(["x", "y", "x", "x"]) == ["x", "y", "x2", "x3"]
 
 
-def test_scopes():
-    rows = [{"im_class": "Organism", "im_field": "taxonId", "kind": "const", "value": "9606"}, {"im_class": "Gene", "im_field": "id", "kind": "iri", "required": ""}]
-    assert G.taxon_scope(rows, ["9606"], ["9606"]) == (rows, "default")
-    assert G.taxon_scope(rows, ["10090"], ["9606"]) == (None, "skipped")
-    assert G.taxon_scope(rows, ["9606", "10090"], ["9606"])[1] == "removed"
-    scoped, _ = G.gene_scope(rows, "Gene", "id", ["a", "b"])
-    assert scoped[1]["required"] == "yes" and scoped[1]["value"] == "a b" and rows[1]["required"] == ""
-    assert G.gene_scope(rows, "Gene", "nope", ["a"]) == (None, "skipped")
+def rows_of(*rows):
+    names = ("im_class", "im_field", "kind", "value", "required", "transform")
+    return [dict(zip(names, r, strict=True)) for r in rows]
+
+
+TAXON = ("Organism", "taxonId")
+
+
+@pytest.mark.parametrize(
+    "row,taxa,want",
+    [
+        ((*TAXON, "literal", '"9606"', "yes", ""), ["10090"], '"10090"'),
+        ((*TAXON, "literal", '"9606"', "yes", ""), ["9606", "10090"], '"9606" "10090"'),
+        ((*TAXON, "iri", "up:9606", "yes", ""), ["4", "5"], "up:4 up:5"),
+        ((*TAXON, "literal", "", "yes", ""), ["4"], "taxid:4"),
+        ((*TAXON, "literal", '"9606"', "", ""), ["4"], None),
+    ],
+)
+def test_taxon_scope(row, taxa, want):
+    rows = rows_of(row)
+    scoped, done = G.taxon_scope(rows, taxa, ["9606"])
+    if row[3] == '"9606"' and want:
+        want = " ".join(f"taxid:{t}" for t in taxa)  # literals have no prefix of their own, the taxon's is preferred
+    assert (scoped[0]["value"], done) == ((want, "restricted") if want else (row[3], "absent")) and rows == rows_of(row)
+
+
+def test_scopes_beside_constants():
+    const, queried = (*TAXON, "const", "9606", "", ""), (*TAXON, "iri", "taxid:9606", "yes", "")
+    assert G.taxon_scope(rows_of(const), ["9606"], ["9606"])[1] == "default"
+    for taxa in (["10090"], ["9606", "10090"]):
+        assert G.taxon_scope(rows_of(const), taxa, ["9606"]) == (None, "skipped")
+    one, _ = G.taxon_scope(rows_of(const, queried), ["7227"], ["9606"])
+    assert [r["value"] for r in one] == ["7227", "taxid:7227"]
+    two, _ = G.taxon_scope(rows_of(const, queried), ["7227", "6239"], ["9606"])
+    assert [r["value"] for r in two] == ["taxid:7227 taxid:6239"]
+
+
+def test_gene_scope():
+    rows = rows_of(("Gene", "primaryIdentifier", "iri", "", "", "iri_localname"), ("Gene", "symbol", "literal", "", "", ""))
+    scoped, done = G.gene_scope(rows, "Gene", "primaryIdentifier", ["a", "b"])
+    assert (scoped[0]["value"], scoped[0]["required"], done) == ('~"a" ~"b"', "yes", "restricted") and scoped[1] == rows[1] and rows[0]["required"] == ""
+    assert G.gene_scope(rows, "Gene", "symbol", ["BRCA2"])[0][1]["value"] == '"BRCA2"'
+    assert G.gene_scope(rows, "Gene", "nope", ["a"]) == (None, "skipped") and G.gene_scope(rows, "Gene", "symbol", []) == (rows, "default")
+    assert G.gene_scope(rows_of(("Gene", "symbol", "const", "x", "", "")), "Gene", "symbol", ["a"]) == (None, "skipped")
 
 
 def test_priorities():
-    got = G.merge_priorities({"Gene.name": ["old", "b", "*"]}, {"Gene.name": ["new", "extra"], "Gene.x": ["new"], "Gene.y": ["sup"], "Gene.z": ["p", "q"]}, {"new": "old"}, {"sup": "stock"})
-    assert got == {"Gene.name": ["new", "b", "extra", "*"], "Gene.y": ["stock", "sup", "*"], "Gene.z": ["p", "q", "*"]}
+    existing = {"Tree.height": ["survey", "atlas", "*"], "Tree.age": ["atlas"], "Tree.rank": ["*"]}
+    writers = {"Tree.height": ["drone", "lidar", "notes"], "Tree.rank": ["extra1", "extra2"], "Tree.crown": ["drone", "notes"], "Tree.bark": ["extra1"], "Tree.root": ["drone"]}
+    got = G.merge_priorities(existing, writers, {"drone": "survey", "lidar": "survey"}, {"extra1": "atlas", "extra2": "atlas"})
+    assert got == {"Tree.height": ["drone", "lidar", "atlas", "notes", "*"], "Tree.age": ["atlas"], "Tree.rank": ["atlas", "extra1", "extra2", "*"], "Tree.crown": ["drone", "notes"], "Tree.bark": ["atlas", "extra1", "*"]}
     assert G.arranged(["a", "b", "c"], {"r": ["b", "c"]}, {"s": "a"}) == ["a", "s", "r"]
 
 
@@ -142,10 +208,37 @@ def test_conflicts(spark):
 
 def test_merge_without_base(spark):
     make = lambda *r: spark.createDataFrame(r, "k int, f string, status string, note string")
-    got = {r.k: (r.f, r.status, r.origin) for r in G.three_way_merge(make((1, "a", "sure", ""), (2, "b", "guess", "")), make((1, "EDIT", "sure", ""), (2, "b", "drop", ""), (3, "z", "sure", "STALE x")), None, ["k"], ["f", "status", "note"]).collect()}
+    cells = ["f", "status", "note"]
+    got = {r.k: (r.f, r.status, r.origin) for r in G.three_way_merge(make((1, "a", "sure", ""), (2, "b", "guess", "")), make((1, "EDIT", "sure", ""), (2, "b", "drop", ""), (3, "z", "sure", "STALE x")), None, ["k"], cells).collect()}
     assert got == {1: ("EDIT", "human", "edited"), 2: ("b", "drop", "edited"), 3: ("z", "drop", "stale")}
 
 
+def test_rows_that_only_the_disk_has(spark):
+    make = lambda *r: spark.createDataFrame(r, "k string, f string, status string, note string")
+    fresh, cells = make(("new", "n", "sure", "")), ["f", "status", "note"]
+    base = make(("auto", "a", "sure", ""), ("edited", "b", "sure", ""))
+    disk = make(("auto", "a", "sure", ""), ("edited", "B", "sure", "mine"), ("hand", "h", "human", ""))
+    once = G.three_way_merge(fresh, disk, base, ["k"], cells)
+    got = {r.k: (r.f, r.status, r.note, r.origin) for r in once.collect()}
+    assert got == {"new": ("n", "sure", "", "fresh"), "edited": ("B", "drop", G.STALE + "; mine", "stale"), "hand": ("h", "drop", G.STALE, "stale")}
+    again = G.three_way_merge(fresh, once.drop("origin"), fresh, ["k"], cells)  # the next base has neither
+    assert {r.k: (r.f, r.status, r.note) for r in again.collect()} == {k: x[:3] for k, x in got.items()}
+
+
+def test_closures_without_a_bound(spark):
+    pairs = lambda edges: {(r.child, r.ancestor): r.depth for r in closure(spark.createDataFrame(edges, "c string, p string"), "c", "p").collect()}
+    chain = pairs([(f"n{i}", f"n{i + 1}") for i in range(60)])
+    assert chain["n0", "n60"] == 60 and len(chain) == 61 * 62 // 2
+    diamonds = pairs([e for i in range(12) for e in ((f"t{i}", f"l{i}"), (f"t{i}", f"r{i}"), (f"l{i}", f"t{i + 1}"), (f"r{i}", f"t{i + 1}"))])
+    assert diamonds["t0", "t12"] == 24  # by 4,096 paths
+    assert pairs([("a", "b"), ("b", "c"), ("c", "a")])["a", "c"] == 2
+
+
+def test_columns_told_apart_are_no_cross_product(spark):
+    rows = spark.createDataFrame([("t", "s", "p", "", None), ("t", "s", "p", None, "x"), ("t", "s", "q", "", ""), ("t", "s", "q", "", ""), ("t", "s", "r", "equals:a", ""), ("t", "s", "r", "", "")], "table string, subject string, predicate string, filter string, value string")
+    assert [(r.predicate, r.n) for r in G.cross_products(rows).collect()] == [("q", 2)]
+
+
 def test_patterns(spark):
     t = spark.createDataFrame([("a", "rdf:type", "T"), ("a", "name", "A"), ("a", "tag", "x"), ("a", "tag", "y"), ("b", "rdf:type", "T"), ("b", "name", "B"), ("c", "name", "C"), ("a", "to", "n1"), ("n1", "label", "N")], "s string, p string, o string")
     node = P.Node("s", (P.Leaf("name", "name"), P.Leaf("tag", "tag", True)), (P.Branch("to", P.Node("n", (P.Leaf("label", "label"),)), True),), ("T",))
