@@ -32,7 +32,7 @@ from .common import BROADCAST_ROWS, Scratch, ascii_lower, join_unique, lean, tex
 from .components import connected_components
 
 #: Members up to which all pairs of a key are looked at; the members of larger keys are paired by their rarest items.
-HOT_MEMBERS = 2_000
+HOT_MEMBERS = 500
 #: Counters of items, by hash, that say which items are rare (8 bytes each).
 COUNTERS = 1 << 20
 #: Words of 64 bits of a set's parity map. It rules out pairs of sets up to about 2,000 items.
