@@ -375,7 +375,10 @@ def jaccard_components(df: DataFrame, words: int = 5, percent: int = 80, id_col:
 
 
 def _rarest(percent: int, holders: np.ndarray):
-    """mapInArrow body: (node, items) -> node, item: the first items of a set in the order of ``holders``, then of the hashes."""
+    """mapInArrow body: (node, items) -> node, item, after: the first items of a set in the order of ``holders``, then of the hashes.
+
+    ``after`` is the number of the set's items from this one on.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -385,7 +388,7 @@ def _rarest(percent: int, holders: np.ndarray):
                 order = np.lexsort((items, holders[(items % np.uint64(len(holders))).astype(np.int64)], row))
                 place = np.arange(len(items)) - np.repeat(at[:-1], n)
                 take = place <= (n - (n * percent + 99) // 100)[row]
-                yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(row[take])), pa.array(items[order][take].view(np.int64))], names=["node", "item"])
+                yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(row[take])), pa.array(items[order][take].view(np.int64)), pa.array((n[row] - place)[take])], names=["node", "item", "after"])
 
     return run
 
@@ -396,20 +399,26 @@ def by_rarest(members: DataFrame, items: DataFrame, percent: int, scratch: Scrat
     ``items``: (node, items). Two sets that link miss at most n - ceil(n * percent / 100) of the n items of either. So of each,
     in one order of all items, the first that many and one more hold a common item, whatever the order. It goes by how many
     members have an item, counted in COUNTERS hashed counters: what all share comes last, and what few share forms few pairs.
+    Of the first item that two linking sets have in common, all others come after it in both, and they have
+    percent / (100 + percent) of the two sizes together, so ``after`` is no less in either. For the smaller set alone that is twice this share
+    of its own size: only items with as much after them lead, and sets that share less than a link needs don't meet in what they share.
     """
     counter = F.col("item").bitwiseAND(F.lit(COUNTERS - 1)).cast("int")  # COUNTERS is a power of two
     counts = items.select(F.explode("items").alias("item")).groupBy(counter.alias("counter")).agg(F.count("*").alias("n")).toArrow()
     holders = np.zeros(COUNTERS, np.int64)
     holders[counts["counter"].to_numpy()] = counts["n"].to_numpy()
-    rare = items.mapInArrow(lean(_rarest(percent, holders)), "node long, item long").distinct()
-    rare = scratch.save(rare.join(members, "node"), "rare")
-    split = rare.groupBy("item").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo < hi").select("item")
+    rare = items.mapInArrow(lean(_rarest(percent, holders)), "node long, item long, after long").distinct()
+    leads = F.col("after") * (100 + percent) >= F.col("n") * (2 * percent)
+    rare = scratch.save(rare.join(members, "node").withColumn("leads", leads), "rare")
+    split = rare.groupBy("item").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.max("leads").alias("led")).filter("lo < hi AND led").select("item")
     rare = rare.join(split, "item")
-    a = rare.select("item", *(F.col(c).alias(f"{c}_a") for c in ("node", "comp", "n")))
-    b = rare.select("item", *(F.col(c).alias(f"{c}_b") for c in ("node", "comp", "n")))
-    near = F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * percent
-    met = a.join(b, "item").filter((F.col("node_a") < F.col("node_b")) & (F.col("comp_a") != F.col("comp_b")) & near)
-    return scratch.save(met.select(F.col("node_a").alias("a"), F.col("node_b").alias("b")).distinct(), "by_rarest")
+    a = rare.filter("leads").select("item", *(F.col(c).alias(f"{c}_a") for c in ("node", "comp", "n", "after")))
+    b = rare.select("item", *(F.col(c).alias(f"{c}_b") for c in ("node", "comp", "n", "after")))
+    ordered = (F.col("n_a") < F.col("n_b")) | ((F.col("n_a") == F.col("n_b")) & (F.col("node_a") < F.col("node_b")))
+    near = F.col("n_a") * 100 >= F.col("n_b") * percent
+    enough = F.least("after_a", "after_b") * (100 + percent) >= (F.col("n_a") + F.col("n_b")) * percent
+    met = a.join(b, "item").filter(ordered & (F.col("comp_a") != F.col("comp_b")) & near & enough)
+    return scratch.save(met.select(F.least("node_a", "node_b").alias("a"), F.greatest("node_a", "node_b").alias("b")).distinct(), "by_rarest")
 
 
 def with_meta(pairs: DataFrame, meta: DataFrame) -> DataFrame:
