@@ -354,7 +354,7 @@ def jaccard_components(df: DataFrame, words: int = 5, percent: int = 80, id_col:
     b = few.select("key", *(F.col(c).alias(f"{c}_b") for c in ("node", "whole", "comp", "n", *MAP)))
     rest = plausible(a.join(b, "key").filter(f"node_a < node_b AND comp_a <> comp_b AND (whole_a OR whole_b) AND NOT (n_a > {LARGE} AND n_b > {LARGE})"), percent)
     rest = rest.select(F.col("node_a").alias("a"), F.col("node_b").alias("b"))
-    members = left.join(hot_keys, "key", "left_semi").union(left.filter(F.col("n") > LARGE)).select("node", "comp", "n").distinct()
+    members = left.join(hot_keys, "key", "left_semi").union(left.filter(F.col("n") > LARGE)).select("node", "comp", "n", *MAP).distinct()
     members = scratch.save(members, "members")
     if not members.isEmpty():
         rest = rest.union(by_rarest(members, items_of(members.select("node"), "hot"), percent, scratch))
@@ -394,13 +394,13 @@ def _rarest(percent: int, holders: np.ndarray):
 
 
 def by_rarest(members: DataFrame, items: DataFrame, percent: int, scratch: Scratch) -> DataFrame:
-    """Pairs (a, b) of ``members`` (node, comp, n) of different components that share one of their rarest items.
+    """Pairs (a, b) of ``members`` (node, comp, n, parity map) of different components that share one of their rarest items.
 
     ``items``: (node, items). Two sets that link miss at most n - ceil(n * percent / 100) of the n items of either. So of each,
     in one order of all items, the first that many and one more hold a common item, whatever the order. It goes by how many
     members have an item, counted in COUNTERS hashed counters: what all share comes last, and what few share forms few pairs.
     Of the first item that two linking sets have in common, all others come after it in both, and they have
-    percent / (100 + percent) of the two sizes together, so ``after`` is no less in either. For the smaller set alone that is twice this share
+    percent / (100 + percent) of the two sizes together, so ``after`` is no less in either. The join compares parity maps as well: a pair that they rule out is never a row. For the smaller set alone that is twice this share
     of its own size: only items with as much after them lead, and sets that share less than a link needs don't meet in what they share.
     """
     counter = F.col("item").bitwiseAND(F.lit(COUNTERS - 1)).cast("int")  # COUNTERS is a power of two
@@ -412,12 +412,11 @@ def by_rarest(members: DataFrame, items: DataFrame, percent: int, scratch: Scrat
     rare = scratch.save(rare.join(members, "node").withColumn("leads", leads), "rare")
     split = rare.groupBy("item").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.max("leads").alias("led")).filter("lo < hi AND led").select("item")
     rare = rare.join(split, "item")
-    a = rare.filter("leads").select("item", *(F.col(c).alias(f"{c}_a") for c in ("node", "comp", "n", "after")))
-    b = rare.select("item", *(F.col(c).alias(f"{c}_b") for c in ("node", "comp", "n", "after")))
+    a = rare.filter("leads").select("item", *(F.col(c).alias(f"{c}_a") for c in ("node", "comp", "n", "after", *MAP)))
+    b = rare.select("item", *(F.col(c).alias(f"{c}_b") for c in ("node", "comp", "n", "after", *MAP)))
     ordered = (F.col("n_a") < F.col("n_b")) | ((F.col("n_a") == F.col("n_b")) & (F.col("node_a") < F.col("node_b")))
-    near = F.col("n_a") * 100 >= F.col("n_b") * percent
     enough = F.least("after_a", "after_b") * (100 + percent) >= (F.col("n_a") + F.col("n_b")) * percent
-    met = a.join(b, "item").filter(ordered & (F.col("comp_a") != F.col("comp_b")) & near & enough)
+    met = plausible(a.join(b, "item").filter(ordered & (F.col("comp_a") != F.col("comp_b")) & enough), percent)
     return scratch.save(met.select(F.least("node_a", "node_b").alias("a"), F.greatest("node_a", "node_b").alias("b")).distinct(), "by_rarest")
 
 
