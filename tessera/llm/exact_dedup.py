@@ -27,6 +27,8 @@ from .common import BLANK, Scratch, join_unique, lean, shuffle_partitions, text_
 
 #: Rows a sender gathers before it sends a set of blocks.
 SENDER_ROWS = 200_000
+#: A row's number is its sender's with so many bits more: a sender has SENDER_ROWS and one batch at most.
+ROW_BITS = 20
 #: A filter list up to this many hashes (8 bytes each) is broadcast; above it the join shuffles.
 BROADCAST_HASHES = 1_000_000
 
@@ -79,7 +81,7 @@ def _owner_of(hashes: np.ndarray, owners: int) -> np.ndarray:
 
 def _sender(owners: int):
     """mapInArrow body: rows with their place in what was sent (kind 0) and the blocks sent (kind 1)."""
-    schema = pa.schema([("kind", pa.int32()), ("doc_id", pa.int64()), ("sha", pa.string()), ("h", pa.int64()), ("sender", pa.int64()), ("owner", pa.int32()), ("slot", pa.int32()), ("twice", pa.bool_()), ("payload", pa.binary())])
+    schema = pa.schema([("kind", pa.int32()), ("row_id", pa.int64()), ("doc_id", pa.int64()), ("sha", pa.string()), ("h", pa.int64()), ("sender", pa.int64()), ("owner", pa.int32()), ("slot", pa.int32()), ("twice", pa.bool_()), ("payload", pa.binary())])
 
     def emit(batches: list[pa.RecordBatch], sender: int) -> Iterator[pa.RecordBatch]:
         t = pa.Table.from_batches(batches).combine_chunks()
@@ -89,13 +91,13 @@ def _sender(owners: int):
         ids, starts = np.unique(owner, return_index=True)
         slot = np.arange(len(distinct)) - starts[np.searchsorted(ids, owner)]
         n = len(h)
-        yield pa.RecordBatch.from_arrays([pa.array(np.zeros(n, np.int32)), *(t[c].combine_chunks() if t[c].num_chunks != 1 else t[c].chunk(0) for c in ("doc_id", "sha", "h")), pa.array(np.full(n, sender)), pa.array(owner[back]), pa.array(slot[back].astype(np.int32)), pa.array(counts[back] > 1), pa.nulls(n, pa.binary())], schema=schema)
+        yield pa.RecordBatch.from_arrays([pa.array(np.zeros(n, np.int32)), pa.array((sender << ROW_BITS) + np.arange(n)), *(t[c].combine_chunks() if t[c].num_chunks != 1 else t[c].chunk(0) for c in ("doc_id", "sha", "h")), pa.array(np.full(n, sender)), pa.array(owner[back]), pa.array(slot[back].astype(np.int32)), pa.array(counts[back] > 1), pa.nulls(n, pa.binary())], schema=schema)
         blocks = [golomb_encode(x) for x in np.split(distinct, starts[1:])]
         m = len(blocks)
-        yield pa.RecordBatch.from_arrays([pa.array(np.ones(m, np.int32)), pa.nulls(m, pa.int64()), pa.nulls(m, pa.string()), pa.nulls(m, pa.int64()), pa.array(np.full(m, sender)), pa.array(ids.astype(np.int32)), pa.nulls(m, pa.int32()), pa.nulls(m, pa.bool_()), pa.array(blocks, pa.binary())], schema=schema)
+        yield pa.RecordBatch.from_arrays([pa.array(np.ones(m, np.int32)), pa.nulls(m, pa.int64()), pa.nulls(m, pa.int64()), pa.nulls(m, pa.string()), pa.nulls(m, pa.int64()), pa.array(np.full(m, sender)), pa.array(ids.astype(np.int32)), pa.nulls(m, pa.int32()), pa.nulls(m, pa.bool_()), pa.array(blocks, pa.binary())], schema=schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, rows, sender = [], 0, TaskContext.get().partitionId() << 24
+        held, rows, sender = [], 0, TaskContext.get().partitionId() << 20
         for b in batches:
             if b.num_rows:
                 held.append(b)
@@ -127,7 +129,8 @@ def exact_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
     Texts are equal when their normalised bytes are. Null text counts as empty, and all
     empty texts form a group. Of a group the smallest id stays; null ids come last. Of rows
-    that repeat both id and text exactly one is kept. ``owners``: ranges of the hash space;
+    that repeat both id and text exactly one is kept: rows are numbered as they are written, so every
+    reader sees the same numbers, however Spark divides the files. ``owners``: ranges of the hash space;
     by default four for each shuffle partition, so an owner's share shrinks as the cluster
     grows. Other columns are ignored. An empty table gives an empty result.
     """
@@ -136,8 +139,8 @@ def exact_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     owners = owners or max(16, 4 * shuffle_partitions(spark))
     texts = df.select(F.col(id_col).cast("long").alias("doc_id"), normalise(text_col).alias("norm"))
     hashed = texts.select("doc_id", F.sha2("norm", 256).alias("sha"), F.xxhash64("norm").alias("h"))
-    sent = scratch.save(hashed.mapInArrow(lean(_sender(owners)), "kind int, doc_id long, sha string, h long, sender long, owner int, slot int, twice boolean, payload binary"), "sent", "kind")
-    rows = sent.filter("kind = 0").drop("kind", "payload").withColumn("row_id", F.monotonically_increasing_id())
+    sent = scratch.save(hashed.mapInArrow(lean(_sender(owners)), "kind int, row_id long, doc_id long, sha string, h long, sender long, owner int, slot int, twice boolean, payload binary"), "sent", "kind")
+    rows = sent.filter("kind = 0").drop("kind", "payload")
     blocks = sent.filter("kind = 1").select("sender", "owner", "payload")
     answers = scratch.save(blocks.groupBy("owner").applyInPandas(_answer, "sender long, owner int, marks array<long>"), "answers")
     marked = rows.join(answers, ["sender", "owner"])

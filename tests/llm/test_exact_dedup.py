@@ -48,3 +48,19 @@ def test_empty(spark):
 
 def test_query(spark):
     assert_same(spark, op1_exact_dedup, OP1_SQL, "/root/testdata/sf0.001")
+
+
+def test_repeated_rows_under_other_file_layouts(spark):
+    """Rows that repeat id and text: one of each group is kept, whichever way the written tables are divided when read."""
+    rows = [(i // 4, f"text {i // 4}") for i in range(8_000)]
+    found = exact_duplicates(spark.createDataFrame(rows, "doc_id long, text string").repartition(9))
+    own = {k: spark.conf.get(k) for k in ("spark.sql.files.openCostInBytes", "spark.sql.files.maxPartitionBytes")}
+    try:
+        for cost, most in ((own["spark.sql.files.openCostInBytes"], own["spark.sql.files.maxPartitionBytes"]), ("64m", "128m"), ("1", "4k"), ("1", "1g")):
+            spark.conf.set("spark.sql.files.openCostInBytes", cost)
+            spark.conf.set("spark.sql.files.maxPartitionBytes", most)
+            kept = found.filter("kept").select("doc_id").collect()
+            assert sorted(r.doc_id for r in kept) == list(range(2_000))
+    finally:
+        for k, v in own.items():
+            spark.conf.set(k, v)
