@@ -115,17 +115,17 @@ BROADCAST_ROWS = 200_000
 HOT_SHARE = 1e-5
 
 
-def join_unique(left: DataFrame, right: DataFrame, key: str, scratch: Scratch | None = None) -> DataFrame:
+def join_unique(left: DataFrame, right: DataFrame, key: str, scratch: Scratch | None = None, most: int = BROADCAST_ROWS, share: float = HOT_SHARE) -> DataFrame:
     """Left join with ``right``, which has one row for each ``key``; no task gets all rows of a hot key.
 
-    A short ``right`` is broadcast. Of a long one the rows of hot keys are, at most 1 / HOT_SHARE; the rest meets by shuffle.
+    A ``right`` of up to ``most`` rows is broadcast. Of a longer one the rows of hot keys are, at most 1 / ``share``; the rest meets by shuffle.
     ``right`` is read more than once, so it has to be a written table. ``left`` is written where ``scratch`` is given.
     """
-    if right.count() <= BROADCAST_ROWS:
+    if right.count() <= most:
         return left.join(F.broadcast(right), key, "left")
     if scratch:
         left = scratch.save(left, f"left_{uuid.uuid4().hex}")
-    least = left.count() * HOT_SHARE
+    least = left.count() * share
     hot = F.broadcast(left.groupBy(key).count().filter(F.col("count") > least).select(key))
     warm = left.join(hot, key, "left_semi").join(F.broadcast(right.join(hot, key, "left_semi")), key, "left")
     return warm.unionByName(left.join(hot, key, "left_anti").join(right, key, "left"))

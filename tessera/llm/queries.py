@@ -7,16 +7,20 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .common import text_of, words_of
 from .exact_dedup import exact_duplicates
 from .fingerprints import fingerprints
 from .jaccard import jaccard_components
 from .mixing import mix, mix_sql, rule_topic
+from .neighbours import near_vectors
 from .packing import pack
 from .pii import KINDS, kind_count, personal_data, span_text
 from .quality import quality
 from .quotes import link_quotes
+from .runs import periodic_runs
 from .toxicity import toxicity
 from .urls import judge_urls
+from .whitening import whiten
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -91,6 +95,33 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *(kind_count("base", k).alias(f"n_{k}") for k in KINDS), F.sha2(span_text("base"), 256).alias("base_sha256"), span_text("spans").alias("spans"))
 
 
+def op11_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors(table(spark, sf_dir, "embeddings"))
+
+
+def planted(docs: DataFrame) -> DataFrame:
+    """(doc_id, text): every tenth document by the hash of its id repeats, from some word on, a stretch of its own words."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    docs = docs.select("doc_id", text_of("text").alias("text"), F.floor(h / 10).alias("g"), F.when(h % 10 == 0, words_of(text_of("text"))).alias("w"))
+    n = F.size("w").cast("long")
+    docs = docs.withColumn("a", F.when(n > 0, F.col("g") % n)).withColumn("p", 1 + F.floor((n - F.col("a")) / (3 + F.col("g") % 8)))
+    repeated = F.transform(F.sequence("a", n - 1), lambda i: F.get("w", (F.col("a") + (i - F.col("a")) % F.col("p")).cast("int")))
+    edited = F.array_join(F.concat(F.slice("w", F.lit(1), F.col("a").cast("int")), repeated), " ")
+    return docs.select("doc_id", F.when(F.col("a").isNotNull(), edited).otherwise(F.col("text")).alias("text"))
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic_runs(planted(table(spark, sf_dir, "documents")))
+    found = found.withColumn("best", F.array_min(F.transform("runs", lambda r: F.struct((-r["length"]).alias("less"), r["start"].alias("start"), r["period"].alias("period")))))
+    lines = F.array_join(F.transform("runs", lambda r: F.concat(r["start"].cast("string"), F.lit(","), r["length"].cast("string"), F.lit(","), r["period"].cast("string"), F.lit("\n"))), "")
+    length, period = -F.col("best.less"), F.col("best.period")
+    return found.select("doc_id", F.size("runs").cast("long").alias("n_runs"), F.col("best.start").alias("start"), length.alias("length"), period.alias("period"), F.floor(1000 * length / period).alias("exponent_milli"), F.sha2(lines, 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whiten(table(spark, sf_dir, "embeddings"))
+
+
 OP1_SQL = r"""
 WITH d AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS norm FROM documents),
 g AS (SELECT norm, min(doc_id) AS keep_id, count(*) AS group_size FROM d GROUP BY norm)
@@ -111,7 +142,17 @@ m AS (SELECT doc_id, min(other) AS least FROM r GROUP BY 1)
 SELECT s.doc_id, len(s.s)::BIGINT AS n_shingles, coalesce(least, s.doc_id) AS component_id FROM s LEFT JOIN m ON s.doc_id = m.doc_id
 """
 
-_QUERIES = [op1_exact_dedup, op2_fingerprints, op3_quality, op4_ngram_jaccard, op5_url_filter, op6_packing, op7_quote_linking, op8_toxicity, op9_mixing, op10_pii]
+OP11_SQL = """
+WITH RECURSIVE v AS (SELECT vec_id, label, embedding::DOUBLE[] AS e FROM embeddings WHERE label IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+l AS MATERIALIZED (SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.label = b.label AND len(a.e) = len(b.e) AND a.vec_id <> b.vec_id WHERE list_cosine_similarity(a.e, b.e) >= 0.93),
+r AS (SELECT DISTINCT a, a AS other FROM l UNION SELECT r.a, l.b FROM r JOIN l ON r.other = l.a),
+m AS (SELECT a, min(other) AS least FROM r GROUP BY 1),
+n AS (SELECT a, count(*) AS n FROM l GROUP BY 1)
+SELECT vec_id, coalesce(n, 0) AS n_links, coalesce(least, vec_id) AS component_id, coalesce(least, vec_id) = vec_id AS kept, 1.0::DOUBLE AS audit_recall
+FROM embeddings e LEFT JOIN m ON e.vec_id = m.a LEFT JOIN n ON e.vec_id = n.a
+"""
+
+_QUERIES = [op1_exact_dedup, op2_fingerprints, op3_quality, op4_ngram_jaccard, op5_url_filter, op6_packing, op7_quote_linking, op8_toxicity, op9_mixing, op10_pii, op11_embedding_near_dedup, op12_periodic_runs, op13_whitening]
 
 
 def queries() -> dict[str, Query]:
@@ -119,4 +160,4 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_exact_dedup": OP1_SQL, "op4_ngram_jaccard": OP4_SQL, "op9_mixing": mix_sql()}
+    return {"op1_exact_dedup": OP1_SQL, "op4_ngram_jaccard": OP4_SQL, "op9_mixing": mix_sql(), "op11_embedding_near_dedup": OP11_SQL}
