@@ -5,12 +5,16 @@ from __future__ import annotations
 import argparse
 import json
 import sys
+from dataclasses import replace
 from pathlib import Path
 
 from pyspark.sql import SparkSession
 
+from .operators import objects
+from .operators.tables import RunStatistics, clean_table
+from .plans import resolve, translate
 from .plans.catalog import Catalog
-from .sources import cache, endpoint, exports
+from .sources import cache, endpoint, exports, readers, writers
 
 
 def parser() -> argparse.ArgumentParser:
@@ -30,6 +34,12 @@ def parser() -> argparse.ArgumentParser:
     f.add_argument("--limit", type=int)
     f.add_argument("--force", action="store_true")
     f.add_argument("--dry-run", action="store_true")
+    for name, text in (("translate", "resolve a source's schema to the model and merge the edits of its mapping"), ("tsv", "clean a source's raw tables"), ("items", "make items documents of a source's cleaned tables"), ("all", "translate, tsv and items")):
+        t = sub.add_parser(name, help=text)
+        t.add_argument("folder", help="the source's folder: model.yaml, prefix.yaml, raw/TABLE.tsv; results go below it")
+        t.add_argument("model", help="the object model, with its keys in the file of the same name ending in .properties")
+        t.add_argument("--rules", help="a rule file")
+        t.add_argument("--root", help="the root subject, by default the first")
     c = sub.add_parser("cache", help="save, verify, restore or list raw files")
     c.add_argument("action", choices=("save", "verify", "restore", "list"))
     c.add_argument("root")
@@ -67,8 +77,47 @@ def fetch(args: argparse.Namespace, send: endpoint.Send | None = None) -> str:
     return done.status
 
 
+def source(args: argparse.Namespace, spark: SparkSession) -> int:
+    """The commands over a source's folder; 1 where the mapping has nothing to load or a table's raw file is missing.
+
+    Cleaned tables go to tsv/TABLE, with positional column names, as tables of the mapping may name a field twice; items documents to
+    items. Runs print what they counted.
+    """
+    folder = Path(args.folder)
+    text, keys = Path(args.model).read_text(), Path(args.model).with_suffix(".properties")
+    catalog = Catalog().load_xml(text).load_keys(keys.read_text() if keys.exists() else "")
+    rules = resolve.Rules.load(Path(args.rules).read_text()) if args.rules else resolve.Rules()
+    if args.command in ("translate", "all"):
+        _, counts = translate.translate(spark, folder, catalog, rules, [args.root] if args.root else None)
+        print("translate:", ", ".join(f"{n} {k}" for k, n in counts.items()))
+    rows = translate.mapping_rows(translate.read_rows(folder / "mapping.tsv"))
+    tables = resolve.tables_of(rows)
+    failed = not tables
+    if args.command in ("tsv", "all"):
+        for t in tables:
+            specs = [replace(s, name=f"c{i}") for i, s in enumerate(resolve.specs_of(rows, t))]
+            raw = folder / "raw" / f"{t}.tsv"
+            if not specs or not raw.exists():
+                failed |= bool(specs)
+                continue
+            seen = RunStatistics()
+            clean_table(readers.read_wire_tsv(spark, str(raw), clean=False), specs, statistics=seen).write.mode("overwrite").parquet(str(folder / "tsv" / t))
+            print(f"tsv {t}:", ", ".join(f"{n} {k}" for k, n in seen.counts.items()))
+    if args.command in ("items", "all"):
+        clean = {t: spark.read.parquet(str(folder / "tsv" / t)) for t in tables if (folder / "tsv" / t).exists()}
+        root = next((r.im_class for r in rows if r.required == "yes" and r.loadable), "")
+        if not clean or not root:
+            return 1
+        items, links = objects.number_graph(*objects.object_graph(clean, rows, root, catalog))
+        writers.write_items(items, links, str(folder / "items"))
+        print(f"items: {readers.read_items_xml(spark, str(folder / 'items')).count()}")
+    return int(failed)
+
+
 def main(argv: list[str] | None = None) -> int:
     args = parser().parse_args(argv)
+    if args.command in ("translate", "tsv", "items", "all"):
+        return source(args, SparkSession.builder.getOrCreate())
     if args.command == "query":
         from .queries import QUERIES
 

@@ -223,15 +223,3 @@ def violations(**checks: tuple[str, DataFrame]) -> DataFrame:
 def status_counts(rows: DataFrame, by: str, status: str, known: list[str]) -> DataFrame:
     """Rows by status, a column for each known status."""
     return rows.groupBy(by).agg(*(F.count(F.when(F.col(status) == s, 1)).alias(s) for s in known))
-
-
-def enrichment(members: DataFrame, links: DataFrame, listed: DataFrame) -> DataFrame:
-    """(target, overlap, expected): how many listed objects link to each target, and how many would by chance.
-
-    ``links``: (src, dst), ``members``: (id) all objects, ``listed``: (id) the list.
-    """
-    n, k = members.count(), listed.count()
-    pairs = links.select("src", "dst").distinct()
-    total = pairs.groupBy("dst").agg(F.count("*").alias("total"))
-    own = pairs.join(listed.select(F.col("id").alias("src")).distinct(), "src", "left_semi").groupBy("dst").agg(F.count("*").alias("overlap"))
-    return own.join(total, "dst").select(F.col("dst").alias("target"), "overlap", (F.col("total") * F.lit(float(k)) / F.lit(float(max(n, 1)))).alias("expected"))

@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..plans.written import Pointer
+
 SHORTEST, LONGEST = 3, 10
 
 
@@ -58,3 +60,101 @@ def summary(df: DataFrame, kind: str, field: str, most: int = 200) -> DataFrame:
 def out_of_sync(index: DataFrame, live: DataFrame) -> DataFrame:
     """(kind, id) that the index has and the objects don't."""
     return index.select("kind", "id").distinct().join(live.select("kind", "id").distinct(), ["kind", "id"], "left_anti")
+
+
+def index_rows(docs: DataFrame) -> DataFrame:
+    """(gram, rest, size, kind, id): grams as ``edge_index`` has them, the token's length, and beside its longest gram the rest of the token.
+
+    So words longer than a gram find their tokens too, by their first LONGEST characters and then by the rest.
+    """
+    words = docs.select("kind", "id", F.explode(tokens(F.col("text"))).alias("t")).filter(F.length("t") >= SHORTEST)
+    lengths = F.sequence(F.lit(SHORTEST), F.least(F.lit(LONGEST), F.length("t")))
+    grams = words.select("kind", "id", "t", F.explode(lengths).alias("n"))
+    rest = F.when(F.col("n") == LONGEST, F.substr("t", F.lit(LONGEST + 1))).otherwise("")
+    return grams.select(F.substr("t", F.lit(1), F.col("n")).alias("gram"), rest.alias("rest"), F.length("t").alias("size"), "kind", "id")
+
+
+class StoredIndex:
+    """An inverted index as tables below ``path``, bucketed by gram, with generations of additions and deletions.
+
+    A search reads the buckets of its words' grams only. ``change`` adds a generation: documents deleted in it are hidden in those
+    before, documents added in it are seen (an update is both). A pointer file names the generations that count, so a
+    search sees a change whole or not at all; ``compact`` writes what is seen as one generation.
+    """
+
+    ROWS = "gram string, rest string, size int, kind string, id string, generation int, bucket int"
+    GONE = "kind string, id string, generation int"
+
+    def __init__(self, spark: SparkSession, path: str, buckets: int = 256):
+        self.spark, self.path = spark, path.rstrip("/")
+        self._file = Pointer(spark, f"{self.path}/current.json")
+        self.state = self._file.read() or {"first": 0, "next": 0, "buckets": buckets}
+
+    def _bucket(self, gram: Column) -> Column:
+        return F.pmod(F.xxhash64(gram), F.lit(self.state["buckets"])).cast("int")
+
+    def _seen(self, df: DataFrame) -> DataFrame:
+        return df.filter(F.col("generation").between(self.state["first"], self.state["next"] - 1))
+
+    def _write(self, rows: DataFrame, generation: int) -> None:
+        rows = rows.withColumn("bucket", self._bucket(F.col("gram")))
+        # A gram that very many documents share would be one task: buckets are dealt out over four by document.
+        rows = rows.repartition(F.col("bucket"), F.pmod(F.xxhash64("id"), F.lit(4)))
+        rows.write.mode("overwrite").partitionBy("bucket").parquet(f"{self.path}/rows/generation={generation}")
+
+    def change(self, added: DataFrame | None = None, deleted: DataFrame | None = None) -> None:
+        """Add documents (kind, id, text) and delete (kind, id), as one change."""
+        at = self.state["next"]
+        empty = self.spark.createDataFrame([], "kind string, id string, text string")
+        self._write(index_rows(added if added is not None else empty), at)
+        gone = (deleted if deleted is not None else empty).select(F.col("kind").cast("string").alias("kind"), F.col("id").cast("string").alias("id")).distinct()
+        gone.write.mode("overwrite").parquet(f"{self.path}/gone/generation={at}")
+        self._point({**self.state, "next": at + 1})
+
+    def _point(self, state: dict) -> None:
+        self._file.replace(state)
+        self.state = state
+
+    def _live(self, rows: DataFrame) -> DataFrame:
+        if self.state["next"] - self.state["first"] < 2:
+            return rows
+        gone = self._seen(self.spark.read.schema(self.GONE).parquet(f"{self.path}/gone")).groupBy("kind", "id").agg(F.max("generation").alias("gone"))
+        return rows.join(gone, ["kind", "id"], "left").filter("gone IS NULL OR generation >= gone").drop("gone")
+
+    def _rows(self) -> DataFrame:
+        if self.state["next"] == self.state["first"]:
+            return self.spark.createDataFrame([], self.ROWS)
+        return self._seen(self.spark.read.schema(self.ROWS).parquet(f"{self.path}/rows"))
+
+    def documents(self) -> DataFrame:
+        """(kind, id) that a search can find."""
+        return self._live(self._rows().select("kind", "id", "generation").distinct()).select("kind", "id").distinct()
+
+    def hits(self, query: str) -> DataFrame:
+        """(kind, id, score) of documents that have for every word of ``query`` a token beginning with it.
+
+        Each word adds the share that it makes of the shortest such token, so whole words count 1. Words shorter than a gram find
+        nothing.
+        """
+        words = sorted(set(query.lower().split()))
+        if not words:
+            return self._rows().select("kind", "id", F.lit(0.0).alias("score")).limit(0)
+        rows, found = self._rows(), None
+        for i, w in enumerate(words):
+            gram = F.lit(w[:LONGEST])
+            own = rows.filter((F.col("bucket") == self._bucket(gram)) & (F.col("gram") == gram) & F.col("rest").startswith(w[LONGEST:]))
+            own = own.select("kind", "id", "generation", F.lit(i).alias("word"), (F.lit(float(len(w))) / F.col("size")).alias("share"))
+            found = own if found is None else found.union(own)
+        best = self._live(found).groupBy("kind", "id", "word").agg(F.max("share").alias("share"))
+        return best.groupBy("kind", "id").agg(F.count("*").alias("n"), F.round(F.sum("share"), 6).alias("score")).filter(F.col("n") == len(words)).drop("n")
+
+    def search(self, query: str, most: int = 10) -> DataFrame:
+        """The ``most`` best hits, by falling score, then kind and id."""
+        return self.hits(query).orderBy(F.desc("score"), "kind", "id").limit(most)
+
+    def compact(self) -> None:
+        """Write what is seen as one generation. Folders of those before stay for searches that began before."""
+        at = self.state["next"]
+        self._write(self._live(self._rows()).select("gram", "rest", "size", "kind", "id"), at)
+        self.spark.createDataFrame([], "kind string, id string").write.mode("overwrite").parquet(f"{self.path}/gone/generation={at}")
+        self._point({**self.state, "first": at, "next": at + 1})

@@ -8,13 +8,15 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterable
-from dataclasses import dataclass, field, replace
+from dataclasses import dataclass, field, fields, replace
 
 from ..operators.tables import ColumnSpec
 from .catalog import ATTRIBUTE, Catalog
-from .schema import Predicate, Subject, TreeNode, expand, walk
+from .schema import Predicate, Subject, TreeNode, expand, parse_outline, walk
 
 LOADABLE = ("sure", "guess", "human")
+#: The predicate of a row that stands for the subject's own IRI.
+SELF = "-self-"
 
 
 @dataclass(frozen=True)
@@ -41,7 +43,8 @@ class PredicateRule:
     value: str = ""
     required: str = ""
     table: str = ""
-    const: str = ""
+    #: Constants that come with the column: (Class.field, value, the link Class.field that they hang off, or nothing).
+    consts: tuple[tuple[str, str, str], ...] = ()
 
 
 @dataclass
@@ -52,6 +55,30 @@ class Rules:
     #: Constants of a source: (Class.field, value).
     constants: list[tuple[str, str]] = field(default_factory=list)
 
+    @classmethod
+    def load(cls, text: str) -> Rules:
+        """Rules of an outline with ``prefixes`` (a map), ``subjects`` and ``predicates`` (lists of maps) and ``consts`` (Class.field: value).
+
+        A subject's keys are type or source and subject, im_class, role, status; a predicate's pred, im, class, source, subject, column,
+        status, transform, filter, value, required, table, const (Class.field: value) and const_via (Class.field: the link). Notes and
+        other keys are passed over; a rule without its im_class or pred is an error.
+        """
+        data = parse_outline(text) or {}
+        known = lambda kind: {f.name for f in fields(kind)}
+        out = cls(prefixes={str(k): str(v) for k, v in (data.get("prefixes") or {}).items()}, constants=[(str(k), str(v)) for k, v in (data.get("consts") or {}).items()])
+        for r in data.get("subjects") or []:
+            if "im_class" not in r:
+                raise ValueError(f"subject rule without im_class: {r}")
+            out.subjects.append(SubjectRule(**{k: str(v) for k, v in r.items() if k in known(SubjectRule)}))
+        for r in data.get("predicates") or []:
+            if "pred" not in r:
+                raise ValueError(f"predicate rule without pred: {r}")
+            via = r.get("const_via") or {}
+            consts = tuple((str(k), str(v), str(via.get(k) or "")) for k, v in (r.get("const") or {}).items())
+            plain = {k: str(v) for k, v in r.items() if k in known(PredicateRule) - {"consts", "cls"} and v is not None}
+            out.predicates.append(PredicateRule(**plain, cls=str(r.get("class") or ""), consts=consts))
+        return out
+
 
 @dataclass
 class MappingRow:
@@ -71,6 +98,7 @@ class MappingRow:
     value: str = ""
     multi: bool = False
     note: str = ""
+    consts: tuple[tuple[str, str, str], ...] = ()
 
     @property
     def key(self) -> tuple[str, str, str]:
@@ -130,9 +158,25 @@ class Resolver:
                 cls, _, name = r.im.partition(".")
                 if cls and node.im_class and self.catalog.is_a(node.im_class, cls):
                     cls = node.im_class  # the concrete class for its ancestor
-                return {"im_class": cls, "im_field": name, "status": r.status, "basis": "rule", "transform": r.transform, "filter": r.filter, "value": r.value, "required": r.required, "table": r.table or "main"}
+                return {"im_class": cls, "im_field": name, "status": r.status, "basis": "rule", "transform": r.transform, "filter": r.filter, "value": r.value, "required": r.required, "table": r.table or "main", "consts": r.consts}
         return None
 
+    def subject_row(self, node: TreeNode, rows: list[MappingRow]) -> MappingRow:
+        """The column of the subject's own IRI: as a rule for it says, else a root's key where no predicate carries that, else dropped.
+
+        Rules for every subject alike don't count: an IRI is an identifier of some classes only.
+        """
+        out = MappingRow(node.subject.name, SELF, node.subject.name[:1].lower() + node.subject.name[1:], "iri", basis="subject")
+        for r in self.rules.predicates:
+            fits = r.pred == SELF and r.source in ("", self.source) and r.subject in ("", node.subject.name) and (r.source or r.subject or r.cls)
+            if fits and (not r.cls or node.im_class and self.catalog.is_a(node.im_class, r.cls)):
+                cls, _, name = r.im.partition(".")
+                return replace(out, im_class=cls, im_field=name, status=r.status, basis="rule", transform=r.transform or "iri_localname", required=r.required, consts=r.consts)
+        key = self.catalog.key_attributes(node.im_class)[:1] if node.im_class else []
+        if node.parent is None and key and not any((r.im_class, r.im_field, r.via) == (node.im_class, key[0], "") for r in rows):
+            return replace(out, im_class=node.im_class, im_field=key[0], status="guess", transform="iri_localname", required="yes", note="no predicate carries the key")
+        return replace(out, status="drop", note="the subject's own IRI")
+
     def _term(self, node: TreeNode, p: Predicate, strict: bool) -> dict | None:
         iri = self.iri(p.curie)
         flat = lambda x: re.sub(r"[^a-z0-9]", "", x.rpartition("/")[2].rpartition("#")[2].lower())
@@ -191,11 +235,19 @@ class Resolver:
         for n in nodes:
             for p in n.subject.predicates:
                 for o in p.objects:
-                    kind = "bnode" if o.inline else "link" if o.subjects else "iri" if isinstance(o.example, str) and re.match(r"^<.*>$|^[A-Za-z][\w.-]*:\S+$", o.example) else "literal"
+                    # An object whose subjects all stand elsewhere in the tree leads back: its IRI is a column.
+                    kind = "bnode" if o.inline else "link" if o.subjects and (p.curie, o.name) in n.leads else "iri" if o.subjects or isinstance(o.example, str) and re.match(r"^<.*>$|^[A-Za-z][\w.-]*:\S+$", o.example) else "literal"
                     rows.append(self.row(n, p, o.name, kind))
+        rows += [self.subject_row(n, rows) for n in nodes if n.subject.name != "[]"]
         assign_tables(rows, nodes)
         for r in pruned(rows, nodes):
             r.table = "drop"
+        for r in [r for r in rows if r.consts and r.table != "drop"]:
+            for path, value, via in r.consts:
+                cls, _, name = path.partition(".")
+                # The link is part of the column's name, so constants of one field that hang off different links stay apart.
+                column = "_".join(x for x in ("const", cls, name, via.replace(".", "_")) if x)
+                rows.append(MappingRow(r.subject, "-const-", column, "const", cls, name, via=via, status=r.status, basis="constant", table=r.table, value=value, note=f"constant for {r.column}"))
         for path, value in self.rules.constants:
             cls, _, name = path.partition(".")
             rows.append(MappingRow("*", "", name, "const", cls, name, status="sure", basis="constant", table="*", value=value))

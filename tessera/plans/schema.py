@@ -186,6 +186,8 @@ class TreeNode:
     via: Predicate | None = None
     im_class: str = ""
     role: str = "node"
+    #: Names of the objects that lead on to nodes below this one; others that name subjects go back or elsewhere in the tree.
+    leads: set[tuple[str, str]] = field(default_factory=set)
 
     @property
     def multi_path(self) -> bool:
@@ -213,6 +215,7 @@ def walk(subjects: list[Subject], roots: list[str]) -> tuple[list[TreeNode], lis
                 for name in o.subjects:
                     if name not in seen:
                         seen.add(name)
+                        n.leads.add((p.curie, o.name))
                         queue.append(TreeNode(by[name], n.root, n, p))
                 if o.inline:
                     queue.append(TreeNode(o.inline, n.root, n, p))

@@ -12,10 +12,11 @@ from .model import catalog, mine, table, triples
 from .operators import integrate as G
 from .operators import items as I
 from .operators import search as S
-from .operators.tables import ColumnSpec, clean_table
+from .operators.tables import ColumnSpec, RunStatistics, clean_table
 from .plans import patterns as P
 from .plans.catalog import closure, inherited_fields
 from .plans.pathquery import Constraint, PathQuery, Template
+from .plans.written import new_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -169,6 +170,16 @@ def explode_cartesian(spark, d):
     return clean_table(table(spark, d, "part"), [ColumnSpec("part", "p_partkey", required=True), ColumnSpec("word", "p_name", "replace: :;,split:;"), ColumnSpec("kind", "p_type", "replace: :;,split:;")], decode=False)
 
 
+@query("WITH r AS (SELECT *, CASE WHEN l_orderkey % 3 = 0 THEN '' ELSE l_orderkey::VARCHAR END AS o FROM lineitem), k AS (SELECT o, CASE WHEN l_returnflag = 'R' THEN 'r' ELSE '' END AS flag, l_linenumber % 2 AS half FROM r WHERE l_linestatus = 'O') SELECT 'rows_in' AS figure, count(*) AS n FROM r UNION ALL SELECT 'filtered', count(*) FROM r WHERE l_linestatus <> 'O' UNION ALL SELECT 'empty', 0 UNION ALL SELECT 'no_key', count(*) FROM k WHERE o = '' UNION ALL SELECT 'rows_out', count(*) FROM (SELECT DISTINCT o, flag FROM k WHERE o <> '') UNION ALL SELECT 'missing', 1")
+def run_statistics(spark, d):
+    """The figures of a cleaning run, of which one plan gathers all."""
+    raw = raw_lines(spark, d).withColumn("l_orderkey", F.when(F.regexp_extract("l_orderkey", "([0-9]+)", 1).cast("long") % 3 == 0, F.lit('""')).otherwise(F.col("l_orderkey")))
+    seen = RunStatistics()
+    specs = [ColumnSpec("o", "l_orderkey", required=True), ColumnSpec("flag", "l_returnflag", "lower", "equals:R"), ColumnSpec("s", "l_linestatus", filter="equals:O", required=True), ColumnSpec("none", "nowhere")]
+    clean_table(raw, specs, statistics=seen).write.format("noop").mode("overwrite").save()
+    return spark.createDataFrame(sorted(seen.counts.items()), "figure string, n long")
+
+
 # --- graph patterns ------------------------------------------------------------------------------
 
 
@@ -460,13 +471,6 @@ def cluster_pairs(spark, d):
     return s.select("s_nationkey", F.col("s_suppkey").alias("a")).join(s.select("s_nationkey", F.col("s_suppkey").alias("b")), "s_nationkey").filter("a <> b").select("a", "b")
 
 
-@query("SELECT t.l_partkey AS target, count(DISTINCT l_orderkey) FILTER (o_orderstatus = 'P') AS overlap FROM lineitem t JOIN orders ON l_orderkey = o_orderkey GROUP BY 1 HAVING count(DISTINCT l_orderkey) FILTER (o_orderstatus = 'P') > 0")
-def list_enrichment(spark, d):
-    o = table(spark, d, "orders")
-    links = table(spark, d, "lineitem").select(F.col("l_orderkey").alias("src"), F.col("l_partkey").alias("dst"))
-    return G.enrichment(o.select(F.col("o_orderkey").alias("id")), links, o.filter("o_orderstatus = 'P'").select(F.col("o_orderkey").alias("id"))).select("target", "overlap")
-
-
 @query("SELECT p_brand AS field, string_agg(DISTINCT p_type, ',' ORDER BY p_type) AS writers FROM part GROUP BY 1")
 def writers_per_field(spark, d):
     return I.merge_collection(table(spark, d, "part"), ["p_brand"], "p_type").select(F.col("p_brand").alias("field"), F.array_join("p_type", ",").alias("writers"))
@@ -569,11 +573,37 @@ def summary_topk(spark, d):
     return S.summary(table(spark, d, "part"), "Part", "p_name", 10)
 
 
-@query("SELECT 'Customer' AS kind, c_custkey::VARCHAR AS id FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders)")
+def stored_index(spark, d):
+    """Parts and customers as stored, then every seventh customer's text changed and every eleventh deleted."""
+    index = S.StoredIndex(spark, new_folder(spark), buckets=32)
+    index.change(corpus(spark, d))
+    c = table(spark, d, "customer")
+    changed, gone = c.filter("c_custkey % 7 = 0 AND c_custkey % 11 <> 0"), c.filter("c_custkey % 7 = 0 OR c_custkey % 11 = 0")
+    again = S.search_docs(changed.withColumn("vip", F.concat(F.lit("vip"), F.col("c_nationkey").cast("string"))), "Customer", "c_custkey", ["c_name", "vip"])
+    index.change(again, gone.select(F.lit("Customer").alias("kind"), F.col("c_custkey").cast("string").alias("id")))
+    return index
+
+
+STORED_SQL = "WITH c AS (SELECT 'Part' AS kind, p_partkey::VARCHAR AS id, p_name || ' ' || p_brand AS text FROM part UNION ALL SELECT 'Customer', c_custkey::VARCHAR, c_name || ' ' || CASE WHEN c_custkey % 7 = 0 THEN 'vip' || c_nationkey ELSE c_mktsegment END FROM customer WHERE c_custkey % 11 <> 0), t AS (SELECT DISTINCT kind, id, unnest(string_split_regex(lower(text), '[ \\t\\n\\r]+')) AS t FROM c), h AS (SELECT query, kind, id, q, max(length(q) / length(t)) AS share FROM t JOIN (VALUES ('SMA Brand#1', 'sma', 2), ('SMA Brand#1', 'brand#1', 2), ('Customer#0000000 VIP', 'customer#0000000', 2), ('Customer#0000000 VIP', 'vip', 2)) x(query, q, words) ON starts_with(t, q) GROUP BY ALL), s AS (SELECT query, kind, id, round(sum(share), 6) AS score FROM h GROUP BY ALL HAVING count(*) = 2)"
+
+
+@query(STORED_SQL + " SELECT * FROM s")
+def search_stored(spark, d):
+    index = stored_index(spark, d)
+    found = [index.hits(q).select(F.lit(q).alias("query"), "kind", "id", "score") for q in ("SMA Brand#1", "Customer#0000000 VIP")]
+    return found[0].union(found[1])
+
+
+@query(STORED_SQL + " SELECT kind, id, score FROM s WHERE query = 'Customer#0000000 VIP' ORDER BY score DESC, kind, id LIMIT 25")
+def search_top(spark, d):
+    return stored_index(spark, d).search("Customer#0000000 VIP", 25)
+
+
+@query("SELECT 'Customer' AS kind, c_custkey::VARCHAR AS id FROM customer WHERE c_custkey % 11 <> 0 AND c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_orderstatus = 'P') UNION ALL SELECT 'Part', p_partkey::VARCHAR FROM part WHERE p_partkey % 3 = 0")
 def index_sync(spark, d):
-    c = S.search_docs(table(spark, d, "customer"), "Customer", "c_custkey", ["c_name"])
-    live = table(spark, d, "orders").select(F.lit("Customer").alias("kind"), F.col("o_custkey").cast("string").alias("id")).distinct()
-    return S.out_of_sync(c, live)
+    live = table(spark, d, "orders").filter("o_orderstatus = 'P'").select(F.lit("Customer").alias("kind"), F.col("o_custkey").cast("string").alias("id"))
+    parts = table(spark, d, "part").filter("p_partkey % 3 <> 0").select(F.lit("Part").alias("kind"), F.col("p_partkey").cast("string").alias("id"))
+    return S.out_of_sync(stored_index(spark, d).documents(), live.union(parts).distinct())
 
 
 # --- the whole way --------------------------------------------------------------------------------
@@ -589,3 +619,6 @@ def part_to_pathquery(spark, d):
     parts = objects.filter("item.cls = 'Part' AND field = 'name'").select(F.col("item.key_value").alias("id"), F.col("value").alias("name"))
     brands = objects.filter("item.cls = 'Brand' AND field = 'name' AND value = 'Brand#2'").select(F.col("item.key_value").alias("brand"))
     return clean.select("id", "brand").join(brands, "brand").join(parts, "id").select("name", "brand").distinct()
+
+
+from . import queries_lists, queries_project  # noqa: E402, F401  they register themselves

@@ -32,8 +32,24 @@ FORMATS = ("application/sparql-results+json", "text/tab-separated-values", "text
 GET_LIMIT = 4000
 
 
+#: What an endpoint answers that doesn't sort more rows than some number.
+CAPPED = re.compile(r"\bsorted?\b[^.]*\b(?:top|cap|limit|rows)\b|\bonly \d+ are allowed", re.I)
+
+
+class _Redirect(urllib.request.HTTPRedirectHandler):
+    """A POST that is sent elsewhere keeps its query: as a GET where the address stays short, else as a POST again."""
+
+    def redirect_request(self, req, fp, code, msg, headers, newurl):
+        if req.get_method() != "POST" or req.data is None:
+            return super().redirect_request(req, fp, code, msg, headers, newurl)
+        address = f"{newurl}{'&' if '?' in newurl else '?'}{req.data.decode()}"
+        accept = {"Accept": req.get_header("Accept", "*/*")}
+        return urllib.request.Request(address, headers=accept) if len(address) <= GET_LIMIT else urllib.request.Request(newurl, req.data, accept, method="POST")
+
+
 def http_send(endpoint: str, timeout: int = 120) -> Send:
-    """POST, then GET for short queries, for each result format in turn."""
+    """POST, then GET for short queries, for each result format in turn; an answer that names a cap on sorting ends it."""
+    opener = urllib.request.build_opener(_Redirect)
 
     def send(query: str) -> tuple[int, str]:
         status, body = 0, ""
@@ -45,11 +61,11 @@ def http_send(endpoint: str, timeout: int = 120) -> Send:
                 url = endpoint if method == "POST" else f"{endpoint}?{data}"
                 request = urllib.request.Request(url, data.encode() if method == "POST" else None, {"Accept": accept}, method=method)
                 try:
-                    with urllib.request.urlopen(request, timeout=timeout) as r:
+                    with opener.open(request, timeout=timeout) as r:
                         return r.status, r.read().decode("utf-8", "replace")
                 except urllib.error.HTTPError as e:
                     status, body = e.code, e.read().decode("utf-8", "replace")
-                    if status not in OTHER_FORMAT:
+                    if status not in OTHER_FORMAT or CAPPED.search(body):
                         return status, body
         return status, body
 
@@ -180,8 +196,40 @@ def domain_query(query: str, var: str) -> str | None:
     return re.sub(r"SELECT\s+(?:DISTINCT\s+)?(?:\?\w+\s*)+", f"SELECT DISTINCT ?{var} ", with_limit(bare, 0), count=1, flags=re.I)
 
 
+def _keys(send: Send, domain: str, var: str, page: int, done: Scan) -> list[str]:
+    """A query's keys; a list that was cut short makes the scan partial."""
+    listed = Scan([var])
+    keys = [r[0] for r in scan_pages(send, domain, page, scan=listed, cap=10**12)]
+    done.errors += [f"list of keys cut: {e}" for e in listed.errors]
+    return keys
+
+
+def _pages_then_batches(send: Send, query: str, domain: str | None, page: int, cap: int, batch: int, done: Scan) -> Iterator[tuple[str, ...]]:
+    """Pages up to where the endpoint refuses to sort further; then the keys that no page was sure to hold whole, in batches.
+
+    Pages come sorted by the first variable, so all rows of every key but the last page's last one have been seen. Rows of that
+    key are held back until it is known that they are all there.
+    """
+    names, asked = variables(query), Scan(variables(query))
+    seen: set[str] = set()
+    held: list[tuple[str, ...]] = []
+    for r in scan_pages(send, query, page, scan=asked, cap=cap):
+        if held and r[0] != held[0][0]:
+            yield from held
+            seen.add(held[0][0])
+            held = []
+        held.append(r)
+    refused = asked.status != "fetched" and (any(e.startswith("0: cap reached") for e in asked.errors) or any(CAPPED.search(e) for e in asked.errors))
+    if not (refused and domain):
+        yield from held
+        done.status, done.errors = asked.status, done.errors + asked.errors
+        return
+    rest = [k for k in _keys(send, domain, names[0], page, done) if k not in seen]
+    yield from scan_batches(send, query, names[0], rest, batch, done)
+
+
 def scan(send: Send, query: str, page: int = PAGE, cap: int = SORTED_CAP, batch: int = BATCH) -> tuple[Iterator[tuple[str, ...]], Scan]:
-    """Pages, or key batches where the count of rows is over ``cap``."""
+    """Pages, or key batches where the count of rows is over ``cap``, or from where the endpoint turns out to have a cap of its own."""
     names = variables(query)
     done = Scan(names)
     status, body = send(f"SELECT (COUNT(*) AS ?n) WHERE {{ {with_limit(query, 0)} }}")
@@ -189,11 +237,8 @@ def scan(send: Send, query: str, page: int = PAGE, cap: int = SORTED_CAP, batch:
     rows = int(found[1] or found[2]) if found else None  # unknown isn't none
     domain = domain_query(query, names[0]) if names else None
     if rows is not None and rows > cap and domain:
-        listed = Scan([names[0]])
-        keys = [r[0] for r in scan_pages(send, domain, page, scan=listed, cap=10**12)]
-        done.errors += [f"list of keys cut: {e}" for e in listed.errors]  # then the scan is partial
-        return scan_batches(send, query, names[0], keys, batch, done), done
-    return scan_pages(send, query, page, scan=done, cap=cap), done
+        return scan_batches(send, query, names[0], _keys(send, domain, names[0], page, done), batch, done), done
+    return _pages_then_batches(send, query, domain, page, cap, batch, done), done
 
 
 class Page(InputPartition):

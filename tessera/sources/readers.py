@@ -109,11 +109,26 @@ def cited_ids(spark: SparkSession, paths: list[str], attribute: str = "pubMedId"
     return lines.select(F.explode(F.regexp_extract_all("value", F.lit(pattern), F.lit(1))).alias("id")).distinct().orderBy(F.col("id").cast("long"))
 
 
+_REFERENCES = "array<struct<_name:string,_ref_id:string>>"
+_COLLECTIONS = "array<struct<_name:string,reference:array<struct<_ref_id:string>>>>"
+ITEM = f"_id string, _class string, attribute array<struct<_name:string,_value:string>>, reference {_REFERENCES}, collection {_COLLECTIONS}"
+
+
+def _items(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.format("xml").option("rowTag", "item").schema(ITEM).load(path)
+
+
 def read_items_xml(spark: SparkSession, path: str) -> DataFrame:
-    """(id, cls, attrs) of an items document."""
-    schema = "_id string, _class string, attribute array<struct<_name:string,_value:string>>"
-    df = spark.read.format("xml").option("rowTag", "item").schema(schema).load(path)
-    return df.select(F.col("_id").alias("id"), F.col("_class").alias("cls"), F.map_from_entries(F.transform(F.coalesce("attribute", F.array().cast("array<struct<_name:string,_value:string>>")), lambda a: F.struct(a["_name"], a["_value"]))).alias("attrs"))
+    """(id, cls, attrs) of items documents."""
+    attributes = F.coalesce("attribute", F.array().cast("array<struct<_name:string,_value:string>>"))
+    return _items(spark, path).select(F.col("_id").alias("id"), F.col("_class").alias("cls"), F.map_from_entries(F.transform(attributes, lambda a: F.struct(a["_name"], a["_value"]))).alias("attrs"))
+
+
+def read_item_links(spark: SparkSession, path: str) -> DataFrame:
+    """(src, field, dst, many) of the references and collections of items documents."""
+    one = F.transform(F.coalesce("reference", F.array().cast(_REFERENCES)), lambda r: F.struct(r["_name"].alias("field"), r["_ref_id"].alias("dst"), F.lit(False).alias("many")))
+    several = F.transform(F.coalesce("collection", F.array().cast(_COLLECTIONS)), lambda c: F.transform(c["reference"], lambda r: F.struct(c["_name"].alias("field"), r["_ref_id"].alias("dst"), F.lit(True).alias("many"))))
+    return _items(spark, path).select(F.col("_id").alias("src"), F.explode(F.concat(one, F.flatten(several))).alias("l")).select("src", "l.*")
 
 
 def read_list(spark: SparkSession, path: str) -> DataFrame:

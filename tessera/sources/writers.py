@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.items import items_xml
+from ..functions.terms import to_ascii
 
 
 def write_tsv(df: DataFrame, path: str) -> None:
@@ -31,6 +31,20 @@ def exchange_lines(rows: DataFrame, meta: dict[str, str]) -> DataFrame:
 
 
 def write_items(items: DataFrame, links: DataFrame, path: str) -> None:
-    """An items document as part files, each of them lines of item elements in order of their numbers."""
-    lines = items_xml(items, links)
-    lines.repartitionByRange("no").sortWithinPartitions("no").select("line").write.mode("overwrite").text(path)
+    """Items documents below ``path``: each part file is one with its root, and holds a range of the items' numbers in order.
+
+    ``items`` (no: long, cls, attrs: map), ``links`` (src_no, field, dst_no, many: boolean). Values are written in ASCII, links to items
+    that don't exist are left out, a reference keeps its largest target, a collection all of its targets. Ids are unique over
+    all parts, and links may lead to items of other parts.
+    """
+    label = lambda c: F.concat(F.lit("0_"), c.cast("string"))
+    live = links.join(items.select(F.col("no").alias("dst_no")), "dst_no", "left_semi")
+    ends = live.groupBy(F.col("src_no").alias("no"), "field", "many").agg(F.sort_array(F.collect_set("dst_no")).alias("dst"))
+    targets = F.transform(F.when(F.col("many"), F.col("dst")).otherwise(F.slice("dst", -1, 1)), lambda d: F.struct(label(d).alias("_ref_id")))
+    ends = ends.select("no", "many", F.struct(F.col("field").alias("_name"), targets.alias("reference")).alias("x")).groupBy("no").agg(
+        F.sort_array(F.collect_list(F.when(~F.col("many"), F.struct(F.col("x._name").alias("_name"), F.col("x.reference")[0]["_ref_id"].alias("_ref_id"))))).alias("reference"),
+        F.sort_array(F.collect_list(F.when(F.col("many"), F.col("x")))).alias("collection"),
+    )
+    attributes = F.transform(F.array_sort(F.map_entries("attrs")), lambda e: F.struct(e["key"].alias("_name"), to_ascii(e["value"]).alias("_value")))
+    rows = items.join(ends, "no", "left").select("no", label(F.col("no")).alias("_id"), F.col("cls").alias("_class"), attributes.alias("attribute"), "reference", "collection")
+    rows.repartitionByRange("no").sortWithinPartitions("no").drop("no").write.mode("overwrite").format("xml").option("rootTag", "items").option("rowTag", "item").option("declaration", "").save(path)

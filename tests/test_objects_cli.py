@@ -56,3 +56,46 @@ def test_fetch_and_cache_commands(tmp_path):
     assert cli.main(["cache", "verify", root, "g"]) == 0
     assert cli.main(["cache", "restore", root, "g", str(tmp_path / "r"), "--meta", '{"s": 2}']) == 1
     assert cli.main(["cache", "restore", root, "g", str(tmp_path / "r"), "--meta", '{"s": 1}']) == 0
+
+
+def test_a_source_from_its_schema_to_items_documents(spark, tmp_path, capsys):
+    """translate, tsv and items in one command; an edit of the mapping is kept by the next translation, a stale row is marked."""
+    from test_plans import KEYS, MODEL
+
+    from tessera.plans import translate as Tr
+    from tessera.sources import readers
+
+    folder = tmp_path / "garden"
+    (folder / "raw").mkdir(parents=True)
+    (folder / "model.yaml").write_text(PLANTS)
+    (folder / "prefix.yaml").write_text("ex: <http://ex.org/>\ndct: <http://purl.org/dc/terms/>\n")
+    (tmp_path / "model.xml").write_text(MODEL)
+    (tmp_path / "model.properties").write_text(KEYS)
+    (tmp_path / "rules.yaml").write_text("predicates:\n  - pred: ex:alias\n    im: Alias.value\n    class: Named\n    status: sure\n")
+    (folder / "raw/main.tsv").write_text('id\tcity\n"1"\t"Lyon"\n"2"\t"Bonn"\n\t"nowhere"\n"1"\t"Lyon"\n')
+    (folder / "raw/alias.tsv").write_text('id\talias\n"1"\t"rose"\n"2"\t""\n')
+    command = ["all", str(folder), str(tmp_path / "model.xml"), "--rules", str(tmp_path / "rules.yaml"), "--root", "Plant"]
+    assert cli.main(command) == 0
+    said = capsys.readouterr().out
+    assert "tsv main: 4 rows_in, 0 filtered, 0 empty, 1 no_key, 2 rows_out" in said
+    items = {(r.cls, tuple(sorted(r.attrs.items()))) for r in readers.read_items_xml(spark, str(folder / "items")).collect()}
+    assert ("Plant", (("identifier", "1"),)) in items and ("Alias", (("value", "rose"),)) in items
+    assert {r.field for r in readers.read_item_links(spark, str(folder / "items")).collect()} >= {"aliases", "plant"}
+    # A person maps the nick name, and the motto goes from the schema after an edit.
+    rows = Tr.read_rows(folder / "mapping.tsv")
+    for r in rows:
+        if r["column"] == "ex_nick":
+            r.update(im_class="Plant", im_field="label")
+        if r["column"] == "ex_motto":
+            r.update(note="look again")
+    Tr.write_rows(rows, folder / "mapping.tsv")
+    (folder / "model.yaml").write_text(PLANTS.replace('  - ex:motto: "sub rosa"\n', ""))
+    assert cli.main(["translate", *command[1:]]) == 0
+    by = {r["column"]: r for r in Tr.read_rows(folder / "mapping.tsv")}
+    assert (by["ex_nick"]["im_field"], by["ex_nick"]["status"]) == ("label", "human")
+    assert by["ex_motto"]["status"] == "drop" and by["ex_motto"]["note"].startswith("STALE") and "look again" in by["ex_motto"]["note"]
+    assert list(by)[-1] == "ex_motto"
+    again = (folder / "mapping.tsv").read_text()
+    assert cli.main(["translate", *command[1:]]) == 0 and (folder / "mapping.tsv").read_text() == again
+    (folder / "raw/alias.tsv").unlink()
+    assert cli.main(["tsv", *command[1:]]) == 1
