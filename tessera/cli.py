@@ -6,11 +6,13 @@ import argparse
 import json
 import sys
 from dataclasses import replace
+from functools import reduce
 from pathlib import Path
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from .operators import objects
+from .operators import checks, objects
 from .operators.tables import RunStatistics, clean_table
 from .plans import resolve, translate
 from .plans.catalog import Catalog
@@ -40,6 +42,9 @@ def parser() -> argparse.ArgumentParser:
         t.add_argument("model", help="the object model, with its keys in the file of the same name ending in .properties")
         t.add_argument("--rules", help="a rule file")
         t.add_argument("--root", help="the root subject, by default the first")
+    k = sub.add_parser("check", help="check the mappings of sources against the model, and print keys that their classes need")
+    k.add_argument("model")
+    k.add_argument("folders", nargs="+")
     c = sub.add_parser("cache", help="save, verify, restore or list raw files")
     c.add_argument("action", choices=("save", "verify", "restore", "list"))
     c.add_argument("root")
@@ -114,10 +119,35 @@ def source(args: argparse.Namespace, spark: SparkSession) -> int:
     return int(failed)
 
 
+def check(args: argparse.Namespace, spark: SparkSession) -> int:
+    """Findings of the rules over the sources' mappings and items documents; 1 if any is hard."""
+    path = Path(args.model)
+    keys = path.with_suffix(".properties")
+    catalog = Catalog().load_xml(path.read_text()).load_keys(keys.read_text() if keys.exists() else "")
+    sources, items, links, used = {}, [], [], []
+    for folder in map(Path, args.folders):
+        rows = translate.mapping_rows(translate.read_rows(folder / "mapping.tsv"))
+        used += [r.im_class for r in rows if r.loadable]
+        sources[folder.name] = rows, next((r.im_class for r in rows if r.required == "yes" and r.loadable), "")
+        if (folder / "items").exists():
+            name = F.lit(folder.name).alias("source")
+            items.append(readers.read_items_xml(spark, str(folder / "items")).select(name, "id", "cls"))
+            links.append(readers.read_item_links(spark, str(folder / "items")).select(name, "src", "dst"))
+    tables = {n: reduce(DataFrame.unionByName, t) for n, t in (("items", items), ("links", links)) if t}
+    found = checks.findings(checks.Project.of(spark, catalog, columns=checks.project_columns(spark, sources), **tables))
+    rows = found.orderBy("severity", "rule", "source", "subject").collect()  # as long as the mappings
+    for r in rows:
+        print(f"{r.severity} {r.rule} {r.source}: {r.subject}")
+    print("\n".join(exports.key_lines(catalog, used)))
+    return int(any(r.severity == "hard" for r in rows))
+
+
 def main(argv: list[str] | None = None) -> int:
     args = parser().parse_args(argv)
     if args.command in ("translate", "tsv", "items", "all"):
         return source(args, SparkSession.builder.getOrCreate())
+    if args.command == "check":
+        return check(args, SparkSession.builder.getOrCreate())
     if args.command == "query":
         from .queries import QUERIES
 

@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .plans.catalog import ATTRIBUTE, COLLECTION, REFERENCE, Catalog, ClassDef, Field
 from .plans.pathquery import Link, Mine
+from .plans.patterns import Triples, TripleTable
 
 
 def _cls(name: str, attributes: str, references: dict[str, str] | None = None, collections: dict[str, str] | None = None, extends: list[str] | None = None, keys: list[list[str]] | None = None, types: dict[str, str] | None = None) -> ClassDef:
@@ -73,24 +72,18 @@ def mine(spark: SparkSession, sf_dir: str) -> Mine:
     return Mine(catalog(), {c: table(spark, sf_dir, t) for c, t in TABLES.items()}, COLUMNS, LINKS)
 
 
-def as_triples(df: DataFrame, subject: str, prefix: str, predicates: dict[str, str], types: list[str] = ()) -> DataFrame:
-    """(s, p, o) of a table's rows: one pass that unpivots its columns; null values make no triple."""
-    pairs = F.array(*(F.struct(F.lit(p).alias("p"), F.col(c).cast("string").alias("o")) for c, p in predicates.items()), *(F.struct(F.lit("rdf:type").alias("p"), F.lit(t).alias("o")) for t in types))
-    return df.select(F.concat(F.lit(prefix), F.col(subject).cast("string")).alias("s"), F.explode(pairs).alias("x")).select("s", "x.p", "x.o").filter("o IS NOT NULL")
-
-
-def triples(spark: SparkSession, sf_dir: str, *names: str) -> DataFrame:
+def triples(spark: SparkSession, sf_dir: str, *names: str) -> Triples:
     """Triples of some of customer, supplier, nation, region, orders, documents, labels, part."""
     t = lambda n: table(spark, sf_dir, n)
     link = lambda p, c: F.concat(F.lit(p), F.col(c).cast("string"))
     made = {
-        "customer": lambda: as_triples(t("customer").withColumn("nation", link("nation:", "c_nationkey")), "c_custkey", "customer:", {"c_name": "name", "c_mktsegment": "segment", "c_acctbal": "balance", "nation": "in_nation"}, ["Customer"]),
-        "supplier": lambda: as_triples(t("supplier").withColumn("nation", link("nation:", "s_nationkey")), "s_suppkey", "supplier:", {"s_name": "name", "s_acctbal": "balance", "nation": "in_nation"}, ["Supplier"]),
-        "nation": lambda: as_triples(t("nation").withColumn("region", link("region:", "n_regionkey")), "n_nationkey", "nation:", {"n_name": "name", "region": "in_region"}, ["Nation"]),
-        "region": lambda: as_triples(t("region"), "r_regionkey", "region:", {"r_name": "name"}, ["Region"]),
-        "orders": lambda: as_triples(t("orders").withColumn("customer", link("customer:", "o_custkey")), "o_orderkey", "order:", {"o_orderstatus": "status", "o_orderpriority": "priority", "customer": "of_customer"}, ["Order"]),
-        "part": lambda: as_triples(t("part"), "p_partkey", "part:", {"p_name": "name", "p_brand": "brand", "p_type": "ptype", "p_size": "size"}, ["Part"]),
-        "documents": lambda: as_triples(t("documents"), "doc_id", "document:", {"lang": "lang", "source": "source", "n_chars": "chars"}, ["Document"]),
-        "labels": lambda: as_triples(t("labels"), "doc_id", "document:", {"quality": "quality", "toxic": "toxic"}),
+        "customer": lambda: TripleTable(t("customer").withColumn("nation", link("nation:", "c_nationkey")), "c_custkey", "customer:", {"c_name": "name", "c_mktsegment": "segment", "c_acctbal": "balance", "nation": "in_nation"}, ("Customer",)),
+        "supplier": lambda: TripleTable(t("supplier").withColumn("nation", link("nation:", "s_nationkey")), "s_suppkey", "supplier:", {"s_name": "name", "s_acctbal": "balance", "nation": "in_nation"}, ("Supplier",)),
+        "nation": lambda: TripleTable(t("nation").withColumn("region", link("region:", "n_regionkey")), "n_nationkey", "nation:", {"n_name": "name", "region": "in_region"}, ("Nation",)),
+        "region": lambda: TripleTable(t("region"), "r_regionkey", "region:", {"r_name": "name"}, ("Region",)),
+        "orders": lambda: TripleTable(t("orders").withColumn("customer", link("customer:", "o_custkey")), "o_orderkey", "order:", {"o_orderstatus": "status", "o_orderpriority": "priority", "customer": "of_customer"}, ("Order",)),
+        "part": lambda: TripleTable(t("part"), "p_partkey", "part:", {"p_name": "name", "p_brand": "brand", "p_type": "ptype", "p_size": "size"}, ("Part",)),
+        "documents": lambda: TripleTable(t("documents"), "doc_id", "document:", {"lang": "lang", "source": "source", "n_chars": "chars"}, ("Document",)),
+        "labels": lambda: TripleTable(t("labels"), "doc_id", "document:", {"quality": "quality", "toxic": "toxic"}),
     }
-    return reduce(DataFrame.unionByName, [made[n]() for n in names])
+    return Triples(tuple(made[n]() for n in names))

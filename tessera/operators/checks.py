@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..plans.catalog import ATTRIBUTE, Catalog, closure
+from ..plans.resolve import MappingRow, query_rows, tables_of
 from ..plans.written import written
 
 #: Schemas of a project's tables; ``core`` tells what is there whatever sources are loaded, ``ord`` the order of declaration.
@@ -119,6 +120,39 @@ class Project:
         return written(direct.union(links).union(back).distinct())
 
 
+def project_columns(spark: SparkSession, sources: dict[str, tuple[list[MappingRow], str]]) -> DataFrame:
+    """The ``columns`` table of sources: name -> (mapping rows, class of the root)."""
+    out = []
+    for source, (rows, root) in sources.items():
+        for t in tables_of(rows):
+            for r in query_rows(rows, t):
+                told = bool(r.filter or r.value and r.kind != "const")
+                out.append((source, t, r.column, r.im_class, r.im_field, r.via, r.kind, r.required == "yes", r.im_class == root and not r.via, r.subject, r.predicate, told))
+    return spark.createDataFrame(out, SCHEMAS["columns"])
+
+
+def competing_fields(project: Project) -> DataFrame:
+    """(source, cls, field) that need a priority where several sources write them: attributes and single references.
+
+    References count by explicit and implied links and by their reverse ends; collections don't, as sources add to them.
+    """
+    direct = project.columns.filter("cls <> '' AND field <> ''").select("source", "cls", "field")
+    kinds = project.known.select("cls", "field", F.col("kind").alias("field_kind"), "type", "reverse")
+    links = project.linked.select("source", F.col("via_cls").alias("cls"), F.col("via_field").alias("field")).distinct().join(kinds, ["cls", "field"])
+    back = links.filter("reverse <> ''").select("source", F.col("type").alias("cls"), F.col("reverse").alias("field")).join(kinds, ["cls", "field"])
+    single = links.select("source", "cls", "field", "field_kind").union(back.select("source", "cls", "field", "field_kind")).filter("field_kind = 'reference'")
+    return direct.union(single.select("source", "cls", "field")).distinct()
+
+
+def links_report(project: Project) -> DataFrame:
+    """(source, line): each link that a source's columns write, with its reverse end, explicit or implied."""
+    kinds = project.known.select(F.col("cls").alias("via_cls"), F.col("field").alias("via_field"), "type", "reverse")
+    found = project.linked.select("source", "cls", "own", "via_cls", "via_field").distinct().join(kinds, ["via_cls", "via_field"], "left")
+    end = F.when(F.col("reverse") != "", F.concat(F.lit(" (reverse "), "type", F.lit("."), "reverse", F.lit(")")))
+    line = F.concat(_link(), F.lit(" -> "), "cls", F.coalesce(end, F.lit("")), F.when(F.col("own"), "").otherwise(", implied"))
+    return found.select("source", line.alias("line")).distinct()
+
+
 def coverage(written_fields: DataFrame, declared: DataFrame, up: DataFrame) -> DataFrame:
     """(source, stock, cls, field, whole): what a source doesn't write of what the stock source that it replaces declares.
 

@@ -145,13 +145,13 @@ def gene_scope(rows: list[dict], cls: str, name: str, values: list[str]) -> tupl
     return (scoped, done) if done == "restricted" else (None, "skipped")
 
 
-def merge_priorities(existing: dict[str, list[str]], writers: dict[str, list[str]], replaces: dict[str, str], supplements: dict[str, str]) -> dict[str, list[str]]:
+def merge_priorities(existing: dict[str, list[str]], writers: dict[str, list[str]], replaces: dict[str, str], supplements: dict[str, str | list[str]], overrides: dict[str, list[str]] | None = None) -> dict[str, list[str]]:
     """Priority lists by field.
 
     What replaces a stock source (``replaces``: new -> stock) stands in its slot, all that do one after the other. A supplement
-    (-> stock) comes after its stock source and the supplements that are there already; a stock source that isn't named
-    goes before * with it. Other writers go before *. Fields without a list get one only if several sources write them, or,
-    ending in *, if a supplement does.
+    (-> stock, or several) comes after the last of its stock sources that are named and the supplements that are there already;
+    where none is named they all go before * with it. Other writers go before *. Fields without a list get one only if several sources write them, or,
+    ending in *, if a supplement does. ``overrides`` are lists that people set: they stand as they are, whatever was made.
     """
     heirs: dict[str, list[str]] = {}
     for new, old in replaces.items():
@@ -162,20 +162,20 @@ def merge_priorities(existing: dict[str, list[str]], writers: dict[str, list[str
         start = existing.get(field, ["*"] if any(n in supplements for n in names) else [])
         slots = list(dict.fromkeys(x for s in start for x in heirs.get(s, [s])))
         for n in (n for n in names if n not in slots):
-            stock, rest = supplements.get(n), slots.index("*") if "*" in slots else len(slots)
-            if stock is None:
-                slots[rest:rest] = [n]
-            elif stock not in slots:
-                slots[rest:rest] = [stock, n]
+            given, rest = supplements.get(n, []), slots.index("*") if "*" in slots else len(slots)
+            stocks = [given] if isinstance(given, str) else list(given)
+            named = [slots.index(x) for x in stocks if x in slots]
+            if not named:
+                slots[rest:rest] = [*stocks, n]
             else:
-                after = slots.index(stock) + 1
+                after = max(named) + 1
                 while after < len(slots) and slots[after] in supplements:
                     after += 1
                 slots[after:after] = [n]
         return slots
 
     made = [f for f, names in writers.items() if f not in existing and (len(set(names)) > 1 or any(n in supplements for n in names))]
-    return {f: slots_of(f) for f in [*existing, *made]}
+    return {f: slots_of(f) for f in [*existing, *made]} | (overrides or {})
 
 
 def arranged(stock: list[str], replaces: dict[str, list[str]], alongside: dict[str, str]) -> list[str]:

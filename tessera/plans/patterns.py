@@ -59,23 +59,74 @@ def constraint(c: Column, values: tuple[str, ...], ends_with: tuple[str, ...]) -
     return reduce(lambda a, b: a | b, tests) if tests else None
 
 
+@dataclass(frozen=True)
+class TripleTable:
+    """A table whose columns are objects of predicates: subject IRIs are ``prefix`` and the subject column, null makes no triple."""
+
+    df: DataFrame
+    subject: str
+    prefix: str
+    predicates: dict[str, str]
+    types: tuple[str, ...] = ()
+
+
+@dataclass(frozen=True)
+class Triples:
+    """Triples (s, p, o) of tables and of edges (s, o) by predicate, of which ``of`` reads what the asked predicates need only.
+
+    A predicate alone is a projection of two columns, so a pattern over tables becomes joins of their columns; several of
+    one table are unpivoted in one pass.
+    """
+
+    tables: tuple[TripleTable, ...]
+    edges: tuple[tuple[str, DataFrame], ...] = ()
+
+    def of(self, *wanted: str) -> DataFrame:
+        """The triples of some predicates, or of all."""
+        parts = []
+        for t in self.tables:
+            s = F.concat(F.lit(t.prefix), F.col(t.subject).cast("string")).alias("s")
+            pairs = [(p, F.col(c).cast("string")) for c, p in t.predicates.items() if not wanted or p in wanted]
+            pairs += [(TYPE, F.lit(x)) for x in t.types if not wanted or TYPE in wanted]
+            if len(pairs) == 1:
+                parts.append(t.df.select(s, F.lit(pairs[0][0]).alias("p"), pairs[0][1].alias("o")).filter("o IS NOT NULL"))
+            elif pairs:
+                every = F.explode(F.array(*(F.struct(F.lit(p).alias("p"), o.alias("o")) for p, o in pairs)))
+                parts.append(t.df.select(s, every.alias("x")).select("s", "x.p", "x.o").filter("o IS NOT NULL"))
+        parts += [df.select("s", F.lit(p).alias("p"), "o") for p, df in self.edges if not wanted or p in wanted]
+        if not parts:
+            return self.of().filter(F.lit(False))
+        return reduce(DataFrame.unionByName, parts)
+
+    def backward(self, predicate: str, name: str) -> Triples:
+        """These triples and ``predicate`` the other way round, called ``name``."""
+        return Triples(self.tables, (*self.edges, (name, self.of(predicate).select(F.col("o").alias("s"), F.col("s").alias("o")))))
+
+
 def required(node: Node) -> bool:
     """Whether a node asks for anything that must be there."""
     return bool(node.types) or any(not x.optional for x in (*node.leaves, *node.branches))
 
 
 class Compiler:
-    """Compiles patterns over ``triples`` (s, p, o[, g]: strings).
+    """Compiles patterns over ``triples`` (s, p, o[, g]: strings), a DataFrame or ``Triples`` of tables.
 
     ``single``: predicates with at most one value for each subject; those of a node are gathered in one aggregate.
     """
 
-    def __init__(self, triples: DataFrame, single: set[str] = frozenset(), graph: str | None = None):
-        self.triples = triples.filter(F.col("g") == graph) if graph and "g" in triples.columns else triples
+    def __init__(self, triples: DataFrame | Triples, single: set[str] = frozenset(), graph: str | None = None):
+        named = graph and isinstance(triples, DataFrame) and "g" in triples.columns
+        self.triples = triples.filter(F.col("g") == graph) if named else triples
         self.single = single
 
+    def of(self, *predicates: str) -> DataFrame:
+        """Triples of some predicates, or of all."""
+        if isinstance(self.triples, Triples):
+            return self.triples.of(*predicates)
+        return self.triples.filter(F.col("p").isin(*predicates)) if predicates else self.triples
+
     def edge(self, predicate: str, s: str, o: str) -> DataFrame:
-        return self.triples.filter(F.col("p") == predicate).select(F.col("s").alias(s), F.col("o").alias(o))
+        return self.of(predicate).select(F.col("s").alias(s), F.col("o").alias(o))
 
     def _leaf(self, leaf: Leaf, s: str) -> DataFrame:
         out = self.edge(leaf.predicate, s, leaf.var)
@@ -88,7 +139,7 @@ class Compiler:
         rest = [x for x in node.leaves if x.predicate not in self.single]
         parts: list[tuple[DataFrame, bool]] = []
         if star and (len(star) > 1 or not any(not x.optional for x in rest)):
-            wanted = self.triples.filter(F.col("p").isin(*(x.predicate for x in star)))
+            wanted = self.of(*(x.predicate for x in star))
             rows = wanted.groupBy(F.col("s").alias(node.var)).agg(*(F.max(F.when(F.col("p") == x.predicate, F.col("o"))).alias(x.var) for x in star))
             for x in star:
                 test = constraint(F.col(x.var), x.values, x.ends_with)
@@ -106,13 +157,13 @@ class Compiler:
         types = [t for t in node.types if t not in UNTYPED]
         base = None
         if types:
-            base = self.triples.filter((F.col("p") == TYPE) & F.col("o").isin(*types)).select(F.col("s").alias(node.var)).distinct()
+            base = self.of(TYPE).filter(F.col("o").isin(*types)).select(F.col("s").alias(node.var)).distinct()
         for df, optional in sorted(parts, key=lambda x: x[1]):  # what is required first
             if base is None:
-                base = df if not optional else self.triples.select(F.col("s").alias(node.var)).distinct().join(df, node.var, "left")
+                base = df if not optional else self.of().select(F.col("s").alias(node.var)).distinct().join(df, node.var, "left")
             else:
                 base = base.join(df, node.var, "left" if optional else "inner")
-        return base if base is not None else self.triples.select(F.col("s").alias(node.var)).distinct()
+        return base if base is not None else self.of().select(F.col("s").alias(node.var)).distinct()
 
     def run(self, pattern: Pattern) -> DataFrame:
         out = self.node(pattern.root).select(*pattern.select)

@@ -112,7 +112,7 @@ def _subject(head: str, body: list | None) -> Subject:
     for entry in body or []:
         for key, value in entry.items():
             if key == "a":
-                out.types += value if isinstance(value, list) else [value]
+                out.types = [str(x) for x in (value if isinstance(value, list) else [value]) if x is not None]  # a later one replaces it
                 continue
             m = _CARDINALITY.match(str(key))
             out.predicates.append(Predicate(m[1], m[2] or "", _objects(value, m[1])))
@@ -133,10 +133,9 @@ def _objects(value: object, curie: str) -> list[Object]:
 
 
 def _object(name: str, v: object) -> Object:
-    """Capitalised bare words name other subjects; anything else is an example."""
+    """Capitalised bare words name other subjects, also among examples; anything else is an example."""
     names = v if isinstance(v, list) else [v]
-    refs = [x for x in names if isinstance(x, str) and re.fullmatch(r"[A-Z]\w*", x)]
-    return Object(name, v, refs if refs and len(refs) == len(names) else [])
+    return Object(name, v, [x.strip() for x in names if isinstance(x, str) and re.fullmatch(r"[A-Z]\w*", x.strip())])
 
 
 def parse_schema(text: str) -> list[Subject]:

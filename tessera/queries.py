@@ -16,7 +16,7 @@ from .operators.tables import ColumnSpec, RunStatistics, clean_table
 from .plans import patterns as P
 from .plans.catalog import closure, inherited_fields
 from .plans.pathquery import Constraint, PathQuery, Template
-from .plans.written import new_folder
+from .plans.written import new_folder, written
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -162,7 +162,7 @@ def drop_nokey(spark, d):
 @query("SELECT DISTINCT l_orderkey::VARCHAR AS o, l_linenumber::VARCHAR AS n, CASE WHEN l_returnflag IN ('A', 'R') THEN lower(l_returnflag) ELSE '' END AS flag, '9606' AS taxon, '' AS absent FROM lineitem WHERE l_linestatus = 'O'")
 def clean_table_full(spark, d):
     specs = [ColumnSpec("o", "l_orderkey", required=True), ColumnSpec("n", "l_linenumber", "int"), ColumnSpec("flag", "l_returnflag", "lower", "regex:^[AR]$"), ColumnSpec("s", "l_linestatus", filter="equals:O", required=True), ColumnSpec("taxon", value="9606"), ColumnSpec("absent", "nowhere")]
-    return clean_table(raw_lines(spark, d), specs).drop("s").distinct()
+    return clean_table(raw_lines(spark, d), specs, distinct=False).drop("s").distinct()
 
 
 @query("SELECT DISTINCT p_partkey::VARCHAR AS part, w AS word, t AS kind FROM (SELECT p_partkey, unnest(string_split(p_name, ' ')) AS w, p_type FROM part), LATERAL (SELECT unnest(string_split(p_type, ' ')) AS t) WHERE w <> '' AND t <> ''")
@@ -207,10 +207,9 @@ def bgp_optional(spark, d):
 @query("SELECT DISTINCT 'customer:' || c_custkey AS c, c_name AS name, 'order:' || o_orderkey AS o, o_orderstatus AS status FROM customer LEFT JOIN orders ON c_custkey = o_custkey AND o_orderpriority LIKE '%URGENT'")
 def bgp_nested_optional(spark, d):
     order = P.Node("o", (P.Leaf("status", "status"), P.Leaf("priority", "priority", ends_with=("URGENT",))), types=("Order",))
-    t = triples(spark, d, "customer", "orders")
-    backward = t.filter("p = 'of_customer'").select(F.col("o").alias("s"), F.lit("orders").alias("p"), F.col("s").alias("o"))
+    t = triples(spark, d, "customer", "orders").backward("of_customer", "orders")
     node = P.Node("c", (P.Leaf("name", "name"),), (P.Branch("orders", order, True),), ("Customer",))
-    return P.Compiler(t.union(backward), {"status", "priority"}).run(P.Pattern(node, ["c", "name", "o", "status"]))
+    return P.Compiler(t, {"status", "priority"}).run(P.Pattern(node, ["c", "name", "o", "status"]))
 
 
 @query("SELECT 'customer:' || c_custkey AS c, c_mktsegment AS segment FROM customer WHERE c_mktsegment IN ('BUILDING', 'MACHINERY')")
@@ -250,8 +249,7 @@ def key_batch_scan(spark, d):
 
 @query("SELECT 'orders' AS branch, c_name AS customer, 'order:' || o_orderkey AS value FROM customer JOIN orders ON o_custkey = c_custkey UNION ALL SELECT 'nation', c_name, n_name FROM customer JOIN nation ON c_nationkey = n_nationkey")
 def satellite_tables(spark, d):
-    t = triples(spark, d, "customer", "orders", "nation")
-    t = t.union(t.filter("p = 'of_customer'").select(F.col("o").alias("s"), F.lit("orders").alias("p"), F.col("s").alias("o")))
+    t = triples(spark, d, "customer", "orders", "nation").backward("of_customer", "orders")
     root = P.Node("c", (P.Leaf("name", "customer"),), (P.Branch("orders", P.Node("o"), True), P.Branch("in_nation", P.Node("n", (P.Leaf("name", "nation"),)), True)), ("Customer",))
     parts = P.satellites(P.Pattern(root, ["c", "customer", "o", "nation"]))
     run = P.Compiler(t).run
@@ -613,7 +611,7 @@ def index_sync(spark, d):
 def part_to_pathquery(spark, d):
     """Flagship: parts as wire terms, cleaned, merged into objects, linked to their brands, asked by path."""
     wire = table(spark, d, "part").select(*(T.wire_literal(F.col(c).cast("string")).alias(c) for c in ("p_partkey", "p_name", "p_brand")))
-    clean = clean_table(wire, [ColumnSpec("id", "p_partkey", required=True), ColumnSpec("name", "p_name"), ColumnSpec("brand", "p_brand")])
+    clean = written(clean_table(wire, [ColumnSpec("id", "p_partkey", required=True), ColumnSpec("name", "p_name"), ColumnSpec("brand", "p_brand")]))
     items = I.split_objects(clean, {"Part": {"id": "id", "name": "name"}, "Brand": {"name": "brand"}}, {"Part": ["id"], "Brand": ["name"]}, F.col("id"))
     objects = items.groupBy("item", "field").agg(F.min_by("value", "ord").alias("value"))
     parts = objects.filter("item.cls = 'Part' AND field = 'name'").select(F.col("item.key_value").alias("id"), F.col("value").alias("name"))

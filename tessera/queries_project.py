@@ -164,3 +164,13 @@ def carried_classes(spark, d):
 @query(PROJECT_SQL + _CARRY + "SELECT * FROM need UNION ALL SELECT * FROM own_ends")
 def carried_members(spark, d):
     return _carried(spark, d)[1]
+
+
+@query(PROJECT_SQL + _WAYS + ", refs AS (SELECT source, cls, field FROM used JOIN known USING (cls, field) WHERE kind = 'reference' UNION SELECT u.source, k.type, k.reverse FROM used u JOIN known k ON u.cls = k.cls AND u.field = k.field JOIN known b ON b.cls = k.type AND b.field = k.reverse WHERE b.kind = 'reference') SELECT source, cls, field FROM columns UNION SELECT * FROM refs")
+def competing_fields(spark, d):
+    return K.competing_fields(project(spark, d))
+
+
+@query(PROJECT_SQL + _WAYS + ", l AS (SELECT DISTINCT source, cls, via_cls, via_field, '' AS implied FROM columns WHERE via_cls <> '' UNION SELECT b.source, b.cls, b.root_cls, w.field, ', implied' FROM bare b JOIN ways w ON b.cls = w.cls AND b.root_cls = w.root_cls WHERE w.rn = 1) SELECT DISTINCT source, via_cls || '.' || via_field || ' -> ' || l.cls || CASE WHEN coalesce(reverse, '') <> '' THEN ' (reverse ' || type || '.' || reverse || ')' ELSE '' END || implied AS line FROM l LEFT JOIN known k ON k.cls = via_cls AND k.field = via_field")
+def links_report(spark, d):
+    return K.links_report(project(spark, d))

@@ -81,6 +81,28 @@ def priority_lines(priorities: dict[str, list[str]]) -> str:
     return "".join(f"{k} = {', '.join(v)}\n" for k, v in sorted(priorities.items()))
 
 
+def key_lines(catalog: Catalog, used: list[str]) -> list[str]:
+    """Lines of a key file for the used classes: keys stand under the class that declares them, once.
+
+    A class without any gets its key attribute as a draft, or a warning that its objects never merge.
+    """
+    out: list[str] = []
+    done: set[str] = set()
+    for name in sorted(dict.fromkeys(used)):
+        owner = next((c for c in [name, *catalog.ancestors(name)] if c in catalog.classes and catalog.classes[c].keys), None)
+        if owner is None:
+            own = catalog.key_attributes(name) if name in catalog.classes else []
+            out += [f"# DRAFT: no key is declared for {name}", f"{name}.key_{own[0].lower()} = {own[0]}"] if own else [f"# WARNING: {name} has no key and no identifier, its objects never merge"]
+            continue
+        if owner != name:
+            out.append(f"# {name} has the keys of {owner}")
+        if owner not in done:
+            done.add(owner)
+            keys = catalog.classes[owner].keys
+            out += [f"{owner}.key{'' if len(keys) == 1 else f'_{i + 1}'} = {', '.join(k)}" for i, k in enumerate(keys)]
+    return out
+
+
 def carried_fields(declared: Catalog, live: Catalog, used: set[str]) -> list[tuple[str, str]]:
     """(class, field) that used classes or their ancestors declare and the live model lacks."""
     need = {x for c in used for x in [c, *declared.ancestors(c)] if x in declared.classes}

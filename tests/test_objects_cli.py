@@ -81,6 +81,9 @@ def test_a_source_from_its_schema_to_items_documents(spark, tmp_path, capsys):
     items = {(r.cls, tuple(sorted(r.attrs.items()))) for r in readers.read_items_xml(spark, str(folder / "items")).collect()}
     assert ("Plant", (("identifier", "1"),)) in items and ("Alias", (("value", "rose"),)) in items
     assert {r.field for r in readers.read_item_links(spark, str(folder / "items")).collect()} >= {"aliases", "plant"}
+    assert cli.main(["check", str(tmp_path / "model.xml"), str(folder)]) == 0
+    said = capsys.readouterr().out
+    assert "hard" not in said and "Plant.key = identifier" in said
     # A person maps the nick name, and the motto goes from the schema after an edit.
     rows = Tr.read_rows(folder / "mapping.tsv")
     for r in rows:
@@ -95,6 +98,12 @@ def test_a_source_from_its_schema_to_items_documents(spark, tmp_path, capsys):
     assert (by["ex_nick"]["im_field"], by["ex_nick"]["status"]) == ("label", "human")
     assert by["ex_motto"]["status"] == "drop" and by["ex_motto"]["note"].startswith("STALE") and "look again" in by["ex_motto"]["note"]
     assert list(by)[-1] == "ex_motto"
+    by["ex_nick"]["im_field"] = "colour"
+    Tr.write_rows(list(by.values()), tmp_path / "other.tsv")
+    (tmp_path / "other").mkdir()
+    (tmp_path / "other.tsv").rename(tmp_path / "other/mapping.tsv")
+    assert cli.main(["check", str(tmp_path / "model.xml"), str(tmp_path / "other")]) == 1
+    assert "hard unknown_field other: Plant.colour" in capsys.readouterr().out
     again = (folder / "mapping.tsv").read_text()
     assert cli.main(["translate", *command[1:]]) == 0 and (folder / "mapping.tsv").read_text() == again
     (folder / "raw/alias.tsv").unlink()

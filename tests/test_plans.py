@@ -329,3 +329,30 @@ def test_path_query_text(spark):
     assert [tuple(r) for r in mine.run(q).collect()] == [("rose", "Lyon"), ("moss", "Lyon")]
     with pytest.raises(ValueError):
         mine.run(PathQuery(["Plant.nope"]))
+
+
+def test_a_pattern_reads_only_the_columns_of_its_predicates(spark):
+    """Over tables a predicate is a projection: no column that the pattern doesn't ask for is read, and nothing is unpivoted."""
+    from tessera.queries import QUERIES
+
+    plan = QUERIES["bgp_path"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert "Generate" not in plan and "c_mktsegment" not in plan and "o_orderstatus" not in plan and "c_name" in plan
+    t = P.Triples((P.TripleTable(spark.createDataFrame([(1, "a", None), (2, None, "z")], "k int, x string, y string"), "k", "n:", {"x": "px", "y": "py"}, ("T",)),)).backward("px", "of")
+    assert sorted(map(tuple, t.of("px", "of").collect())) == [("a", "of", "n:1"), ("n:1", "px", "a")]
+    assert t.of().count() == 5 and t.of("none").count() == 0
+
+
+def test_priorities_with_several_stock_sources_and_overrides():
+    got = G.merge_priorities({"Gene.name": ["a", "b", "c", "*"]}, {"Gene.name": ["extra"], "Gene.note": ["extra"]}, {}, {"extra": ["a", "b"]}, {"Gene.type": ["x", "y"]})
+    assert got == {"Gene.name": ["a", "b", "extra", "c", "*"], "Gene.note": ["a", "b", "extra", "*"], "Gene.type": ["x", "y"]}
+
+
+def test_a_later_type_replaces_and_mixed_lists_keep_references():
+    crate, box = Sc.parse_schema("- Crate sh:c1:\n  - a: sh:Old\n  - a: [sh:New, sh:Thing]\n  - sh:holds*:\n    - inner: [Box, 'loose']\n- Box sh:b1:\n  - a: sh:Box\n")
+    assert crate.types == ["sh:New", "sh:Thing"] and crate.predicates[0].objects[0].subjects == ["Box"] and box.types == ["sh:Box"]
+
+
+def test_key_lines():
+    from tessera.sources.exports import key_lines
+
+    assert key_lines(model(), ["Plant", "Alias", "Garden", "Named", "Plant"]) == ["Alias.key = plant, value", "Garden.key = identifier", "# DRAFT: no key is declared for Named", "Named.key_identifier = identifier", "Plant.key = identifier"]
