@@ -257,11 +257,14 @@ class Resolver:
 
 
 def assign_tables(rows: list[MappingRow], nodes: list[TreeNode]) -> None:
-    """A table of its own for every branch of many values, so that branches don't multiply each other."""
+    """A table of its own for every branch of many values, so that branches don't multiply each other.
+
+    Rows that aren't mapped have one too, so that a person who maps one needs to give its field only.
+    """
     by = {n.subject.name: n for n in nodes}
     for r in rows:
         n = by[r.subject]
-        if r.status in ("todo", "drop") or n.role == "skip":
+        if n.role == "skip":
             r.table = "drop"
         elif r.table == "main":
             prefix = "" if sum(x.parent is None for x in nodes) < 2 else f"{n.root}_"
