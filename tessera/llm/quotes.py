@@ -134,8 +134,9 @@ def _most_lines(asked: DataFrame, own: DataFrame, scratch: Scratch, common: int
     ``asked``: q, me, line, key, distinct; a line of a quote is held where one of its keys is. ``own``: key, holder,
     distinct. Of equal holders the first of the conversation of ``me`` comes first, then the first of all.
     Exact: holders of a key that at most ``common`` messages have are scored by all lines. Other holders can only have
-    common keys; they are scored once for each distinct set of common (line, key) that quotes have, and of each number of
-    lines held only the first holder of all and of each conversation is kept, which is the one a quote would take.
+    common keys; holders with the same common keys are one profile, of which only the first of all and of each conversation can
+    win, and profiles are scored once for each distinct set of common (line, key) that quotes have. So what many messages
+    repeat and many quote costs (distinct profiles) x (distinct sets) where these share a key, not holders x quotes.
     """
     asked = scratch.save(asked, "asked")
     own = scratch.save(own.join(_short(asked.select("key").distinct()), "key", "left_semi"), "own")
@@ -153,10 +154,16 @@ def _most_lines(asked: DataFrame, own: DataFrame, scratch: Scratch, common: int
     sets = scratch.save(sets.select("q", "me", F.sha2(F.to_json("lines"), 256).alias("set"), "lines"), "sets")
     lines = sets.groupBy("set").agg(F.first("lines").alias("lines")).select("set", F.posexplode("lines").alias("line", "keys")).select("set", "line", F.explode("keys").alias("key"))
     lines = scratch.save(lines, "set_lines")
-    scored = own.join(_short(lines), "key").groupBy("set", "holder").agg(F.count_distinct("line").alias("n"))
-    near = scratch.save(scored.groupBy("set", "n", F.col("holder.conv_id").alias("conv_id")).agg(F.min("holder").alias("holder")), "set_near")
-    far = scratch.save(near.groupBy("set", "n").agg(F.min("holder").alias("holder")), "set_far")
+    shared = own.join(_short(held.filter(F.col("n_holders") > common).select("key")), "key", "left_semi")
+    profiles = shared.groupBy("holder").agg(F.sort_array(F.collect_set("key")).alias("keys")).select("holder", F.sha2(F.to_json("keys"), 256).alias("profile"), "keys")
+    profiles = scratch.save(profiles, "profiles")
+    profile_keys = profiles.groupBy("profile").agg(F.first("keys").alias("keys")).select("profile", F.explode("keys").alias("key"))
+    scored = scratch.save(profile_keys.join(_short(lines), "key").groupBy("set", "profile").agg(F.count_distinct("line").alias("n")), "scored")
+    firsts = scratch.save(profiles.groupBy("profile", F.col("holder.conv_id").alias("conv_id")).agg(F.min("holder").alias("holder")), "firsts")
     quotes = sets.select("q", "me", "set", F.col("me.conv_id").alias("conv_id"))
+    near = scored.join(quotes.select("set", "conv_id").distinct(), "set").join(firsts, ["profile", "conv_id"]).groupBy("set", "n", "conv_id").agg(F.min("holder").alias("holder"))
+    near = scratch.save(near, "set_near")
+    far = scratch.save(scored.join(firsts.groupBy("profile").agg(F.min("holder").alias("holder")), "profile").groupBy("set", "n").agg(F.min("holder").alias("holder")), "set_far")
     by_set = quotes.join(_short(near), ["set", "conv_id"]).select("q", "me", "holder", "n").union(quotes.join(_short(far), "set").select("q", "me", "holder", "n")).filter("holder < me")
     order = F.struct((-F.col("n")).alias("n"), (F.col("holder.conv_id") != F.col("me.conv_id")).alias("far"), F.col("holder"))
     best = votes.select("q", "me", "holder", "n").union(by_set).groupBy("q").agg(F.min(order).alias("x"))

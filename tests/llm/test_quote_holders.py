@@ -68,3 +68,28 @@ def test_levels_short_lines_scripts_and_line_breaks(spark):
     assert {k: v for k, v in got.items() if v} == {
         (1, 1): (1, 0), (1, 3): (1, 1), (1, 4): (1, 0), (2, 3): (2, 0), (2, 4): (2, 1), (4, 0): (3, 1), (6, 1): (5, 0),
     }
+
+
+def test_common_lines_cost_profiles_not_pairs(spark, monkeypatch):
+    """400 messages hold the same 20 lines and 1,140 quote a different three of them each: tables grow with messages, not with 456,000 pairs."""
+    from itertools import combinations
+
+    from tessera.llm.common import Scratch
+
+    stock = [f"boilerplate line {i} of all" for i in range(20)]
+    rows = [(i, 0, "\n".join(stock)) for i in range(400)]
+    rows += [(1_000 + i, 0, "\n".join(f"> {x}" for x in c) + f"\nmy own words {i}") for i, c in enumerate(combinations(stock, 3))]
+    sizes = {}
+    save = Scratch.save
+
+    def counted(self, df, name, partition_by=None):
+        out = save(self, df, name, partition_by)
+        sizes[name] = out.count()
+        return out
+
+    monkeypatch.setattr(Scratch, "save", counted)
+    got = parents(spark, rows)
+    assert {got[1_000 + i, 0] for i in range(1_140)} == {(0, 0)}
+    text_lines = 400 * 20 + 1_140 * 4
+    assert max(sizes.values()) <= 2 * text_lines, {k: v for k, v in sizes.items() if v > text_lines}
+    assert sizes["scored"] == 1_140 and sizes["set_near"] <= 1_140
