@@ -162,3 +162,9 @@ class Template:
         for i, v in zip(self.editable, values, strict=False):
             cs[i].value = v
         return PathQuery(self.query.view, cs, self.query.sort)
+
+
+def listing(templates: dict[str, Template]) -> list[dict[str, object]]:
+    """What a service lists of its templates: name, title, view, and of each editable constraint its place, path, operator and default."""
+    asked = lambda t: [{"place": i, "path": t.query.constraints[i].path, "op": t.query.constraints[i].op, "value": t.query.constraints[i].value} for i in t.editable]
+    return [{"name": n, "title": t.title, "view": list(t.query.view), "constraints": asked(t)} for n, t in sorted(templates.items())]

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from ..functions.terms import markdown_cell
 from ..plans.catalog import ATTRIBUTE, COLLECTION, Catalog
 from ..plans.resolve import MappingRow
+from ..plans.schema import Subject
 
 # Ranges of attribute types.
 RANGES = {"java.lang.String": "string", "java.lang.Integer": "integer", "int": "integer", "java.lang.Double": "double", "java.lang.Boolean": "boolean"}
@@ -51,6 +52,53 @@ def additions_xml(rows: list[MappingRow], catalog: Catalog) -> str:
     return "\n".join([*out, "</classes>", ""])
 
 
+def model_xml(catalog: Catalog, only: list[str] | None = None) -> str:
+    """Classes of a catalog, all or some, as a model document that ``Catalog.load_xml`` reads back."""
+    out = ["<classes>"]
+    for c in (catalog.classes[n] for n in (only if only is not None else catalog.classes)):
+        more = (f" extends={quoteattr(' '.join(c.extends))}" if c.extends else "") + (f" term={quoteattr(c.term)}" if c.term else "")
+        out.append(f'  <class name={quoteattr(c.name)}{more} is-interface="true">')
+        for f in c.fields.values():
+            of = f"type={quoteattr(f.type)}" if f.kind == ATTRIBUTE else f"referenced-type={quoteattr(f.type)}" + (f" reverse-reference={quoteattr(f.reverse)}" if f.reverse else "")
+            out.append(f"    <{f.kind} name={quoteattr(f.name)} {of}{f' term={quoteattr(f.term)}' if f.term else ''}/>")
+        out.append("  </class>")
+    return "\n".join([*out, "</classes>", ""])
+
+
+def merged_additions(texts: list[str]) -> str:
+    """The additions of several sources as one document: each class and field once, the first declaration of each."""
+    every = Catalog()
+    for text in texts:
+        every.load_xml(text)
+    return model_xml(every)
+
+
+def relabelled_schema(subjects: list[Subject], rows: list[MappingRow], classes: dict[str, str]) -> str:
+    """The schema in its own notation with each variable called Class.field, as it is mapped; what isn't is marked so.
+
+    ``classes``: subject -> class.
+    """
+    by = {r.key: r for r in rows}
+    shown = lambda x: "" if x is None else f" {x}" if re.match(r"^<.*>$|^[A-Za-z][\w.-]*:\S+$", str(x)) else f' "{x}"'
+
+    def lines(s: Subject, pad: str) -> list[str]:
+        out = [f"{pad}- {s.name}[{classes.get(s.name, '?') or '?'}]{' ' + s.example if s.example else ''}:"]
+        out += [f"{pad}  - a: {s.types[0] if len(s.types) == 1 else '[' + ', '.join(s.types) + ']'}"] if s.types else []
+        for p in s.predicates:
+            out.append(f"{pad}  - {p.curie}{p.cardinality}:")
+            for o in p.objects:
+                r = by.get((s.name, p.curie, o.name))
+                if o.inline:
+                    out += lines(o.inline, pad + "    ")
+                elif r is not None and r.loadable:
+                    out.append(f"{pad}    - {r.im_class}.{r.im_field}:{shown(o.example)}  # {o.name} ({r.status}){' via ' + r.via if r.via else ''}")
+                else:
+                    out.append(f"{pad}    - {o.name}:{shown(o.example)}  # UNMAPPED ({r.status if r else 'no row'})")
+        return out
+
+    return "\n".join(x for s in subjects for x in lines(s, "")) + "\n"
+
+
 def parse_project(text: str) -> list[dict[str, str]]:
     """Sources of a project document in order: name, type, version."""
     return [{k: s.get(k, "") for k in ("name", "type", "version")} for s in ET.fromstring(text).iter("source")]

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 import re
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -143,6 +144,28 @@ def distinct_files(spark: SparkSession, path: str) -> DataFrame:
     return files.groupBy("md5").agg(F.min("path").alias("path"))
 
 
+def model_files(spark: SparkSession, folder: str, allow: list[str] | None = None) -> DataFrame:
+    """(path, kind) of a folder's model files, of byte-identical ones the first path: kind is core, additions or keys.
+
+    core.xml and genomic_additions.xml always count; other additions and key files only where their path has one of the ``allow``
+    tokens (all without a list) and isn't below a test folder. Core files come first, then paths in order, as a model is loaded.
+    """
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.{xml,properties}").load(folder)
+    path = F.col("path")
+    kind = F.when(path.rlike(r"/(core|genomic_additions)\.xml$"), "core").when(path.rlike(r"_additions\.xml$"), "additions").when(path.rlike(r"_keys\.properties$"), "keys")
+    asked = F.lit(True) if allow is None else reduce(lambda a, b: a | b, (path.contains(t) for t in allow), F.lit(False))
+    found = files.select("path", kind.alias("kind"), F.md5("content").alias("md5")).filter(F.col("kind").isNotNull() & ((F.col("kind") == "core") | (asked & ~path.contains("/test/"))))
+    return found.groupBy("md5", "kind").agg(F.min("path").alias("path")).orderBy(F.col("kind") != "core", "path").select("path", "kind")
+
+
+def read_tsv(spark: SparkSession, path: str) -> DataFrame:
+    """A tab-separated table with a header, its values as they are; a file that isn't there is a table without columns or rows."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if not at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at):
+        return spark.createDataFrame([], T.StructType([]))
+    return spark.read.option("sep", "\t").option("header", True).option("quote", "").csv(path).na.fill("")
+
+
 def verify_manifest(spark: SparkSession, folder: str, manifest: str) -> DataFrame:
     """(file, problem) where a folder and its list of MD5 sums differ: missing, unlisted or changed."""
     have = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder)

@@ -268,3 +268,40 @@ def test_stream(spark, tmp_path):
     put(src, "2.tsv", '"1"\t"z"\n"2"\t"b"\n"3"\t"c"\n')
     run()
     assert sorted(map(tuple, store.current().select("id", "name").collect())) == [("1", "a"), ("2", "b"), ("3", "c")]
+
+
+def test_model_files_by_allowed_tokens(spark, tmp_path):
+    for path, text in {"bio/core.xml": "<c/>", "copy/core.xml": "<c/>", "a/genomic_additions.xml": "<g/>", "sources/go/go_additions.xml": "<go/>", "sources/hp/hp_additions.xml": "<hp/>",
+                       "sources/go/test/go_additions.xml": "<t/>", "sources/go/go_keys.properties": "k", "sources/hp/hp_keys.properties": "h", "sources/go/notes.xml": "<n/>"}.items():
+        (tmp_path / path).parent.mkdir(parents=True, exist_ok=True)
+        (tmp_path / path).write_text(text)
+    got = lambda allow: [(r.path.split(str(tmp_path))[1], r.kind) for r in readers.model_files(spark, str(tmp_path), allow).collect()]
+    core = [("/a/genomic_additions.xml", "core"), ("/bio/core.xml", "core")]
+    go = [("/sources/go/go_additions.xml", "additions"), ("/sources/go/go_keys.properties", "keys")]
+    assert got(["/go/"]) == core + go and got([]) == core
+    assert got(None) == core + go + [("/sources/hp/hp_additions.xml", "additions"), ("/sources/hp/hp_keys.properties", "keys")]
+
+
+def test_tables_that_may_be_missing(spark, tmp_path):
+    assert readers.read_tsv(spark, str(tmp_path / "none.tsv")).count() == 0
+    assert [tuple(r) for r in readers.read_tsv(spark, put(tmp_path, "t.tsv", 'a\tb\n"x\t\n')).collect()] == [('"x', "")]
+
+
+def test_additions_and_schemas_as_text():
+    from test_plans import FLEET
+
+    from tessera.plans import schema as Sc
+    from tessera.plans.catalog import Catalog
+    from tessera.plans.pathquery import listing
+    from tessera.queries import TEMPLATES
+
+    whole = exports.model_xml(catalog())
+    assert exports.model_xml(Catalog().load_xml(whole)) == whole
+    one, two = '<m><class name="A"><attribute name="x" type="int"/></class></m>', '<m><class name="A" extends="B"><attribute name="x" type="java.lang.String"/><collection name="ys" referenced-type="Y" reverse-reference="a"/></class></m>'
+    assert exports.merged_additions([one, two]) == '<classes>\n  <class name="A" extends="B" is-interface="true">\n    <attribute name="x" type="int"/>\n    <collection name="ys" referenced-type="Y" reverse-reference="a"/>\n  </class>\n</classes>\n'
+    rows = [MappingRow("Vessel", "sh:imo", "imo", "literal", "Ship", "number", status="sure"), MappingRow("Vessel", "sh:homePort", "port", "link", "Port", "code", via="Ship.home", status="human"), MappingRow("Vessel", "sh:callsign", "sign", "literal", status="todo")]
+    text = exports.relabelled_schema(Sc.parse_schema(FLEET), rows, {"Vessel": "Ship"})
+    for line in ("- Vessel[Ship] sh:imo9300001:", '    - Ship.number: "9300001"  # imo (sure)', "    - Port.code: \"Port\"  # port (human) via Ship.home", '    - sign: "D5XY2"  # UNMAPPED (todo)', "- Port[?] sh:NLRTM:", "  - sh:engine?:"):
+        assert line in text.splitlines()
+    first = listing(TEMPLATES)[0]
+    assert first["name"] == "template_documents" and first["constraints"] == [{"place": 0, "path": "Document.lang", "op": "=", "value": "en"}]
