@@ -213,8 +213,8 @@ def personal_data(df: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     Positions count code points, the end is exclusive. Base spans: leftmost matches of each
     kind's pattern that don't overlap; those failing the kind's check are dropped. ``spans`` has them and
     the looser candidates that the trained classifier accepts and that overlap no base span. Null text is
-    empty and has no spans. Repeated rows are read each; other columns are ignored. Without candidates
-    nothing is added.
+    empty and has no spans. Repeated rows are read each; ids are passed on, null or repeated; other columns are ignored. Without
+    candidates nothing is added; an empty table gives an empty result.
     """
     scratch = Scratch(df.sparkSession)
     docs = df.select(F.col(id_col).alias("doc_id"), text_of(text_col).alias("text"))

@@ -97,7 +97,9 @@ def toxicity(df: DataFrame, labels: DataFrame, train: Column, id_col: str = "doc
     condition over doc_id, holds: all, or a sample by hash of about ``train_rows``.
     Only the text is an input of a score, and all of it is. Null and empty texts
     get the score of a text without known terms. Without labelled rows every score is 0.5.
-    Repeated rows are scored each; null ids stay null. ``key_col``, a column of whole numbers, is passed on. Other columns are ignored.
+    Repeated rows are scored each; null ids stay null. Equal texts have equal scores; the registered
+    query counts a score of just 0.5 as toxic. ``key_col``, a column of whole numbers, is passed on. Other columns are ignored; an
+    empty table gives an empty result.
     """
     keys = [key_col] if key_col else []
     docs = df.select(F.col(id_col).cast("long").alias("doc_id"), text_of(text_col).alias("text"), *(F.col(k).cast("long").alias(k) for k in keys))

@@ -108,7 +108,8 @@ def judge_urls(df: DataFrame, rules: list[tuple[str, str, str]], id_col: str = "
     where the score is at least the threshold; they learn and score the whole URL as it is written. A URL without :// (or null) has an
     empty host and path, and is judged like any other, by all of its text. Four fifths of the rule-decided URLs, by
     hash, teach the models, the rest set the threshold; without both kinds it is 0, and without any
-    every score is 0, so allow. Repeated rows are judged each. Other columns are ignored.
+    every score is 0, so allow. Repeated rows are judged each; ids are passed on, null or repeated. A score equal to the threshold
+    allows. Other columns are ignored; an empty table gives an empty result.
     """
     scratch = Scratch(df.sparkSession)
     host, path = host_and_path(text_of(url_col))
