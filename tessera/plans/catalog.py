@@ -12,8 +12,6 @@ from pyspark.sql import functions as F
 
 from .written import written
 
-#: Rounds of a closure after which its pairs are written as one table.
-ROUNDS_APART = 12
 ATTRIBUTE, REFERENCE, COLLECTION = "attribute", "reference", "collection"
 #: Fields preferred as a class's key, in this order, where it has several keys.
 PREFERRED = ("primaryIdentifier", "identifier", "primaryAccession", "name", "symbol")
@@ -149,22 +147,22 @@ class Catalog:
 def closure(edges: DataFrame, child: str, parent: str) -> DataFrame:
     """(child, ancestor, depth) with the shortest depth, each node its own ancestor at depth 0.
 
-    Each round follows one edge more from the pairs that the round before found, and keeps those that are new: a
-    pair is made once for each edge that reaches it, however many paths do, cycles end, and depth has no bound.
+    Reach doubles each round: a shortest path of more than ``reach`` edges begins with one of just ``reach``, so only pairs that far
+    apart are followed, by all known pairs. It ends where no two nodes are so far apart: cycles end, and a chain of a
+    thousand nodes takes ten rounds. Each round is written.
     """
-    e = written(edges.select(F.col(child).alias("c"), F.col(parent).alias("p")).distinct())
-    nodes = e.select(F.col("c").alias("child")).union(e.select("p")).distinct()
-    known = found = written(nodes.select("child", F.col("child").alias("ancestor"), F.lit(0).cast("long").alias("depth")))
-    depth = 0
-    while not found.isEmpty():
-        depth += 1
-        step = found.select("child", F.col("ancestor").alias("c")).join(e, "c").select("child", F.col("p").alias("ancestor")).distinct()
+    e = edges.select(F.col(child).alias("child"), F.col(parent).alias("ancestor")).distinct()
+    nodes = e.select("child").union(e.select("ancestor")).distinct()
+    depth = lambda n: F.lit(n).cast("long").alias("depth")
+    far = e.filter(~F.col("child").eqNullSafe(F.col("ancestor"))).select("child", "ancestor", depth(1))
+    known, reach = written(nodes.select("child", F.col("child").alias("ancestor"), depth(0)).union(far)), 1
+    while not known.filter(F.col("depth") == reach).isEmpty():
+        on = known.select(F.col("child").alias("via"), F.col("ancestor").alias("end"), F.col("depth").alias("more")).filter("more > 0")
+        step = known.filter(F.col("depth") == reach).withColumnRenamed("ancestor", "via").join(on, "via")
+        step = step.groupBy("child", F.col("end").alias("ancestor")).agg(F.min(F.col("depth") + F.col("more")).alias("depth"))
         old = known.select(F.col("child").alias("k"), F.col("ancestor").alias("a"))
         new = step.join(old, F.col("child").eqNullSafe(F.col("k")) & F.col("ancestor").eqNullSafe(F.col("a")), "left_anti")
-        found = written(new.withColumn("depth", F.lit(depth).cast("long")))
-        known = known.union(found)
-        if depth % ROUNDS_APART == 0:
-            known = written(known)
+        known, reach = written(known.union(new)), 2 * reach
     return known
 
 

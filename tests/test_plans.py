@@ -41,6 +41,30 @@ def test_closure_with_a_cycle(spark):
     assert {(r.cls, r.field) for r in inherited_fields(model().tables(spark)).collect()} >= {("Garden", "label"), ("Alias", "value"), ("Plant", "identifier")}
 
 
+def test_closure_of_a_long_chain_and_of_random_graphs(spark, monkeypatch):
+    """Depths are shortest ones; 150 links in a row take eight rounds."""
+    import random
+
+    from tessera.plans import catalog as C
+
+    rounds, write = [], C.written
+    monkeypatch.setattr(C, "written", lambda df: (rounds.append(1), write(df))[1])
+    chain = spark.createDataFrame([(i, i + 1) for i in range(150)], "c long, p long")
+    got = {(r.child, r.ancestor): r.depth for r in closure(chain, "c", "p").collect()}
+    assert got == {(i, j): j - i for i in range(151) for j in range(i, 151)} and len(rounds) <= 9
+    rng = random.Random(5)
+    edges = [(rng.randrange(40), rng.randrange(40)) for _ in range(70)]
+    want = {}
+    for start in {x for e in edges for x in e}:
+        front, seen, depth = [start], {start: 0}, 0
+        while front:
+            depth += 1
+            front = [b for b in {b for a in front for x, b in edges if x == a} if b not in seen]
+            seen.update(dict.fromkeys(front, depth))
+        want.update({(start, k): d for k, d in seen.items()})
+    assert {(r.child, r.ancestor): r.depth for r in closure(spark.createDataFrame(edges, "c long, p long"), "c", "p").collect()} == want
+
+
 FLEET = """\
 # ports, and the vessels that call there
 - Vessel sh:imo9300001:
