@@ -16,6 +16,7 @@ from .operators import checks, objects
 from .operators.tables import RunStatistics, clean_table
 from .plans import resolve, translate
 from .plans.catalog import Catalog
+from .plans.written import written_scope
 from .sources import cache, endpoint, exports, readers, writers
 
 
@@ -145,14 +146,19 @@ def check(args: argparse.Namespace, spark: SparkSession) -> int:
 def main(argv: list[str] | None = None) -> int:
     args = parser().parse_args(argv)
     if args.command in ("translate", "tsv", "items", "all"):
-        return source(args, SparkSession.builder.getOrCreate())
+        spark = SparkSession.builder.getOrCreate()
+        with written_scope(spark):
+            return source(args, spark)
     if args.command == "check":
-        return check(args, SparkSession.builder.getOrCreate())
+        spark = SparkSession.builder.getOrCreate()
+        with written_scope(spark):
+            return check(args, spark)
     if args.command == "query":
         from .queries import QUERIES
 
         spark = SparkSession.builder.getOrCreate()
-        QUERIES[args.name](spark, args.sf_dir).write.mode("overwrite").parquet(args.out)
+        with written_scope(spark):
+            QUERIES[args.name](spark, args.sf_dir).write.mode("overwrite").parquet(args.out)
         return 0
     if args.command == "schema":
         document = exports.schema_document(Catalog().load_xml(Path(args.model).read_text()), Path(args.model).stem)

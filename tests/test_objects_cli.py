@@ -108,3 +108,30 @@ def test_a_source_from_its_schema_to_items_documents(spark, tmp_path, capsys):
     assert cli.main(["translate", *command[1:]]) == 0 and (folder / "mapping.tsv").read_text() == again
     (folder / "raw/alias.tsv").unlink()
     assert cli.main(["tsv", *command[1:]]) == 1
+
+
+def test_tables_written_on_the_way_go_with_their_scope(spark, tmp_path):
+    from tessera.plans import written as W
+    from tessera.queries import QUERIES
+
+    with W.written_scope(spark):
+        kept = W.written(spark.range(5))
+        with W.written_scope(spark):
+            inner = W.new_folder(spark)
+            spark.range(3).write.parquet(inner)
+            assert W.written(spark.range(7)).count() == 7
+        assert kept.count() == 5 and not spark._jvm.org.apache.hadoop.fs.Path(inner).getFileSystem(spark._jsc.hadoopConfiguration()).exists(spark._jvm.org.apache.hadoop.fs.Path(inner))
+    out = str(tmp_path / "out")
+    assert cli.main(["query", "item_ids", "/root/testdata/sf0.001", out]) == 0
+    assert spark.read.parquet(out).count() == QUERIES["item_ids"](spark, "/root/testdata/sf0.001").count()
+
+
+def test_a_pointer_is_replaced_whole(spark, tmp_path):
+    from tessera.plans.written import Pointer
+
+    at = Pointer(spark, f"file://{tmp_path}/store/current.json")
+    assert at.read() is None
+    for state in ({"n": 1}, {"n": 2, "text": "é" * 5_000}):
+        at.replace(state)
+        assert Pointer(spark, f"file://{tmp_path}/store/current.json").read() == state
+    assert [p.name for p in (tmp_path / "store").iterdir() if not p.name.endswith(".crc")] == ["current.json"]
