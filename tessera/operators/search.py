@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from ..plans.written import Pointer
 
 SHORTEST, LONGEST = 3, 10
+#: Characters of text whose grams one task of ``edge_index`` holds; 11 of them make at most 8 grams.
+TASK_CHARS = 1 << 21
 
 
 def search_docs(df: DataFrame, kind: str, id_col: str, fields: list[str]) -> DataFrame:
@@ -23,7 +25,13 @@ def tokens(text: Column) -> Column:
 
 
 def edge_index(docs: DataFrame) -> DataFrame:
-    """(gram, kind, id): the first 3 to 10 characters of each token; shorter tokens are not found."""
+    """(gram, kind, id): the first 3 to 10 characters of each token; shorter tokens are not found.
+
+    Documents are dealt out by id before their grams are made, some thirty for each, so a task's grams are those of about TASK_CHARS
+    characters, however large the files are, and grams aren't shuffled.
+    """
+    chars = docs.agg(F.sum(F.length("text"))).first()[0] or 0
+    docs = docs.repartition(chars // TASK_CHARS + 1, "kind", "id")
     words = docs.select("kind", "id", F.explode(tokens(F.col("text"))).alias("t")).filter(F.length("t") >= SHORTEST)
     lengths = F.sequence(F.lit(SHORTEST), F.least(F.lit(LONGEST), F.length("t")))
     return words.select("kind", "id", F.explode(F.transform(lengths, lambda n: F.substr("t", F.lit(1), n))).alias("gram")).distinct()

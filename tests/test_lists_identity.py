@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from tessera.operators import enrich as N
 from tessera.operators import identity as D
+from tessera.operators import search as S
 
 
 def tail(k, n, m, d):
@@ -149,3 +150,15 @@ def test_load_against_brute_force(spark):
     want = classes([(i, i) for i in range(240)] + [p for ids in by.values() for p in itertools.pairwise(ids)])
     got = loaded(spark, rows)
     assert {r.row_id: r.obj for r in got.members.collect()} == want
+
+
+def test_edge_index_deals_out_documents_before_their_grams(spark, monkeypatch):
+    """One file's documents are several tasks' grams; rows that repeat an id, and null ids, are each found once."""
+    monkeypatch.setattr(S, "TASK_CHARS", 1 << 10)
+    docs = spark.range(400).selectExpr("'D' AS kind", "CASE WHEN id % 50 = 0 THEN NULL ELSE cast(id % 300 AS string) END AS id", "concat('Winter ab WINTER', id % 7, ' ', id) AS text").coalesce(1)
+    index = S.edge_index(docs)
+    assert index.rdd.getNumPartitions() > 4
+    want = {(t[:n], "D", r.id) for r in docs.collect() for t in r.text.lower().split() if len(t) > 2 for n in range(3, min(10, len(t)) + 1)}
+    got = [tuple(r) for r in index.collect()]
+    assert len(got) == len(want) and set(got) == want
+    assert S.edge_index(docs.filter("id < 0")).count() == 0
