@@ -31,7 +31,7 @@ def edge_index(docs: DataFrame) -> DataFrame:
     characters, however large the files are, and grams aren't shuffled.
     """
     chars = docs.agg(F.sum(F.length("text"))).first()[0] or 0
-    docs = docs.repartition(chars // TASK_CHARS + 1, "kind", "id")
+    docs = docs.repartition(chars // TASK_CHARS + 1, "id")  # not by kind: where that is constant, grams would be shuffled again
     words = docs.select("kind", "id", F.explode(tokens(F.col("text"))).alias("t")).filter(F.length("t") >= SHORTEST)
     lengths = F.sequence(F.lit(SHORTEST), F.least(F.lit(LONGEST), F.length("t")))
     return words.select("kind", "id", F.explode(F.transform(lengths, lambda n: F.substr("t", F.lit(1), n))).alias("gram")).distinct()
