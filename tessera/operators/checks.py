@@ -41,6 +41,8 @@ def known_fields(up: DataFrame, declared: DataFrame) -> DataFrame:
     """(cls, field, kind, type, reverse, core, declared_in, depth, ord): own and inherited fields, the nearest declaration of each."""
     every = up.join(declared.withColumnRenamed("cls", "ancestor"), "ancestor")
     rest = F.struct("kind", "type", "reverse", "core", F.col("ancestor").alias("declared_in"), "depth", "ord")
+    # Dealt out first: grouped where they are read, a task would sort the fields of a whole file of pairs.
+    every = every.repartition("child", "field")
     return every.groupBy(F.col("child").alias("cls"), "field").agg(F.min_by(rest, F.struct("depth", "ancestor", "ord")).alias("f")).select("cls", "field", "f.*")
 
 
@@ -85,9 +87,7 @@ class Project:
     @cached_property
     def up(self) -> DataFrame:
         """(child, ancestor, depth), each class its own ancestor."""
-        found = closure(self.extends, "cls", "parent")
-        alone = self.classes.select(F.col("cls").alias("child"), F.col("cls").alias("ancestor"), F.lit(0).cast("long").alias("depth"))
-        return written(found.union(alone).distinct())
+        return closure(self.extends, "cls", "parent", self.classes.select("cls"))
 
     @cached_property
     def known(self) -> DataFrame:

@@ -144,33 +144,34 @@ class Catalog:
         }
 
 
-def closure(edges: DataFrame, child: str, parent: str) -> DataFrame:
-    """(child, ancestor, depth) with the shortest depth, each node its own ancestor at depth 0.
+def closure(edges: DataFrame, child: str, parent: str, alone: DataFrame | None = None) -> DataFrame:
+    """(child, ancestor, depth) with the shortest depth, each node its own ancestor at depth 0, and so each of ``alone``'s only column.
 
     Reach doubles each round: a shortest path of more than ``reach`` edges begins with one of just ``reach``, so only pairs that far
     apart are followed, by all known pairs. It ends where no two nodes are so far apart: cycles end, and a chain of a
-    thousand nodes takes ten rounds. Each round is written.
+    thousand nodes takes ten rounds. Each round's new pairs are written, so every pair is written once.
     """
     e = edges.select(F.col(child).alias("child"), F.col(parent).alias("ancestor")).distinct()
-    nodes = e.select("child").union(e.select("ancestor")).distinct()
+    nodes = e.select("child").union(e.select("ancestor"))
+    nodes = (nodes.union(alone) if alone is not None else nodes).distinct()
     depth = lambda n: F.lit(n).cast("long").alias("depth")
     far = e.filter(~F.col("child").eqNullSafe(F.col("ancestor"))).select("child", "ancestor", depth(1))
-    known, reach = written(nodes.select("child", F.col("child").alias("ancestor"), depth(0)).union(far)), 1
-    while not known.filter(F.col("depth") == reach).isEmpty():
+    known = new = written(nodes.select("child", F.col("child").alias("ancestor"), depth(0)).union(far))
+    reach = 1
+    while not (front := new.filter(F.col("depth") == reach)).isEmpty():
         on = known.select(F.col("child").alias("via"), F.col("ancestor").alias("end"), F.col("depth").alias("more")).filter("more > 0")
-        step = known.filter(F.col("depth") == reach).withColumnRenamed("ancestor", "via").join(on, "via")
-        step = step.groupBy("child", F.col("end").alias("ancestor")).agg(F.min(F.col("depth") + F.col("more")).alias("depth"))
-        old = known.select(F.col("child").alias("k"), F.col("ancestor").alias("a"))
-        new = step.join(old, F.col("child").eqNullSafe(F.col("k")) & F.col("ancestor").eqNullSafe(F.col("a")), "left_anti")
-        known, reach = written(known.union(new)), 2 * reach
+        step = front.withColumnRenamed("ancestor", "via").join(on, "via").select("child", F.col("end").alias("ancestor"), (F.col("depth") + F.col("more")).alias("depth"))
+        # Known pairs are no farther apart than ``reach``, so those whose least depth is beyond it are new. The pairs hardly
+        # repeat: they are dealt out before they are grouped, else a task would hold those of a whole file.
+        pairs = known.union(step).repartition("child", "ancestor")
+        new = written(pairs.groupBy("child", "ancestor").agg(F.min("depth").alias("depth")).filter(F.col("depth") > reach))
+        known, reach = known.union(new), 2 * reach
     return known
 
 
 def inherited_fields(tables: dict[str, DataFrame]) -> DataFrame:
     """(cls, field, kind, type, declared_in) of own and inherited fields, the nearest declaration of each."""
     edges = tables["extends"].select(F.col("cls").alias("c"), F.col("parent").alias("p"))
-    up = closure(edges, "c", "p")
-    alone = tables["classes"].select(F.col("cls").alias("child"), F.col("cls").alias("ancestor"), F.lit(0).cast("long").alias("depth"))
-    up = up.union(alone).distinct()
+    up = closure(edges, "c", "p", tables["classes"].select("cls"))
     fields = tables["fields"].withColumnRenamed("cls", "ancestor")
     return up.join(fields, "ancestor").groupBy(F.col("child").alias("cls"), "field").agg(F.min_by(F.struct("kind", "type", F.col("ancestor").alias("declared_in")), F.struct("depth", "ancestor")).alias("f")).select("cls", "field", "f.*")

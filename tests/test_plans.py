@@ -380,3 +380,23 @@ def test_key_lines():
     from tessera.sources.exports import key_lines
 
     assert key_lines(model(), ["Plant", "Alias", "Garden", "Named", "Plant"]) == ["Alias.key = plant, value", "Garden.key = identifier", "# DRAFT: no key is declared for Named", "Named.key_identifier = identifier", "Plant.key = identifier"]
+
+
+def test_closure_writes_each_pair_once(spark, monkeypatch):
+    from tessera.plans import catalog as C
+
+    rows, own = [], C.written
+
+    def counted(df):
+        out = own(df)
+        rows.append(out.count())
+        return out
+
+    monkeypatch.setattr(C, "written", counted)
+    edges = spark.createDataFrame([(f"n{i}", f"n{i // 2}") for i in range(1, 60)] + [("n0", "n0"), (None, "n1")], "c string, p string")
+    found = C.closure(edges, "c", "p", spark.createDataFrame([("alone",), ("n3",), ("alone",)], "cls string"))
+    got = [tuple(r) for r in found.collect()]
+    assert len(got) == len(set(got)) == sum(rows)
+    want = {(a, a, 0) for a in ["alone", None, *(f"n{i}" for i in range(60))]} | {(f"n{i}", f"n{i >> d}", d) for i in range(60) for d in range(1, i.bit_length() + 1)}
+    want |= {(None, "n1", 1), (None, "n0", 2)}
+    assert set(got) == want
