@@ -11,7 +11,7 @@ from collections.abc import Callable, Iterable
 from dataclasses import dataclass, fields
 from functools import cached_property, reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..plans.catalog import ATTRIBUTE, Catalog, closure
@@ -93,31 +93,58 @@ class Project:
     def known(self) -> DataFrame:
         return written(known_fields(self.up, self.fields))
 
+    def known_of(self, classes: DataFrame) -> DataFrame:
+        """``known`` of the classes in ``classes`` (cls) only. What the joins depend on is written, so few classes are broadcast."""
+        wanted = written(classes.distinct())
+        return written(known_fields(written(self.up.join(wanted.withColumnRenamed("cls", "child"), "child", "left_semi")), self.fields))
+
+    @cached_property
+    def own_links(self) -> DataFrame:
+        """(source, cls, via_cls, via_field) of columns with a ``via``."""
+        return self.columns.filter(F.col("via") != "").select("source", "cls", F.substring_index("via", ".", 1).alias("via_cls"), F.expr("substr(via, instr(via, '.') + 1)").alias("via_field"))
+
+    @cached_property
+    def via_kinds(self) -> DataFrame:
+        """(via_cls, via_field, via_kind, via_type): the fields of the classes that own links name."""
+        known = self.known_of(self.own_links.select(F.col("via_cls").alias("cls")))
+        return known.select(F.col("cls").alias("via_cls"), F.col("field").alias("via_field"), F.col("kind").alias("via_kind"), F.col("type").alias("via_type"))
+
     @cached_property
-    def linked(self) -> DataFrame:
-        """(source, table, column, cls, kind, own, via_cls, via_field) of columns with a link: their ``via``, or the one implied.
+    def implied_links(self) -> DataFrame:
+        """(source, cls, via_cls, via_field), distinct, of columns without a ``via`` that have a link all the same.
 
-        Implied is the root's first reference or collection, fields of the farthest ancestor first, whose range is the column's
-        class or one of its ancestors.
+        It is the root's first reference or collection, fields of the farthest ancestor first, whose range is the column's class
+        or one of its ancestors.
         """
-        via = F.col("via") != ""
-        own = self.columns.filter(via).select("source", "table", "column", "cls", F.lit(True).alias("own"), F.substring_index("via", ".", 1).alias("via_cls"), F.expr("substr(via, instr(via, '.') + 1)").alias("via_field"))
-        roots = self.columns.filter("root").groupBy("source", "table").agg(F.min("cls").alias("root_cls"))
-        bare = self.columns.filter(~via).select("source", "table", "column", "cls").join(roots, ["source", "table"]).filter("cls <> root_cls")
-        needed = bare.select("cls", "root_cls").distinct()
-        reach = self.known.filter(F.col("kind") != ATTRIBUTE).select(F.col("cls").alias("root_cls"), F.col("field").alias("via_field"), "type", "depth", "declared_in", "ord")
-        ways = needed.join(reach, "root_cls").join(self.up.select(F.col("child").alias("cls"), F.col("ancestor").alias("type")), ["cls", "type"])
-        first = ways.groupBy("cls", "root_cls").agg(F.min_by("via_field", F.struct((-F.col("depth")).alias("d"), "declared_in", "ord", "via_field")).alias("via_field"))
-        implied = bare.join(first, ["cls", "root_cls"]).select("source", "table", "column", "cls", F.lit(False).alias("own"), F.col("root_cls").alias("via_cls"), "via_field")
-        return written(own.unionByName(implied))
+        roots = written(self.columns.filter("root").groupBy("source", "table").agg(F.min("cls").alias("root_cls")))
+        bare = self.columns.filter(F.col("via") == "").select("source", "table", "cls").join(roots, ["source", "table"]).filter("cls <> root_cls")
+        reach = self.known_of(roots.select(F.col("root_cls").alias("cls"))).filter(F.col("kind") != ATTRIBUTE)
+        first = Window.partitionBy("cls").orderBy(F.desc("depth"), "declared_in", "ord", "field")
+        reach = written(reach.select(F.col("cls").alias("root_cls"), F.col("field").alias("via_field"), "type", F.row_number().over(first).alias("rank")))
+        types = written(reach.select("type").distinct())
+        ranges = self.up.select(F.col("child").alias("cls"), F.col("ancestor").alias("type")).join(types, "type", "left_semi")
+        ways = bare.select("source", "cls", "root_cls").distinct().join(ranges, "cls").join(reach, ["root_cls", "type"])
+        ways = ways.groupBy("source", "cls", "root_cls").agg(F.min("rank").alias("rank"))
+        return written(ways.join(reach.select("root_cls", "rank", "via_field"), ["root_cls", "rank"]).select("source", "cls", F.col("root_cls").alias("via_cls"), "via_field"))
+
+    @cached_property
+    def links_used(self) -> DataFrame:
+        """(source, cls, field) of the links that a source's columns use, own and implied."""
+        every = self.own_links.select("source", "via_cls", "via_field").union(self.implied_links.select("source", "via_cls", "via_field"))
+        return written(every.select("source", F.col("via_cls").alias("cls"), F.col("via_field").alias("field")).distinct())
+
+    @cached_property
+    def linked_fields(self) -> DataFrame:
+        """(source, cls, field, field_kind, type, reverse) of ``links_used`` that the model has."""
+        kinds = self.known_of(self.links_used.select("cls")).select("cls", "field", F.col("kind").alias("field_kind"), "type", "reverse")
+        return written(self.links_used.join(kinds, ["cls", "field"]).select("source", "cls", "field", "field_kind", "type", "reverse"))
 
     @cached_property
     def written_fields(self) -> DataFrame:
         """(source, cls, field) that a source writes: columns, links, and the reverse ends of links."""
         direct = self.columns.filter("cls <> '' AND field <> ''").select("source", "cls", "field")
-        links = self.linked.select("source", F.col("via_cls").alias("cls"), F.col("via_field").alias("field")).distinct()
-        back = links.join(self.known, ["cls", "field"]).filter("reverse <> ''").select("source", F.col("type").alias("cls"), F.col("reverse").alias("field"))
-        return written(direct.union(links).union(back).distinct())
+        back = self.linked_fields.filter("reverse <> ''").select("source", F.col("type").alias("cls"), F.col("reverse").alias("field"))
+        return written(direct.union(self.links_used).union(back).distinct())
 
 
 def project_columns(spark: SparkSession, sources: dict[str, tuple[list[MappingRow], str]]) -> DataFrame:
@@ -137,17 +164,19 @@ def competing_fields(project: Project) -> DataFrame:
     References count by explicit and implied links and by their reverse ends; collections don't, as sources add to them.
     """
     direct = project.columns.filter("cls <> '' AND field <> ''").select("source", "cls", "field")
-    kinds = project.known.select("cls", "field", F.col("kind").alias("field_kind"), "type", "reverse")
-    links = project.linked.select("source", F.col("via_cls").alias("cls"), F.col("via_field").alias("field")).distinct().join(kinds, ["cls", "field"])
-    back = links.filter("reverse <> ''").select("source", F.col("type").alias("cls"), F.col("reverse").alias("field")).join(kinds, ["cls", "field"])
+    links = project.linked_fields
+    ends = links.filter("reverse <> ''").select("source", F.col("type").alias("cls"), F.col("reverse").alias("field"))
+    kinds = project.known_of(ends.select("cls")).select("cls", "field", F.col("kind").alias("field_kind"))
+    back = ends.join(kinds, ["cls", "field"])
     single = links.select("source", "cls", "field", "field_kind").union(back.select("source", "cls", "field", "field_kind")).filter("field_kind = 'reference'")
     return direct.union(single.select("source", "cls", "field")).distinct()
 
 
 def links_report(project: Project) -> DataFrame:
     """(source, line): each link that a source's columns write, with its reverse end, explicit or implied."""
-    kinds = project.known.select(F.col("cls").alias("via_cls"), F.col("field").alias("via_field"), "type", "reverse")
-    found = project.linked.select("source", "cls", "own", "via_cls", "via_field").distinct().join(kinds, ["via_cls", "via_field"], "left")
+    used = project.linked_fields.select(F.col("cls").alias("via_cls"), F.col("field").alias("via_field"), "type", "reverse").distinct()
+    every = project.own_links.withColumn("own", F.lit(True)).unionByName(project.implied_links.withColumn("own", F.lit(False)))
+    found = every.join(written(used), ["via_cls", "via_field"], "left")
     end = F.when(F.col("reverse") != "", F.concat(F.lit(" (reverse "), "type", F.lit("."), "reverse", F.lit(")")))
     line = F.concat(_link(), F.lit(" -> "), "cls", F.coalesce(end, F.lit("")), F.when(F.col("own"), "").otherwise(", implied"))
     return found.select("source", line.alias("line")).distinct()
@@ -250,13 +279,25 @@ def not_attribute(p: Project) -> DataFrame:
 
 
 def _via(p: Project) -> DataFrame:
-    """Own links of known classes' columns, with what the model says of their field."""
-    known = p.known.select(F.col("cls").alias("via_cls"), F.col("field").alias("via_field"), F.col("kind").alias("via_kind"), F.col("type").alias("via_type"))
-    own = p.linked.filter("own").join(p.classes.select("cls"), "cls", "left_semi").select("source", "cls", "via_cls", "via_field").distinct()
-    out = own.join(known, ["via_cls", "via_field"], "left")
-    is_a = p.up.select(F.col("child").alias("cls"), F.col("ancestor").alias("via_type"), F.lit(True).alias("narrower"))
-    wider = p.up.select(F.col("ancestor").alias("cls"), F.col("child").alias("via_type"), F.lit(True).alias("wider"))
-    return out.join(is_a, ["cls", "via_type"], "left").join(wider, ["cls", "via_type"], "left")
+    """Own links of columns, with what the model says of their field."""
+    return p.own_links.join(p.via_kinds, ["via_cls", "via_field"], "left")
+
+
+def _ranged(p: Project) -> DataFrame:
+    """``_via`` of references and collections, and whether the column's class is narrower or wider than their range.
+
+    Of the pairs of classes only those are shuffled that have a range of such a link.
+    """
+    own = _via(p).filter(F.col("via_kind") != ATTRIBUTE)
+    types = written(p.via_kinds.filter(F.col("via_kind") != ATTRIBUTE).select("via_type").distinct())
+    is_a = p.up.select(F.col("child").alias("cls"), F.col("ancestor").alias("via_type"), F.lit(True).alias("narrower")).join(types, "via_type", "left_semi")
+    wider = p.up.select(F.col("ancestor").alias("cls"), F.col("child").alias("via_type"), F.lit(True).alias("wider")).join(types, "via_type", "left_semi")
+    return own.join(is_a, ["cls", "via_type"], "left").join(wider, ["cls", "via_type"], "left")
+
+
+def _of_model(p: Project, df: DataFrame) -> DataFrame:
+    """Rows of ``df`` whose class the model has."""
+    return df.join(p.classes.select("cls"), "cls", "left_semi")
 
 
 def _link() -> Column:
@@ -266,25 +307,25 @@ def _link() -> Column:
 @rule("hard")
 def via_unknown(p: Project) -> DataFrame:
     """A link is no field of its class."""
-    return _said(_via(p).filter("via_kind IS NULL"), _link())
+    return _said(_of_model(p, _via(p).filter("via_kind IS NULL")), _link())
 
 
 @rule("hard")
 def via_attribute(p: Project) -> DataFrame:
     """A link is an attribute."""
-    return _said(_via(p).filter(F.col("via_kind") == ATTRIBUTE), _link())
+    return _said(_of_model(p, _via(p).filter(F.col("via_kind") == ATTRIBUTE)), _link())
 
 
 @rule("hard")
 def via_range(p: Project) -> DataFrame:
     """A link's range is neither an ancestor nor a descendant of the column's class."""
-    return _said(_via(p).filter((F.col("via_kind") != ATTRIBUTE) & F.col("narrower").isNull() & F.col("wider").isNull()), _link(), "cls")
+    return _said(_of_model(p, _ranged(p).filter("narrower IS NULL AND wider IS NULL")), _link(), "cls")
 
 
 @rule("soft")
 def via_widens(p: Project) -> DataFrame:
     """A link's range is an ancestor of the column's class: perhaps not the link that was meant."""
-    return _said(_via(p).filter((F.col("via_kind") != ATTRIBUTE) & F.col("narrower").isNotNull() & (F.col("via_type") != F.col("cls"))), _link(), "cls")
+    return _said(_of_model(p, _ranged(p).filter(F.col("narrower").isNotNull() & (F.col("via_type") != F.col("cls")))), _link(), "cls")
 
 
 def _without_key(p: Project) -> DataFrame:

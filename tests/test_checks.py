@@ -106,3 +106,12 @@ def test_carried_definitions(spark):
     live = spark.createDataFrame([("Place", "label")], "cls string, field string")
     _, fields = K.carried_definitions(p, spark.createDataFrame([("Place", "label"), ("Thing", "label"), ("Port", "vessels"), ("Vessel", "home")], "cls string, field string"), live)
     assert sorted((r.cls, r.field) for r in fields.collect()) == [("Port", "vessels"), ("Thing", "label"), ("Vessel", "home")]
+
+
+def test_links_and_their_fields_are_kept_once_not_once_a_column(spark):
+    """Forty columns with one implied and one own link; only the classes that links name have their fields looked up."""
+    p = project(spark, col("Tug", "imo", root=True), *(col("Port", "code", column=f"c{i}") for i in range(40)), *(col("Port", "code", via="Tug.home", column=f"v{i}") for i in range(40)))
+    assert [tuple(r) for r in p.implied_links.collect()] == [("s", "Port", "Tug", "home")]
+    assert [tuple(r) for r in p.links_used.collect()] == [("s", "Tug", "home")]
+    assert {r.cls for r in p.known_of(spark.createDataFrame([("Tug",), ("Tug",), ("Nope",)], "cls string")).collect()} == {"Tug"}
+    assert {r.via_field: r.via_type for r in p.via_kinds.collect()}["home"] == "Port"
