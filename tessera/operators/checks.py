@@ -188,9 +188,17 @@ def coverage(written_fields: DataFrame, declared: DataFrame, up: DataFrame) -> D
     ``declared``: (source, stock, cls, field). A field of a class is written where any subclass writes it; ``whole``: the
     source writes nothing of the class.
     """
-    lifted = written_fields.join(up.select(F.col("child").alias("cls"), "ancestor"), "cls").select("source", F.col("ancestor").alias("cls"), "field").union(written_fields.select("source", "cls", "field")).distinct()
-    some = lifted.select("source", "cls").distinct().withColumn("some", F.lit(True))
-    gaps = declared.distinct().join(lifted, ["source", "cls", "field"], "left_anti")
+    fields = written_fields.select("source", "cls", "field")
+    below = up.select(F.col("ancestor").alias("cls"), F.col("child").alias("sub")).filter("cls <> sub")
+    # Only for what a source doesn't write itself are subclasses asked, not each written field carried to all ancestors.
+    left = written(declared.distinct().join(fields, ["source", "cls", "field"], "left_anti"))
+    asked = left.select("source", "cls", "field").distinct().join(below, "cls")
+    covered = asked.join(fields.withColumnRenamed("cls", "sub"), ["source", "sub", "field"], "left_semi").select("source", "cls", "field").distinct()
+    gaps = written(left.join(covered, ["source", "cls", "field"], "left_anti"))
+    classes = fields.select("source", "cls").distinct()
+    asked = gaps.select("source", "cls").distinct()
+    inside = asked.join(below, "cls").join(classes.withColumnRenamed("cls", "sub"), ["source", "sub"], "left_semi").select("source", "cls")
+    some = asked.join(classes, ["source", "cls"], "left_semi").union(inside).distinct().withColumn("some", F.lit(True))
     return gaps.join(some, ["source", "cls"], "left").select("source", "stock", "cls", "field", F.col("some").isNull().alias("whole"))
 
 

@@ -115,3 +115,15 @@ def test_links_and_their_fields_are_kept_once_not_once_a_column(spark):
     assert [tuple(r) for r in p.links_used.collect()] == [("s", "Tug", "home")]
     assert {r.cls for r in p.known_of(spark.createDataFrame([("Tug",), ("Tug",), ("Nope",)], "cls string")).collect()} == {"Tug"}
     assert {r.via_field: r.via_type for r in p.via_kinds.collect()}["home"] == "Port"
+
+
+def test_fields_that_are_written_ask_no_subclass(spark, monkeypatch):
+    """Coverage looks below a class only for the field that it doesn't write; subclasses' fields and nulls count as before."""
+    kept, own = [], K.written
+    monkeypatch.setattr(K, "written", lambda df: kept.append(own(df)) or kept[-1])
+    up = spark.createDataFrame([("a", "a", 0), ("b", "b", 0), ("c", "c", 0), ("b", "a", 1), ("c", "b", 1), ("c", "a", 2), ("d", "d", 0)], "child string, ancestor string, depth long")
+    fields = spark.createDataFrame([("s", "a", "f"), ("s", "c", "g"), ("s", "x", "f"), ("t", "b", "f")], "source string, cls string, field string")
+    declared = [("s", "o", "a", "f"), ("s", "o", "a", "g"), ("s", "o", "a", "h"), ("s", "o", "d", "f"), ("s", "o", "x", "f"), ("s", "o", "x", "g"), ("t", "o", "c", "f"), ("t", "o", "a", "f"), ("s", "o", None, "f"), ("s", "o", "a", "h")]
+    got = K.coverage(fields, spark.createDataFrame(declared, "source string, stock string, cls string, field string"), up).collect()
+    assert sorted(map(str, map(tuple, got))) == sorted(map(str, [("s", "o", "a", "h", False), ("s", "o", "d", "f", True), ("s", "o", "x", "g", False), ("t", "o", "c", "f", True), ("s", "o", None, "f", True)]))
+    assert kept and kept[0].filter("source = 's' AND cls = 'a' AND field = 'f'").isEmpty()
